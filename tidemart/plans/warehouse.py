@@ -27,10 +27,18 @@ class Warehouse:
         """``raw`` reads a feed by name; ``latest`` gives (order, tiebreak) columns per feed."""
         self.raw = raw
         self._latest = latest or {}
+        self.spark: SparkSession | None = None
+        self.sf_dir = ""
 
     @classmethod
     def over_tables(cls, spark: SparkSession, sf_dir: str) -> Warehouse:
-        return cls(lambda name: raw_feed(spark, sf_dir, name), LATEST)
+        warehouse = cls(lambda name: raw_feed(spark, sf_dir, name), LATEST)
+        warehouse.spark, warehouse.sf_dir = spark, sf_dir.rstrip("/")
+        return warehouse
+
+    def table(self, name: str) -> DataFrame:
+        """A given table as it is."""
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def _clean(self, name: str, transform) -> DataFrame:
         if name not in self._latest:
