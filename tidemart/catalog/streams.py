@@ -9,7 +9,7 @@ from tidemart.streaming import streams as st
 
 def events(w):
     schema = w.table("events").schema
-    stream = st.file_stream(w.spark, f"{w.sf_dir}/events.parquet", schema)
+    stream = st.file_stream(w.spark, w.sf_dir, schema, names="events.parquet")
     return stream.withColumn("value", F.col("value").cast("decimal(18,2)"))
 
 

@@ -86,7 +86,6 @@ def upsert(
     batch: DataFrame,
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
-    files_per_partition: int = 8,
 ) -> None:
     """Delete+insert a batch into a Parquet table, rewriting only the partitions it touches.
 
@@ -118,12 +117,12 @@ def upsert(
         homes.select(*partition_by).union(batch.select(*partition_by)).distinct().collect()
     )
     old = target.filter(_in_partitions(partition_by, touched))
-    delete_insert(old, batch, keys).write.partitionBy(*partition_by).parquet(new_path)
-    new = spark.read.schema(_schema_after(target, batch)).parquet(new_path)
+    delete_insert(old, batch, keys).write.parquet(new_path)
+    new = spark.read.parquet(new_path)
     filled = {tuple(r) for r in new.select(*partition_by).distinct().collect()}
     (
-        # a hash, not rand(): a retried task must send its rows the same way
-        new.repartition(*partition_by, F.pmod(F.xxhash64(*keys), F.lit(files_per_partition)))
+        # gathers each partition's rows; AQE cuts and merges them to the advisory file size
+        new.hint("rebalance", *[F.col(c) for c in partition_by])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
@@ -134,8 +133,3 @@ def upsert(
             folder = "/".join(f"{c}={row[c]}" for c in partition_by)
             fs, jpath = hadoop_path(spark, f"{path}/{folder}")
             fs.delete(jpath, True)
-
-
-def _schema_after(target: DataFrame, batch: DataFrame):
-    """Column types after an upsert, for reading the stage back without inference."""
-    return target.limit(0).unionByName(batch.limit(0), allowMissingColumns=True).schema

@@ -18,11 +18,19 @@ LATE_BOUND = "3 days"
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema, files_per_batch: int | None = None, fmt="parquet"
+    spark: SparkSession,
+    path: str,
+    schema,
+    files_per_batch: int | None = None,
+    fmt: str = "parquet",
+    names: str | None = None,
 ) -> DataFrame:
+    """Files of a folder as they arrive; ``names`` is a pattern for their names."""
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if names:
+        reader = reader.option("pathGlobFilter", names)
     return reader.load(path)
 
 
