@@ -425,6 +425,6 @@ def with_layers(body: str) -> str:
 def check(name: str, columns: str, body: str) -> None:
     """Register the SQL of a query; ``columns`` is like ``"year:i gmv_inr:f"``."""
     cast = ", ".join(
-        f"CAST({c} AS {_TYPES[t]}) AS {c}" for c, t in (x.split(":") for x in columns.split())
+        f'CAST("{c}" AS {_TYPES[t]}) AS "{c}"' for c, t in (x.split(":") for x in columns.split())
     )
     SQL[name] = with_layers(f"SELECT {cast} FROM ({body}) AS result")
