@@ -29,7 +29,7 @@ def _(w):
         inc.write_watermark(w.spark, path, "orders", mark)
     mark = inc.read_watermark(w.spark, path, "orders")
     return orders.filter(F.col("order_purchase_ts") >= F.lit(mark)).select(
-        "order_id", F.lit(mark).alias("mark")
+        "order_id", F.lit(str(mark)).cast("timestamp_ntz").alias("mark")
     )
 
 
@@ -66,7 +66,7 @@ def _(w):
         taken = inc.since_watermark(feed, "order_purchase_ts", mark)
         rows, newest = taken.agg(F.count("*"), F.max("order_purchase_ts")).first()
         inc.write_watermark(w.spark, path, "orders", newest)
-        runs.append(F.struct(F.lit(rows).cast("bigint").alias("taken"), F.lit(newest).alias("mark")))
+        runs.append(F.struct(F.lit(rows).cast("bigint").alias("taken"), F.lit(str(newest)).cast("timestamp_ntz").alias("mark")))
     return w.spark.range(1).select(F.inline(F.array(*runs)))
 
 

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.functions.dates import parse_ts
 from tidemart.session import hadoop_path, path_exists, scratch_dir
 
 # ------------------------------------------------------------------ watermark
@@ -30,13 +31,15 @@ def write_watermark(spark: SparkSession, path: str, name: str, mark) -> None:
 def since_watermark(df: DataFrame, ts: str, mark, lookback_days: int = 0) -> DataFrame:
     """Rows newer than the mark; with a look-back, rows from that many days before it on.
 
-    Applied to the raw column so that the filter reaches the scan.
+    Applied to the raw column so that the filter reaches the scan; a text column is parsed.
     """
     if mark is None:
         return df
+    at = F.col(ts) if dict(df.dtypes)[ts] != "string" else parse_ts(F.col(ts))
+    start = F.lit(str(mark)).cast("timestamp_ntz")
     if not lookback_days:
-        return df.filter(F.col(ts) > F.lit(mark))
-    return df.filter(F.col(ts) >= F.lit(mark) - F.expr(f"interval {int(lookback_days)} days"))
+        return df.filter(at > start)
+    return df.filter(at >= start - F.expr(f"interval {int(lookback_days)} days"))
 
 
 # ------------------------------------------------------------------ look-back
@@ -86,10 +89,13 @@ def upsert(
     batch: DataFrame,
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
+    keys_move: bool = True,
 ) -> None:
     """Delete+insert a batch into a Parquet table, rewriting only the partitions it touches.
 
-    Touched are the batch's own partitions and those that hold an older copy of its keys.
+    Touched are the batch's own partitions and those that hold an older copy of its keys;
+    finding the latter reads the key columns of the whole table. Where a key can never
+    change its partition, ``keys_move=False`` leaves that scan out.
     The new content is staged first; the swap then reads the stage only, so a broken swap
     is finished by running the upsert again.
     """
@@ -110,12 +116,13 @@ def upsert(
         return
 
     # only folder names reach the driver: at most one row per partition of the table
-    homes = target.select(*keys, *partition_by).join(
-        batch.select(*keys).distinct(), list(keys), "left_semi"
-    )
-    touched = (
-        homes.select(*partition_by).union(batch.select(*partition_by)).distinct().collect()
-    )
+    homes = batch.select(*partition_by)
+    if keys_move:
+        older = target.select(*keys, *partition_by).join(
+            batch.select(*keys).distinct(), list(keys), "left_semi"
+        )
+        homes = homes.union(older.select(*partition_by))
+    touched = homes.distinct().collect()
     old = target.filter(_in_partitions(partition_by, touched))
     delete_insert(old, batch, keys).write.parquet(new_path)
     new = spark.read.parquet(new_path)

@@ -22,7 +22,7 @@ from tidemart.operators.incremental import (
 from tidemart.operators.scd2 import history_dimension, read_history, take_snapshot
 from tidemart.operators.split import split_orphans
 from tidemart.plans import marts, model_tests, silver, staging, star
-from tidemart.session import path_exists
+from tidemart.session import path_exists, scratch_dir
 from tidemart.sinks.tables import StageMetrics, counted, write_by_month, write_table
 from tidemart.sources.calendar import spine_over
 from tidemart.sources.feeds import read_parquet_entity
@@ -93,15 +93,33 @@ def _store(
 
 
 def _resequenced(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame:
-    """Batch orders, and earlier orders of the same customers whose position they shift."""
+    """Batch orders, and the earlier orders of the same customers whose position they shift.
+
+    Positions are worked out on the few columns they depend on; whole rows are fetched only
+    for orders that have to be written.
+    """
     stored = spark.read.parquet(path)
-    customers = batch.select("customer_id").distinct()
-    earlier = stored.join(customers, "customer_id", "left_semi")
-    positions = ["order_id", "customer_order_seq"]
-    merged = delete_insert(earlier.drop("customer_order_seq", "is_repeat_order"), batch, ["order_id"])
-    sequenced = silver.with_order_sequence(merged)
-    unchanged = earlier.select(*positions).join(batch.select("order_id"), "order_id", "left_anti")
-    return sequenced.join(unchanged, positions, "left_anti")
+    place = ["order_id", "customer_id", "order_date", "order_purchase_ts"]
+    earlier = stored.select(*place, F.col("customer_order_seq").alias("_was")).join(
+        batch.select("customer_id").distinct(), "customer_id", "left_semi"
+    )
+    merged = delete_insert(earlier, batch.select(*place), ["order_id"])
+    placed = silver.with_order_sequence(merged).filter(
+        ~F.col("_was").eqNullSafe(F.col("customer_order_seq"))
+    )
+    placed = placed.select("order_id", "customer_order_seq", "is_repeat_order")
+    shifted = stored.drop("customer_order_seq", "is_repeat_order").join(
+        batch.select("order_id"), "order_id", "left_anti"
+    )
+    return batch.unionByName(shifted.select(*batch.columns)).join(placed, "order_id")
+
+
+def _with_waiting(spark: SparkSession, path: str, items: DataFrame, fresh: bool) -> DataFrame:
+    """Lines of this run and earlier orphans, whose orders may have arrived since."""
+    if fresh or not path_exists(spark, path):
+        return items
+    waiting = spark.read.parquet(path).select(*items.columns)
+    return delete_insert(waiting, items, ["order_id", "order_item_id"])
 
 
 def bronze_to_silver(
@@ -148,7 +166,8 @@ def bronze_to_silver(
 
     parents = spark.read.parquet(f"{out}/orders").select("order_id", *MONTH)
     products = settle("products", silver.clean_products)
-    items = settle("order_items", silver.usable_items)
+    waiting_path = f"{out}/_quarantine/order_items_orphan"
+    items = _with_waiting(spark, waiting_path, settle("order_items", silver.usable_items), fresh)
     shipments, bad_dates = silver.split_shipments(settle("shipments", silver.parse_shipments))
     facts = {
         "order_items": (silver.enrich_items(items, products), ("order_id", "order_item_id")),
@@ -167,18 +186,21 @@ def bronze_to_silver(
         write_table(settle(name, transform), out, name)
     write_table(products, out, "products")
 
-    aside = {
-        "order_items_orphan": (split_orphans(items, parents, "order_id")[1], ("order_id", "order_item_id")),
-        "shipments_bad_dates": (silver.of_known_orders(bad_dates, parents), ("order_id",)),
-    }
-    for name, (df, keys) in aside.items():
-        df, done = count_into("records_quarantined", df, name)
-        path = f"{out}/_quarantine"
-        if fresh:
-            write_table(df, path, name)
-        else:
-            upsert(spark, f"{path}/{name}", df, keys)
-        done()
+    orphans = split_orphans(items, parents, "order_id")[1]
+    if not fresh:  # reads the table it replaces, so it goes through a stage
+        stage = write_table(orphans, scratch_dir(spark, "orphans"), "order_items")
+        orphans = spark.read.parquet(stage)
+    orphans, done = count_into("records_quarantined", orphans, "orphans")
+    write_table(orphans, f"{out}/_quarantine", "order_items_orphan")
+    done()
+    bad_dates, done = count_into(
+        "records_quarantined", silver.of_known_orders(bad_dates, parents), "bad_dates"
+    )
+    if fresh:
+        write_table(bad_dates, f"{out}/_quarantine", "shipments_bad_dates")
+    else:
+        upsert(spark, f"{out}/_quarantine/shipments_bad_dates", bad_dates, ("order_id",))
+    done()
 
     newest = spark.read.parquet(f"{out}/orders").agg(F.max("order_purchase_ts")).first()[0]
     if newest is not None:

@@ -142,8 +142,6 @@ def fact_orders(
     status = F.col("order_status")
     columns = ["order_id", "customer_id", date_key(F.col("order_date")).alias("order_date_key")]
     if customers is not None:
-        where = customers.select("customer_id", F.col("city"), F.col("state"))
-        df = df.join(where, "customer_id", "left")
         columns.append(location_key(F.col("city"), F.col("state")).alias("location_key"))
     columns += ["order_status", "payment_type", "is_cod"]
     columns += ["is_repeat_order"] if "is_repeat_order" in orders.columns else []
@@ -166,6 +164,8 @@ def fact_orders(
         sla = shipments.select("order_id", "delivery_days", "is_late")
         df = df.join(sla, "order_id", "left")
         columns += ["delivery_days", "is_late"]
+    if customers is not None:  # last, so that all joins on the order share one shuffle
+        df = df.join(customers.select("customer_id", "city", "state"), "customer_id", "left")
     columns += [
         (status == name).cast("int").alias(f"is_{name}")
         for name in ("cancelled", "returned", "delivered")

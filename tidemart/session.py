@@ -15,6 +15,10 @@ JOB_CONF = {
     # split a hot join key even where that costs the following aggregate a shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # stream state on disk, so that its size is not bounded by the heap
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemart.operators.incremental import upsert
 
 LATE_BOUND = "3 days"
+EVENT_TIME = "_event_time"
 
 
 def file_stream(
@@ -34,9 +35,18 @@ def file_stream(
     return reader.load(path)
 
 
-def event_time(df: DataFrame, ts: str) -> DataFrame:
-    """Watermarks need a zoned timestamp; a local one is read in the session's zone."""
-    return df.withColumn(ts, F.col(ts).cast("timestamp"))
+def with_event_time(df: DataFrame, ts: str, late: str) -> DataFrame:
+    """Watermarked event time of a local timestamp.
+
+    Watermarks need an instant. The local time is read as UTC whatever the session's zone,
+    so that one-day windows are the days of the data.
+    """
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts))
+    return df.withColumn(EVENT_TIME, F.timestamp_micros(micros)).withWatermark(EVENT_TIME, late)
+
+
+def utc_day(instant: Column) -> Column:
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86400).cast("int"))
 
 
 def _finish(writer: DataStreamWriter, checkpoint: str) -> None:
@@ -53,17 +63,17 @@ def dedup_stream(
     stream: DataFrame, keys: Sequence[str], ts: str, late: str = LATE_BOUND
 ) -> DataFrame:
     """First copy of each key; copies are remembered for the late bound only."""
-    return event_time(stream, ts).withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))
+    marked = with_event_time(stream, ts, late)
+    return marked.dropDuplicatesWithinWatermark(list(keys)).drop(EVENT_TIME)
 
 
 def daily_rollup(stream: DataFrame, ts: str, value: str, late: str = LATE_BOUND) -> DataFrame:
     """Count and total per day."""
     return (
-        event_time(stream, ts)
-        .withWatermark(ts, late)
-        .groupBy(F.window(ts, "1 day").alias("w"))
+        with_event_time(stream, ts, late)
+        .groupBy(F.window(EVENT_TIME, "1 day").alias("w"))
         .agg(F.count("*").alias("events"), F.sum(value).alias("total"))
-        .select(F.to_date("w.start").alias("day"), "events", "total")
+        .select(utc_day(F.col("w.start")).alias("day"), "events", "total")
     )
 
 
