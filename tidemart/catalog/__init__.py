@@ -14,6 +14,6 @@ from tidemart.catalog import (  # noqa: F401
     streams,
     windows,
 )
-from tidemart.catalog.registry import QUERIES, run
+from tidemart.catalog.registry import QUERIES, ask, run
 
-__all__ = ["QUERIES", "run"]
+__all__ = ["QUERIES", "ask", "run"]

@@ -32,8 +32,10 @@ query("q13_rising_return_rate")(
 @query("q14_seller_rank_in_state")
 def _(w):
     # the mart is ranked in three passes, so it is written once instead of derived three times
-    base = scratch_dir(w.spark, "q14")
-    return a.q14(w.spark.read.parquet(write_table(w.seller_performance, base, "sellers")))
+    sellers = w.seller_performance
+    spark = sellers.sparkSession
+    path = write_table(sellers, scratch_dir(spark, "q14"), "sellers")
+    return a.q14(spark.read.parquet(path))
 
 
 query("q15_new_vs_repeat_revenue")(lambda w: a.q15(w.fact_orders(repeat=True), w.dim_date))

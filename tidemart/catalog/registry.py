@@ -39,5 +39,10 @@ def publish(df: DataFrame) -> DataFrame:
     return df.select(*[plain(f) for f in df.schema.fields])
 
 
+def ask(name: str, warehouse) -> DataFrame:
+    """Result of a query on a warehouse, or on built marts for the questions they answer."""
+    return publish(QUERIES[name](warehouse))
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish(QUERIES[name](Warehouse.over_tables(spark, sf_dir)))
+    return ask(name, Warehouse.over_tables(spark, sf_dir))

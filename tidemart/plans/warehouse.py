@@ -1,13 +1,14 @@
 """All layers over one set of raw feeds, derived lazily.
 
-Each property is a plain DataFrame, so a query pulls in only the feeds, columns and joins
-it uses. ``orders(...)``/``fact_orders(...)`` take the optional parts as arguments because
+Each property is a plain, lazy DataFrame (only the plan is kept, never the rows), so a query
+pulls in only the feeds, columns and joins it uses. ``orders(...)``/``fact_orders(...)`` take the optional parts as arguments because
 an unused join on a non-unique side cannot be pruned by the optimizer.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +26,7 @@ class Warehouse:
         latest: Mapping[str, tuple[tuple[str, ...], tuple[str, ...]]] | None = None,
     ):
         """``raw`` reads a feed by name; ``latest`` gives (order, tiebreak) columns per feed."""
-        self.raw = raw
+        self.raw = cache(raw)
         self._latest = latest or {}
         self.spark: SparkSession | None = None
         self.sf_dir = ""
@@ -48,18 +49,19 @@ class Warehouse:
 
     # ------------------------------------------------------------------ clean
 
-    @property
+    @cached_property
     def customers(self) -> DataFrame:
         return self._clean("customers", silver.clean_customers)
 
-    @property
+    @cached_property
     def sellers(self) -> DataFrame:
         return self._clean("sellers", silver.clean_sellers)
 
-    @property
+    @cached_property
     def products(self) -> DataFrame:
         return self._clean("products", silver.clean_products)
 
+    @cache
     def orders(self, sequence: str | None = None) -> DataFrame:
         """``sequence``: None, "flag" (repeat flag only) or "full" (position and flag)."""
         orders = self._clean("orders", silver.clean_orders)
@@ -67,38 +69,39 @@ class Warehouse:
             return silver.with_order_sequence(orders)
         return silver.with_repeat_flag(orders) if sequence == "flag" else orders
 
+    @cache
     def order_items(self, enriched: bool = True) -> DataFrame:
         items = self._clean("order_items", silver.usable_items)
         return silver.enrich_items(items, self.products) if enriched else items
 
-    @property
+    @cached_property
     def payments(self) -> DataFrame:
         return self._clean("payments", silver.clean_payments)
 
-    @property
+    @cached_property
     def parsed_shipments(self) -> DataFrame:
         return self._clean("shipments", silver.parse_shipments)
 
-    @property
+    @cached_property
     def shipments(self) -> DataFrame:
         return silver.split_shipments(self.parsed_shipments)[0]
 
-    @property
+    @cached_property
     def returns(self) -> DataFrame:
         return self._clean("returns", silver.clean_returns)
 
     # ---------------------------------------------------------------- staging
     # Orphans are not filtered again here: every fact below joins to orders.
 
-    @property
+    @cached_property
     def stg_customers(self) -> DataFrame:
         return staging.stg_customers(self.customers)
 
-    @property
+    @cached_property
     def stg_sellers(self) -> DataFrame:
         return staging.stg_sellers(self.sellers)
 
-    @property
+    @cached_property
     def stg_products(self) -> DataFrame:
         return staging.stg_products(self.products)
 
@@ -108,21 +111,21 @@ class Warehouse:
     def stg_order_items(self, enriched: bool = True) -> DataFrame:
         return staging.stg_order_items(self.order_items(enriched))
 
-    @property
+    @cached_property
     def stg_payments(self) -> DataFrame:
         return staging.stg_payments(self.payments)
 
-    @property
+    @cached_property
     def stg_shipments(self) -> DataFrame:
         return staging.stg_shipments(self.shipments)
 
-    @property
+    @cached_property
     def stg_returns(self) -> DataFrame:
         return staging.stg_returns(self.returns)
 
     # ------------------------------------------------------------------- star
 
-    @property
+    @cached_property
     def dim_date(self) -> DataFrame:
         orders = self.raw("orders")
         return star.dim_date(
@@ -131,19 +134,19 @@ class Warehouse:
             )
         )
 
-    @property
+    @cached_property
     def dim_customer(self) -> DataFrame:
         return star.dim_customer(self.stg_customers)
 
-    @property
+    @cached_property
     def dim_product(self) -> DataFrame:
         return star.dim_product(self.stg_products)
 
-    @property
+    @cached_property
     def dim_seller(self) -> DataFrame:
         return star.dim_seller(self.stg_sellers)
 
-    @property
+    @cached_property
     def dim_location(self) -> DataFrame:
         return star.dim_location(self.stg_customers, self.stg_sellers)
 
@@ -166,40 +169,58 @@ class Warehouse:
     def fact_order_items(self, enriched: bool = True) -> DataFrame:
         return star.fact_order_items(self.stg_order_items(enriched), self.stg_orders())
 
-    @property
+    @cached_property
     def fact_payments(self) -> DataFrame:
         return star.fact_payments(self.stg_payments, self.stg_orders())
 
-    @property
+    @cached_property
     def fact_shipments(self) -> DataFrame:
         return star.fact_shipments(self.stg_shipments, self.stg_orders())
 
-    @property
+    @cached_property
     def fact_returns(self) -> DataFrame:
         return star.fact_returns(self.stg_returns, self.stg_orders())
 
     # ------------------------------------------------------------------ marts
 
-    @property
+    @cached_property
     def daily_sales(self) -> DataFrame:
         return marts.daily_sales(self.fact_orders(), self.dim_date)
 
-    @property
+    @cached_property
     def seller_performance(self) -> DataFrame:
         return marts.seller_performance(
             self.dim_seller, self.fact_order_items(enriched=False), self.fact_returns
         )
 
-    @property
+    @cached_property
     def product_performance(self) -> DataFrame:
         return marts.product_performance(
             self.dim_product, self.fact_order_items(enriched=False), self.fact_returns
         )
 
-    @property
+    @cached_property
     def customer_summary(self) -> DataFrame:
         return marts.customer_summary(self.dim_customer, self.fact_orders())
 
-    @property
+    @cached_property
     def delivery_performance(self) -> DataFrame:
         return marts.delivery_performance(self.fact_shipments, self.dim_customer)
+
+
+class Marts:
+    """The same names over tables that ``build_models`` has written."""
+
+    def __init__(self, models: Mapping[str, DataFrame]):
+        self._models = models
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._models:
+            raise AttributeError(name)
+        return self._models[name]
+
+    def fact_orders(self, **parts: bool) -> DataFrame:
+        return self._models["fact_orders"]
+
+    def fact_order_items(self, enriched: bool = True) -> DataFrame:
+        return self._models["fact_order_items"]
