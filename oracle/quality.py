@@ -136,6 +136,12 @@ check("dq10_standard_suite", f"{SHORT} detail:s violation_rate:f passed:b", RATE
 BREACHES = f"""SELECT * FROM ({RATED}) WHERE (severity = 'reject' AND violation_rate > 0.05)
                OR (severity = 'quarantine' AND violation_rate > 0.10)"""
 check("dq12_threshold_breaches", "table:s check:s severity:s violation_rate:f", BREACHES)
+check(
+    "p02_gate_results_and_breaches", f"{SHORT} detail:s over_limit:b goes_on:b",
+    f"""SELECT *, (severity = 'reject' AND violation_rate > 0.05)
+                  OR (severity = 'quarantine' AND violation_rate > 0.10) AS over_limit,
+               true AS goes_on FROM ({RATED})""",
+)
 _HELD = f"""(SELECT count(*) FROM raw_products WHERE mrp_inr <= 0)
             + (SELECT count(*) FROM raw_shipments WHERE delivered_ts < ship_ts)
             + (SELECT count(*) FROM raw_items

@@ -46,6 +46,21 @@ def test_upsert_without_moving_keys(spark, rows):
     assert content(spark, path, "k", "m", "v") == [(1, 1, "a"), (2, 2, "B"), (5, 9, "e")]
 
 
+def test_rows_without_a_partition_value(spark, rows):
+    path = f"{scratch_dir(spark, 't')}/t"
+    schema = "k int, m int, v string"
+    inc.upsert(spark, path, rows(schema, (1, None, "a"), (2, 1, "b")), ["k"], ["m"])
+    inc.upsert(spark, path, rows(schema, (1, 1, "A")), ["k"], ["m"])
+    assert content(spark, path, "k", "m", "v") == [(1, 1, "A"), (2, 1, "b")]
+
+
+def test_unexpected_columns_are_refused_where_none_are_promised(spark, rows):
+    path = f"{scratch_dir(spark, 't')}/t"
+    inc.upsert(spark, path, rows("k int, v string", (1, "a")), ["k"])
+    with pytest.raises(ValueError, match="differ"):
+        inc.upsert(spark, path, rows("k int, v string, w int", (1, "a", 2)), ["k"], new_columns=False)
+
+
 def test_upsert_on_a_composite_key(spark, rows):
     path = f"{scratch_dir(spark, 't')}/t"
     inc.upsert(spark, path, rows("a int, b int, v int", (1, 1, 10), (1, 2, 20)), ["a", "b"])
@@ -94,6 +109,13 @@ def test_partition_pruning_of_a_month(spark, warehouse, plan):
     assert "PartitionFilters: [isnotnull(order_year" in plan(df)
 
 
+def test_look_back_reads_recent_months_only(spark, warehouse, plan):
+    path = write_by_month(warehouse.orders(), scratch_dir(spark, "o"), "orders")
+    start = inc.lookback_start(spark.read.parquet(path), "order_date", 3)
+    text = plan(spark.read.parquet(path).filter(inc.months_since(start)))
+    assert "PartitionFilters: [((order_year" in text or "PartitionFilters: [(((order_year" in text
+
+
 def test_landing_is_idempotent_per_content_and_date(spark, rows):
     base = scratch_dir(spark, "bronze")
     df = rows("order_id string", ("a",), ("b",))

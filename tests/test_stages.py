@@ -1,5 +1,7 @@
 """The stages on literal feeds: a first load, a late batch, and the whole build."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from tidemart.contracts import FEEDS
@@ -58,7 +60,7 @@ def test_two_runs_and_build(spark):
     assert kept("_quarantine/shipments_bad_dates", "order_id") == [("o2",)]
 
     flows.load_staging(spark, silver, f"{base}/staging")
-    flows.load_staging(spark, silver, f"{base}/staging", since="2023-03-30")
+    flows.load_staging(spark, silver, f"{base}/staging", since=date(2023, 3, 30))
     models = flows.build_models(spark, f"{base}/staging", base, "2024-01-01 00:00:00")
     failed = flows.check_models(models).filter("not passed").collect()
     assert failed == []

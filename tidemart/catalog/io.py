@@ -96,7 +96,7 @@ def _(w):
     write_by_month(orders, base, "orders")
     path = write_by_month(
         orders.filter("order_year = 1997").withColumn("payment_type", F.lit("rewritten")),
-        base, "orders",
+        base, "orders", only_present=True,
     )
     return w.spark.read.parquet(path).groupBy("order_year", "order_month", "payment_type").agg(
         F.count("*").alias("orders_n")

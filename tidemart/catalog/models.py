@@ -24,10 +24,10 @@ def _(w):
 def _(w):
     """Load up to a day, then refresh with everything: the look-back picks up what is new."""
     base = scratch_dir(w.spark, "a11")
-    items, orders = w.stg_order_items(), w.stg_orders()
-    first = star.fact_order_items(items, orders.filter("order_date < '2001-01-01'"))
+    before = w.stg_orders().filter("order_date < '2001-01-01'")
+    first = star.fact_order_items(w.stg_order_items(), before)
     path = write_by_month(flows.by_month(first), base, "fact_order_items")
-    flows.refresh_order_items(w.spark, path, items, orders)
+    flows.refresh_order_items(w.spark, path, w.order_items(), w.orders())
     return w.spark.read.parquet(path)
 
 

@@ -121,6 +121,17 @@ def _(w):
     )
 
 
+@query("p02_gate_results_and_breaches")
+def _(w):
+    """What a lenient run leaves behind: all results, marked where they are over the limit."""
+    gate = flows.quality_gate(w.spark, feeds(w), ACCEPTED, scratch_dir(w.spark, "gate"), False)
+    over = gate.breaches.select("table", "check", "detail", F.lit(True).alias("_over"))
+    return gate.results.join(over, ["table", "check", "detail"], "left").select(
+        *SHORT, "detail", F.coalesce("_over", F.lit(False)).alias("over_limit"),
+        F.lit(gate.passed).alias("goes_on"),
+    )
+
+
 @query("dq14_required_columns")
 def _(w):
     """Each feed with one required column taken away: what the presence check reports."""

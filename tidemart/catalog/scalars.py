@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from tidemart.catalog.registry import query
 from tidemart.functions import dates, keys, text
-from tidemart.operators.incremental import key_to_date
 from tidemart.sources.calendar import spine_over
 
 
@@ -84,7 +83,7 @@ def _(w):
     newest = F.max("order_date")
     return w.orders().agg(
         F.date_sub(F.coalesce(newest, F.lit("1900-01-01").cast("date")), 3).alias("window_start"),
-        F.date_sub(key_to_date(F.max(dates.date_key(F.col("order_date")))), 3).alias("by_key"),
+        F.date_sub(dates.key_to_date(F.max(dates.date_key(F.col("order_date")))), 3).alias("by_key"),
     )
 
 

@@ -1,5 +1,6 @@
 """Incremental operators and whole stages."""
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -128,7 +129,7 @@ def _(w):
         else:
             write_table(df, f"{base}/silver", name)
     flows.load_staging(w.spark, f"{base}/silver", f"{base}/staging")
-    flows.load_staging(w.spark, f"{base}/silver", f"{base}/staging", since="2001-01-01")
+    flows.load_staging(w.spark, f"{base}/silver", f"{base}/staging", since=date(2001, 1, 1))
     return row_counts(w.spark, f"{base}/staging", (*flows.FULL_LOAD, *flows.WINDOW_LOAD))
 
 

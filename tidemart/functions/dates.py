@@ -20,6 +20,11 @@ def date_key(c: Column) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
+def key_to_date(key: Column) -> Column:
+    """Date of an integer YYYYMMDD key."""
+    return F.try_to_date(key.cast("string"), "yyyyMMdd")
+
+
 def days_between(start: Column, end: Column) -> Column:
     """Calendar days from start to end."""
     return F.datediff(F.to_date(end), F.to_date(start))

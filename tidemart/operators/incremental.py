@@ -3,29 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, datetime, timedelta
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.dates import parse_ts
-from tidemart.session import hadoop_path, path_exists, scratch_dir
+from tidemart.session import path_exists, remove_path, scratch_dir
 
 # ------------------------------------------------------------------ watermark
 
 
 def read_watermark(spark: SparkSession, path: str, name: str):
     """Highest value recorded under ``name``, or None before the first run."""
-    if not path_exists(spark, path):
+    if not path_exists(spark, f"{path}/{name}"):
         return None
-    log = spark.read.schema("name string, mark timestamp_ntz").json(path)
-    return log.filter(F.col("name") == name).agg(F.max("mark")).first()[0]
+    return spark.read.schema("mark timestamp_ntz").json(f"{path}/{name}").agg(F.max("mark")).first()[0]
 
 
-def write_watermark(spark: SparkSession, path: str, name: str, mark) -> None:
-    """Record a mark. The log only grows, so a crash never loses the previous mark."""
-    row = spark.createDataFrame([(name, mark)], "name string, mark timestamp_ntz")
-    row.coalesce(1).write.mode("append").json(path)
+def write_watermark(
+    spark: SparkSession, path: str, name: str, mark, restart: bool = False
+) -> None:
+    """Record a mark. The log only grows, so a crash never loses the previous mark;
+    ``restart`` begins a new log after a full reload."""
+    row = spark.createDataFrame([(mark,)], "mark timestamp_ntz").coalesce(1)
+    row.write.mode("overwrite" if restart else "append").json(f"{path}/{name}")
 
 
 def since_watermark(df: DataFrame, ts: str, mark, lookback_days: int = 0) -> DataFrame:
@@ -44,26 +48,37 @@ def since_watermark(df: DataFrame, ts: str, mark, lookback_days: int = 0) -> Dat
 
 # ------------------------------------------------------------------ look-back
 
+EARLIEST = date(1900, 1, 1)
 
-def lookback(batch: DataFrame, target: DataFrame, col: str, days: int) -> DataFrame:
-    """Batch rows dated from ``days`` before the target's newest date on; all if it is empty."""
+
+def lookback_start(target: DataFrame, col: str, days: int) -> date:
+    """The day ``days`` before the target's newest; a date column or an integer YYYYMMDD key.
+
+    One value on the driver, so that filters made of it are literals the scan can use.
+    """
     newest = target.agg(F.max(col).alias("newest")).first()["newest"]
-    start = F.coalesce(F.lit(newest).cast("date"), F.to_date(F.lit("1900-01-01")))
-    return batch.filter(F.col(col) >= F.date_sub(start, days))
+    if newest is None:
+        return EARLIEST
+    if isinstance(newest, int):  # days are subtracted from the date, not from the key
+        newest = datetime.strptime(str(newest), "%Y%m%d").date()
+    return newest - timedelta(days=days)
 
 
-def key_to_date(key: Column) -> Column:
-    """Date of an integer YYYYMMDD key, so that look-back can cross a month start."""
-    return F.try_to_date(key.cast("string"), "yyyyMMdd")
+def lookback(batch: DataFrame, target: DataFrame, col: str, days: int) -> DataFrame:
+    """Batch rows dated from ``days`` before the target's newest date on; all if it is empty."""
+    return batch.filter(F.col(col) >= F.lit(lookback_start(target, col, days)))
 
 
 def lookback_key(batch: DataFrame, target: DataFrame, key: str, days: int) -> DataFrame:
     """``lookback`` on an integer date key."""
-    newest = target.agg(F.max(key).alias("newest")).first()["newest"]
-    if newest is None:
-        return batch
-    start = F.date_sub(key_to_date(F.lit(newest)), days)
-    return batch.filter(key_to_date(F.col(key)) >= start)
+    start = lookback_start(target, key, days)
+    return batch.filter(F.col(key) >= int(start.strftime("%Y%m%d")))
+
+
+def months_since(day: date, year: str = "order_year", month: str = "order_month") -> Column:
+    """Partitions from the month of ``day`` on."""
+    y, m = F.col(year), F.col(month)
+    return (y > day.year) | ((y == day.year) & (m >= day.month))
 
 
 # --------------------------------------------------------------------- upsert
@@ -83,6 +98,11 @@ def _in_partitions(partition_by: Sequence[str], rows) -> Column:
     return reduce(lambda a, b: a | b, same, F.lit(False))
 
 
+def _folder_value(value) -> str:
+    """A partition value as it appears in a folder name."""
+    return "__HIVE_DEFAULT_PARTITION__" if value is None else quote(str(value), safe=" -_.+@,")
+
+
 def upsert(
     spark: SparkSession,
     path: str,
@@ -90,14 +110,16 @@ def upsert(
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
     keys_move: bool = True,
+    new_columns: bool = True,
 ) -> None:
     """Delete+insert a batch into a Parquet table, rewriting only the partitions it touches.
 
     Touched are the batch's own partitions and those that hold an older copy of its keys;
     finding the latter reads the key columns of the whole table. Where a key can never
-    change its partition, ``keys_move=False`` leaves that scan out.
+    change its partition, ``keys_move=False`` leaves that scan out. A batch may bring new
+    columns; ``new_columns=False`` promises it does not and spares the look into every file.
     The new content is staged first; the swap then reads the stage only, so a broken swap
-    is finished by running the upsert again.
+    is finished by running the upsert again. The stage is removed when all is done.
     """
     partition_by = list(partition_by)
     stage = scratch_dir(spark, "upsert")
@@ -107,12 +129,16 @@ def upsert(
     if not path_exists(spark, path):
         writer = batch.write.mode("overwrite")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        remove_path(spark, stage)
         return
 
-    target = spark.read.option("mergeSchema", True).parquet(path)
+    target = spark.read.option("mergeSchema", new_columns).parquet(path)
+    if not new_columns and set(batch.columns) != set(target.columns):
+        raise ValueError(f"batch and table differ: {batch.columns} / {target.columns}")
     if not partition_by:
         delete_insert(target, batch, keys).write.parquet(new_path)
         spark.read.parquet(new_path).write.mode("overwrite").parquet(path)
+        remove_path(spark, stage)
         return
 
     # only folder names reach the driver: at most one row per partition of the table
@@ -137,6 +163,6 @@ def upsert(
     )
     for row in touched:  # a partition left without rows is not overwritten, so remove it
         if tuple(row) not in filled:
-            folder = "/".join(f"{c}={row[c]}" for c in partition_by)
-            fs, jpath = hadoop_path(spark, f"{path}/{folder}")
-            fs.delete(jpath, True)
+            folder = "/".join(f"{c}={_folder_value(row[c])}" for c in partition_by)
+            remove_path(spark, f"{path}/{folder}")
+    remove_path(spark, stage)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from tidemart.contracts import CUSTOMER_SEGMENTS
 from tidemart.operators.checks import QUARANTINE, breaches, flag_rows, run_rules, standard_suite
 from tidemart.operators.incremental import (
     delete_insert,
-    lookback,
-    lookback_key,
+    lookback_start,
+    months_since,
     read_watermark,
     since_watermark,
     upsert,
@@ -22,7 +23,7 @@ from tidemart.operators.incremental import (
 from tidemart.operators.scd2 import history_dimension, read_history, take_snapshot
 from tidemart.operators.split import split_orphans
 from tidemart.plans import marts, model_tests, silver, staging, star
-from tidemart.session import path_exists, scratch_dir
+from tidemart.session import path_exists, remove_path, scratch_dir
 from tidemart.sinks.tables import StageMetrics, counted, write_by_month, write_table
 from tidemart.sources.calendar import spine_over
 from tidemart.sources.feeds import read_parquet_entity
@@ -89,7 +90,7 @@ def _store(
     if fresh:
         write_by_month(df, out, name)
     else:
-        upsert(spark, f"{out}/{name}", df, keys, MONTH)
+        upsert(spark, f"{out}/{name}", df, keys, MONTH, new_columns=False)
 
 
 def _resequenced(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame:
@@ -188,11 +189,13 @@ def bronze_to_silver(
 
     orphans = split_orphans(items, parents, "order_id")[1]
     if not fresh:  # reads the table it replaces, so it goes through a stage
-        stage = write_table(orphans, scratch_dir(spark, "orphans"), "order_items")
-        orphans = spark.read.parquet(stage)
+        stage = scratch_dir(spark, "orphans")
+        orphans = spark.read.parquet(write_table(orphans, stage, "order_items"))
     orphans, done = count_into("records_quarantined", orphans, "orphans")
     write_table(orphans, f"{out}/_quarantine", "order_items_orphan")
     done()
+    if not fresh:
+        remove_path(spark, stage)
     bad_dates, done = count_into(
         "records_quarantined", silver.of_known_orders(bad_dates, parents), "bad_dates"
     )
@@ -204,7 +207,7 @@ def bronze_to_silver(
 
     newest = spark.read.parquet(f"{out}/orders").agg(F.max("order_purchase_ts")).first()[0]
     if newest is not None:
-        write_watermark(spark, state, "orders", newest)
+        write_watermark(spark, state, "orders", newest, restart=fresh)
     return metrics
 
 
@@ -215,9 +218,13 @@ WINDOW_LOAD = {"orders": ("order_id",), "order_items": ("order_id", "order_item_
 
 
 def load_staging(
-    spark: SparkSession, silver_base: str, out: str, since: str | None = None
+    spark: SparkSession, silver_base: str, out: str, since: date | None = None
 ) -> None:
-    """Copy clean entities to the staging area; with ``since``, large facts load that window only."""
+    """Copy clean entities to a staging area; with ``since``, large facts load that window only.
+
+    For a staging area outside the lake (``write_jdbc``) or on another store; within the lake
+    the models read the clean tables directly.
+    """
     for name in FULL_LOAD:
         write_table(read_parquet_entity(spark, silver_base, name), out, name)
     for name, keys in WINDOW_LOAD.items():
@@ -225,13 +232,13 @@ def load_staging(
         if since is None or not path_exists(spark, f"{out}/{name}"):
             write_table(df, out, name, MONTH)
             continue
-        if name != "orders":  # lines carry no date of their own
-            dates = read_parquet_entity(spark, silver_base, "orders").select(
-                "order_id", "order_date"
-            )
-            df = df.join(dates.filter(F.col("order_date") >= F.lit(since)), "order_id", "left_semi")
-        else:
+        df = df.filter(months_since(since))
+        if name == "orders":
             df = df.filter(F.col("order_date") >= F.lit(since))
+        else:  # lines carry no date of their own, only the month of their order
+            orders = read_parquet_entity(spark, silver_base, "orders").filter(months_since(since))
+            window = orders.filter(F.col("order_date") >= F.lit(since)).select("order_id")
+            df = df.join(window, "order_id", "left_semi")
         upsert(spark, f"{out}/{name}", df, keys, MONTH)
 
 
@@ -251,37 +258,47 @@ def seller_history(history: DataFrame) -> DataFrame:
     )
 
 
-def by_month(df: DataFrame) -> DataFrame:
+def by_month(df: DataFrame, key: str = "order_date_key") -> DataFrame:
     """Month columns to partition a fact by, from its date key."""
-    key = F.col("order_date_key")
-    return df.withColumn("order_year", F.floor(key / 10000).cast("int")).withColumn(
-        "order_month", F.floor(key / 100).cast("int") % 100
+    return df.withColumn("order_year", F.floor(F.col(key) / 10000).cast("int")).withColumn(
+        "order_month", F.floor(F.col(key) / 100).cast("int") % 100
     )
 
 
 def refresh_order_items(
     spark: SparkSession, path: str, items: DataFrame, orders: DataFrame, days: int = 3
 ) -> None:
-    """Incremental line fact: lines of recent orders replace their older copies."""
-    recent = lookback(orders, spark.read.parquet(path), "order_date", days)
-    batch = by_month(star.fact_order_items(items, recent))
-    upsert(spark, path, batch, ("order_id", "order_item_id"), MONTH)
+    """Incremental line fact: lines of recent orders replace their older copies.
+
+    ``items`` and ``orders`` are the clean entities; where they are partitioned by the month
+    of the order, only the recent months of both are read.
+    """
+    start = lookback_start(spark.read.parquet(path), "order_date", days)
+    if set(MONTH) <= set(items.columns):
+        items = items.filter(months_since(start))
+    recent = orders.filter(months_since(start)).filter(F.col("order_date") >= F.lit(start))
+    batch = star.fact_order_items(staging.stg_order_items(items), staging.stg_orders(recent))
+    upsert(spark, path, by_month(batch), ("order_id", "order_item_id"), MONTH)
 
 
 def refresh_daily_sales(
     spark: SparkSession, path: str, fact_orders: DataFrame, dim_date: DataFrame, days: int = 3
 ) -> None:
     """Incremental daily mart: the last days are computed again."""
-    recent = lookback_key(fact_orders, spark.read.parquet(path), "order_date_key", days)
+    start = lookback_start(spark.read.parquet(path), "order_date_key", days)
+    if set(MONTH) <= set(fact_orders.columns):
+        fact_orders = fact_orders.filter(months_since(start))
+    recent = fact_orders.filter(F.col("order_date_key") >= int(start.strftime("%Y%m%d")))
     upsert(spark, path, marts.daily_sales(recent, dim_date), ("order_date",))
 
 
 def build_models(
-    spark: SparkSession, staging_base: str, out: str, as_of: str, incremental: bool = False
+    spark: SparkSession, clean_base: str, out: str, as_of: str, incremental: bool = False
 ) -> dict[str, DataFrame]:
     """Write every model below ``out/<layer>`` and return them as read back.
 
-    An incremental build refreshes the line fact and the daily mart in place of rebuilding them.
+    Facts are partitioned by month. An incremental build refreshes the line fact and the
+    daily mart in place of rebuilding them.
     """
     models: dict[str, DataFrame] = {}
     lines_path, days_path = f"{out}/marts/fact_order_items", f"{out}/analytics/daily_sales"
@@ -292,34 +309,37 @@ def build_models(
         models[name] = read_parquet_entity(spark, f"{out}/{layer}", name)
         return models[name]
 
-    views = {
-        name: getattr(staging, f"stg_{name}")(read_parquet_entity(spark, staging_base, name))
-        for name in (*FULL_LOAD, *WINDOW_LOAD)
-    }
+    def keep_fact(name: str, df: DataFrame, key: str = "order_date_key") -> DataFrame:
+        models[name] = spark.read.parquet(write_by_month(by_month(df, key), f"{out}/marts", name))
+        return models[name]
+
+    clean = {n: read_parquet_entity(spark, clean_base, n) for n in (*FULL_LOAD, *WINDOW_LOAD)}
+    views = {name: getattr(staging, f"stg_{name}")(df) for name, df in clean.items()}
     models.update({f"stg_{name}": df for name, df in views.items()})
     models["int_order_item_metrics"] = star.order_item_metrics(views["order_items"])
     models["int_order_payments"] = star.order_payments(views["payments"])
+    orders = views["orders"]
 
     history = snapshot_sellers(spark, f"{out}/snapshots/sellers", views["sellers"], as_of)
-    days = keep("marts", "dim_date", star.dim_date(spine_over(views["orders"], "order_date")))
+    days = keep("marts", "dim_date", star.dim_date(spine_over(orders, "order_date")))
     customers = keep("marts", "dim_customer", star.dim_customer(views["customers"]))
     products = keep("marts", "dim_product", star.dim_product(views["products"]))
     sellers = keep("marts", "dim_seller", star.dim_seller(views["sellers"]))
     keep("marts", "dim_seller_history", seller_history(history))
     keep("marts", "dim_location", star.dim_location(views["customers"], views["sellers"]))
-    facts = keep("marts", "fact_orders", star.fact_orders(
-        views["orders"], views["order_items"], views["payments"], views["shipments"],
-        views["customers"]))
+
+    facts = keep_fact("fact_orders", star.fact_orders(
+        orders, views["order_items"], views["payments"], views["shipments"], views["customers"]))
     if incremental:
-        refresh_order_items(spark, lines_path, views["order_items"], views["orders"])
+        refresh_order_items(spark, lines_path, clean["order_items"], clean["orders"])
+        lines = models["fact_order_items"] = spark.read.parquet(lines_path)
     else:
-        lines = by_month(star.fact_order_items(views["order_items"], views["orders"]))
-        write_by_month(lines, f"{out}/marts", "fact_order_items")
-    lines = models["fact_order_items"] = spark.read.parquet(lines_path)
-    keep("marts", "fact_payments", star.fact_payments(views["payments"], views["orders"]))
-    shipped = keep("marts", "fact_shipments",
-                   star.fact_shipments(views["shipments"], views["orders"]))
-    returned = keep("marts", "fact_returns", star.fact_returns(views["returns"], views["orders"]))
+        lines = keep_fact("fact_order_items", star.fact_order_items(views["order_items"], orders))
+    keep_fact("fact_payments", star.fact_payments(views["payments"], orders))
+    shipped = keep_fact("fact_shipments", star.fact_shipments(views["shipments"], orders))
+    returned = keep_fact(
+        "fact_returns", star.fact_returns(views["returns"], orders), "return_date_key"
+    )
 
     if incremental:
         refresh_daily_sales(spark, days_path, facts, days)
@@ -364,8 +384,7 @@ def run_all(
 ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
     """Feeds to tested marts in order: (models, test results, build checks)."""
     bronze_to_silver(spark, raw, f"{base}/silver", latest=latest)
-    load_staging(spark, f"{base}/silver", f"{base}/staging")
-    models = build_models(spark, f"{base}/staging", base, as_of)
+    models = build_models(spark, f"{base}/silver", base, as_of)
     tests = check_models(models, segments)
     checks = model_tests.build_checks(models["fact_orders"], models["daily_sales"])
     return models, tests, checks

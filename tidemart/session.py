@@ -53,3 +53,9 @@ def hadoop_path(spark: SparkSession, path: str):
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, jpath = hadoop_path(spark, path)
     return fs.exists(jpath)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of our own: a finished stage, or a partition that has become empty."""
+    fs, jpath = hadoop_path(spark, path)
+    fs.delete(jpath, True)
