@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,9 +10,18 @@ from tidemart.contracts import CITY_ALIASES, PAYMENT_STATUS_ALIASES, alias_looku
 UNKNOWN = "Unknown"
 
 
+def sql_literal(value: str | None) -> str:
+    """A text constant as SQL. One parsed expression is far cheaper to build than a column
+    object per constant."""
+    if value is None:
+        return "null"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def canonicalize(c: Column, lookup: dict[str, str], fallback: Column) -> Column:
     """Canonical spelling by trimmed, case-blind lookup; ``fallback`` where it is not listed."""
-    table = F.create_map(*[F.lit(x) for x in chain.from_iterable(lookup.items())])
+    pairs = ", ".join(f"{sql_literal(k)}, {sql_literal(v)}" for k, v in lookup.items())
+    table = F.expr(f"map({pairs})")
     return F.coalesce(table[F.lower(F.trim(c))], fallback)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.dates import parse_ts
-from tidemart.session import path_exists, remove_path, scratch_dir
+from tidemart.session import Scratch, path_exists, remove_path
 
 # ------------------------------------------------------------------ watermark
 
@@ -121,37 +121,43 @@ def upsert(
     The new content is staged first; the swap then reads the stage only, so a broken swap
     is finished by running the upsert again. The stage is removed when all is done.
     """
-    partition_by = list(partition_by)
-    stage = scratch_dir(spark, "upsert")
-    batch_path, new_path = f"{stage}/batch", f"{stage}/new"
-    batch.write.parquet(batch_path)
-    batch = spark.read.parquet(batch_path)
+    with Scratch(spark, "upsert") as scratch:
+        _apply(spark, scratch, path, batch, list(keys), list(partition_by), keys_move, new_columns)
+
+
+def _apply(
+    spark: SparkSession,
+    scratch: Scratch,
+    path: str,
+    batch: DataFrame,
+    keys: list[str],
+    partition_by: list[str],
+    keys_move: bool,
+    new_columns: bool,
+) -> None:
+    batch = scratch.keep(batch, "batch")
     if not path_exists(spark, path):
         writer = batch.write.mode("overwrite")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-        remove_path(spark, stage)
         return
 
     target = spark.read.option("mergeSchema", new_columns).parquet(path)
     if not new_columns and set(batch.columns) != set(target.columns):
         raise ValueError(f"batch and table differ: {batch.columns} / {target.columns}")
     if not partition_by:
-        delete_insert(target, batch, keys).write.parquet(new_path)
-        spark.read.parquet(new_path).write.mode("overwrite").parquet(path)
-        remove_path(spark, stage)
+        scratch.keep(delete_insert(target, batch, keys), "new").write.mode("overwrite").parquet(path)
         return
 
     # only folder names reach the driver: at most one row per partition of the table
     homes = batch.select(*partition_by)
     if keys_move:
         older = target.select(*keys, *partition_by).join(
-            batch.select(*keys).distinct(), list(keys), "left_semi"
+            batch.select(*keys).distinct(), keys, "left_semi"
         )
         homes = homes.union(older.select(*partition_by))
     touched = homes.distinct().collect()
     old = target.filter(_in_partitions(partition_by, touched))
-    delete_insert(old, batch, keys).write.parquet(new_path)
-    new = spark.read.parquet(new_path)
+    new = scratch.keep(delete_insert(old, batch, keys), "new")
     filled = {tuple(r) for r in new.select(*partition_by).distinct().collect()}
     (
         # gathers each partition's rows; AQE cuts and merges them to the advisory file size
@@ -165,4 +171,3 @@ def upsert(
         if tuple(row) not in filled:
             folder = "/".join(f"{c}={_folder_value(row[c])}" for c in partition_by)
             remove_path(spark, f"{path}/{folder}")
-    remove_path(spark, stage)

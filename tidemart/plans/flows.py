@@ -21,9 +21,9 @@ from tidemart.operators.incremental import (
     write_watermark,
 )
 from tidemart.operators.scd2 import history_dimension, read_history, take_snapshot
-from tidemart.operators.split import split_orphans
+from tidemart.operators.split import without_parent
 from tidemart.plans import marts, model_tests, silver, staging, star
-from tidemart.session import path_exists, remove_path, scratch_dir
+from tidemart.session import Scratch, path_exists
 from tidemart.sinks.tables import StageMetrics, counted, write_by_month, write_table
 from tidemart.sources.calendar import spine_over
 from tidemart.sources.feeds import read_parquet_entity
@@ -134,42 +134,64 @@ def bronze_to_silver(
     """Clean all feeds into ``out``.
 
     Orders are written first and read back as the parents of everything else, so lines of
-    earlier orders stay valid in an incremental run and nothing needs to be cached. The
-    watermark moves after all writes; a run that broke is simply repeated.
+    earlier orders stay valid in an incremental run. What is used more than once is kept in
+    the shared scratch folder, so each feed is parsed and deduplicated once. The watermark
+    moves after all writes; a run that broke is simply repeated.
     """
-    latest = latest or {}
     metrics = StageMetrics("bronze_to_silver")
+    with Scratch(spark, "bronze_to_silver") as scratch:
+        _clean_feeds(spark, scratch, raw, out, incremental, lookback_days, latest or {}, metrics)
+    return metrics
+
+
+def _clean_feeds(
+    spark: SparkSession,
+    scratch: Scratch,
+    raw: Reader,
+    out: str,
+    incremental: bool,
+    lookback_days: int,
+    latest: Mapping[str, tuple[tuple[str, ...], tuple[str, ...]]],
+    metrics: StageMetrics,
+) -> None:
     state = f"{out}/_state"
 
-    def settle(name: str, transform) -> DataFrame:
+    def settle(name: str, transform, feed: DataFrame | None = None) -> DataFrame:
         order, tiebreak = latest.get(name, (None, None))
         extra = {} if order is None else {"latest": order, "tiebreak": tiebreak or None}
-        return transform(raw(name), **extra)
+        return transform(raw(name) if feed is None else feed, **extra)
 
-    def count_into(attribute: str, df: DataFrame, label: str):
+    def store(attribute: str, df: DataFrame, label: str, write) -> None:
         df, seen = counted(df, label)
-        return df, lambda: setattr(
-            metrics, attribute, getattr(metrics, attribute) + seen.get["rows"]
-        )
+        write(df)
+        setattr(metrics, attribute, getattr(metrics, attribute) + seen.get["rows"])
 
     mark = read_watermark(spark, state, "orders") if incremental else None
     fresh = not incremental or not path_exists(spark, f"{out}/orders")
     feed = since_watermark(raw("orders"), "order_purchase_ts", mark, lookback_days)
-    order, tiebreak = latest.get("orders", (("order_approved_ts",), ()))
-    orders = silver.clean_orders(feed, order, tiebreak or None)
+    orders = scratch.keep(settle("orders", silver.clean_orders, feed), "orders")
     if fresh:
         orders = silver.with_order_sequence(orders)
     else:
         orders = _resequenced(spark, f"{out}/orders", orders)
-    orders, done = count_into("records_loaded", orders, "orders")
-    _store(spark, orders, out, "orders", ("order_id",), fresh)
-    done()
+    store("records_loaded", orders, "orders",
+          lambda df: _store(spark, df, out, "orders", ("order_id",), fresh))
+
+    for name, transform in (
+        ("customers", silver.clean_customers),
+        ("sellers", silver.clean_sellers),
+        ("products", silver.clean_products),
+    ):
+        write_table(settle(name, transform), out, name)
 
     parents = spark.read.parquet(f"{out}/orders").select("order_id", *MONTH)
-    products = settle("products", silver.clean_products)
-    waiting_path = f"{out}/_quarantine/order_items_orphan"
-    items = _with_waiting(spark, waiting_path, settle("order_items", silver.usable_items), fresh)
-    shipments, bad_dates = silver.split_shipments(settle("shipments", silver.parse_shipments))
+    products = spark.read.parquet(f"{out}/products")
+    waiting = f"{out}/_quarantine/order_items_orphan"
+    items = _with_waiting(spark, waiting, settle("order_items", silver.usable_items), fresh)
+    items = scratch.keep(items, "order_items")
+    orphans = without_parent(items, parents, "order_id")
+    shipments = scratch.keep(settle("shipments", silver.parse_shipments), "shipments")
+    shipments, bad_dates = silver.split_shipments(shipments)
     facts = {
         "order_items": (silver.enrich_items(items, products), ("order_id", "order_item_id")),
         "payments": (settle("payments", silver.clean_payments), ("order_id", "payment_sequential")),
@@ -177,38 +199,21 @@ def bronze_to_silver(
         "returns": (settle("returns", silver.clean_returns), ("return_id",)),
     }
     for name, (df, keys) in facts.items():
-        df, done = count_into("records_loaded", df.join(parents, "order_id"), name)
-        _store(spark, df, out, name, keys, fresh or not path_exists(spark, f"{out}/{name}"))
-        done()
-    for name, transform in (
-        ("customers", silver.clean_customers),
-        ("sellers", silver.clean_sellers),
-    ):
-        write_table(settle(name, transform), out, name)
-    write_table(products, out, "products")
-
-    orphans = split_orphans(items, parents, "order_id")[1]
-    if not fresh:  # reads the table it replaces, so it goes through a stage
-        stage = scratch_dir(spark, "orphans")
-        orphans = spark.read.parquet(write_table(orphans, stage, "order_items"))
-    orphans, done = count_into("records_quarantined", orphans, "orphans")
-    write_table(orphans, f"{out}/_quarantine", "order_items_orphan")
-    done()
-    if not fresh:
-        remove_path(spark, stage)
-    bad_dates, done = count_into(
-        "records_quarantined", silver.of_known_orders(bad_dates, parents), "bad_dates"
-    )
-    if fresh:
-        write_table(bad_dates, f"{out}/_quarantine", "shipments_bad_dates")
-    else:
-        upsert(spark, f"{out}/_quarantine/shipments_bad_dates", bad_dates, ("order_id",))
-    done()
+        new_table = fresh or not path_exists(spark, f"{out}/{name}")
+        store("records_loaded", df.join(parents, "order_id"), name,
+              lambda d, n=name, k=keys, f=new_table: _store(spark, d, out, n, k, f))
+
+    aside = f"{out}/_quarantine"
+    store("records_quarantined", orphans, "orphans",
+          lambda df: write_table(df, aside, "order_items_orphan"))
+    bad_path = f"{aside}/shipments_bad_dates"
+    store("records_quarantined", silver.of_known_orders(bad_dates, parents), "bad_dates",
+          lambda df: write_table(df, aside, "shipments_bad_dates") if fresh
+          else upsert(spark, bad_path, df, ("order_id",)))
 
     newest = spark.read.parquet(f"{out}/orders").agg(F.max("order_purchase_ts")).first()[0]
     if newest is not None:
         write_watermark(spark, state, "orders", newest, restart=fresh)
-    return metrics
 
 
 # ----------------------------------------------------------- clean to staging

@@ -27,6 +27,8 @@ class Warehouse:
     ):
         """``raw`` reads a feed by name; ``latest`` gives (order, tiebreak) columns per feed."""
         self.raw = cache(raw)
+        self.orders = cache(self.orders)
+        self.order_items = cache(self.order_items)
         self._latest = latest or {}
         self.spark: SparkSession | None = None
         self.sf_dir = ""
@@ -61,7 +63,6 @@ class Warehouse:
     def products(self) -> DataFrame:
         return self._clean("products", silver.clean_products)
 
-    @cache
     def orders(self, sequence: str | None = None) -> DataFrame:
         """``sequence``: None, "flag" (repeat flag only) or "full" (position and flag)."""
         orders = self._clean("orders", silver.clean_orders)
@@ -69,7 +70,6 @@ class Warehouse:
             return silver.with_order_sequence(orders)
         return silver.with_repeat_flag(orders) if sequence == "flag" else orders
 
-    @cache
     def order_items(self, enriched: bool = True) -> DataFrame:
         items = self._clean("order_items", silver.usable_items)
         return silver.enrich_items(items, self.products) if enriched else items

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs rely on; everything else is left to the cluster.
 JOB_CONF = {
@@ -15,6 +15,8 @@ JOB_CONF = {
     # split a hot join key even where that costs the following aggregate a shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # no call-site lookup per column expression: it doubles the time a large plan takes to build
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # stream state on disk, so that its size is not bounded by the heap
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -22,7 +24,16 @@ JOB_CONF = {
 }
 
 
-def build_session(app: str = "tidemart", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app: str = "tidemart",
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
+    **conf: str,
+) -> SparkSession:
+    """``shuffle_partitions`` is the number before AQE merges small ones: choose it for the
+    largest shuffle, about its bytes over 128 MB."""
+    if shuffle_partitions:
+        conf = {"spark.sql.shuffle.partitions": str(shuffle_partitions), **conf}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -59,3 +70,25 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of our own: a finished stage, or a partition that has become empty."""
     fs, jpath = hadoop_path(spark, path)
     fs.delete(jpath, True)
+
+
+class Scratch:
+    """Intermediate tables of one job, written once, read as often as needed, removed at the end.
+
+        with Scratch(spark, "job") as scratch:
+            once = scratch.keep(expensive, "name")
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.base = spark, scratch_dir(spark, label)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.base}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        remove_path(self.spark, self.base)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.functions.text import sql_literal
+
 CITIES = (
     "BANGALORE", " Bengaluru ", "new delhi", "Mumbai", "bombay", "pune", "  ", "Hyderabad",
     "jaipur", None, "CALCUTTA", "Lucknow",
@@ -34,7 +36,8 @@ RETURN_STATUSES = ("requested", "approved", "completed", "rejected")
 
 def pick(values: tuple, index: Column) -> Column:
     """Value at a zero-based position."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    array = F.expr(f"array({', '.join(map(sql_literal, values))})")
+    return F.element_at(array, (index + 1).cast("int"))
 
 
 def _cycle(values: tuple, key: str) -> Column:
