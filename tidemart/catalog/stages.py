@@ -29,7 +29,7 @@ def _(w):
     for mark in newest:
         inc.write_watermark(w.spark, path, "orders", mark)
     mark = inc.read_watermark(w.spark, path, "orders")
-    return orders.filter(F.col("order_purchase_ts") >= F.lit(mark)).select(
+    return orders.filter(F.col("order_purchase_ts") >= F.lit(str(mark)).cast("timestamp_ntz")).select(
         "order_id", F.lit(str(mark)).cast("timestamp_ntz").alias("mark")
     )
 
