@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemart.operators import incremental as inc
 from tidemart.session import path_exists, scratch_dir
 from tidemart.sinks import landing
-from tidemart.sinks.tables import counted, write_by_month, write_table
+from tidemart.sinks.tables import counted, write_by_month, write_jdbc, write_table
 from tidemart.sources.feeds import load_entity, read_csv_feed, split_corrupt
 
 
@@ -174,6 +174,24 @@ def test_entity_fallback_order(spark, rows):
         load_entity(spark, base, "b")
 
 
+def test_jdbc_write_is_parallel_and_keeps_the_table(spark, monkeypatch):
+    """The call that would be made; no database is started for it."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    seen = {}
+    monkeypatch.setattr(DataFrameWriter, "option", lambda self, k, v: seen.update({k: v}) or self)
+
+    def jdbc(self, url, table, mode=None, properties=None):
+        seen.update(url=url, table=table, properties=properties, tasks=self._df.rdd.getNumPartitions())
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", jdbc)
+    write_jdbc(spark.range(100), "jdbc:x", "staging.orders", "overwrite", {"user": "u"}, 4)
+    assert seen == {
+        "numPartitions": 4, "batchsize": 10000, "truncate": True, "url": "jdbc:x",
+        "table": "staging.orders", "properties": {"user": "u"}, "tasks": 4,
+    }
+
+
 def test_counts_ride_on_the_write(spark, rows):
     df, seen = counted(rows("x int", (1,), (2,)), "w", total=F.sum("x"))
     write_table(df, scratch_dir(spark, "w"), "t")

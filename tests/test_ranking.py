@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import pytest
 
-from tidemart.operators.ranking import bucketed_rank, top_k_ranked, value_buckets
+from tidemart.operators.ranking import bucketed_row_number, rank_in_group, top_k_ranked
 
 
 def expected(data, kind):
@@ -31,10 +31,10 @@ def skewed(n=900, seed=5):
 
 @pytest.mark.parametrize("kind", ["rank", "dense_rank"])
 @pytest.mark.parametrize("buckets", [2, 16])
-def test_bucketed_rank_equals_brute_force(spark, kind, buckets):
+def test_rank_in_group_equals_brute_force(spark, kind, buckets):
     data = skewed()
     df = spark.createDataFrame(data, "g string, i int, v int")
-    ranked = bucketed_rank(value_buckets(df, "g", "v", "b", buckets), "g", "b", ["v"], "r", kind, True)
+    ranked = rank_in_group(df, "g", "v", "r", kind, buckets)
     got = {r.i: r.r for r in ranked.collect()}
     assert got == expected(data, kind)
 
@@ -42,19 +42,19 @@ def test_bucketed_rank_equals_brute_force(spark, kind, buckets):
 def test_bucketed_row_number_is_one_sequence(spark):
     data = [(1 if i % 3 else 2, i // 50, i * 7 % 150, i) for i in range(600)]
     df = spark.createDataFrame(data, "g int, day int, ts int, id int")
-    got = {r.id: r.n for r in bucketed_rank(df, "g", "day", ["day", "ts", "id"], "n").collect()}
+    got = {r.id: r.n for r in bucketed_row_number(df, "g", "day", ["day", "ts", "id"], "n").collect()}
     for g in (1, 2):
         order = [id_ for *_, id_ in sorted(d for d in data if d[0] == g)]
         assert [got[i] for i in order] == list(range(1, len(order) + 1))
 
 
-def test_no_window_sees_a_whole_group(spark, plan):
+def test_windows_see_distinct_values_by_bucket_only(spark, plan):
     df = spark.createDataFrame(skewed(100), "g string, i int, v int")
-    ranked = bucketed_rank(value_buckets(df, "g", "v", "b"), "g", "b", ["v"], "r", "dense_rank", True)
-    windows = [w for w in plan(ranked).splitlines() if "Window [dense_rank" in w]
-    assert len(windows) == 1
-    partition = windows[0].rsplit("], [", 2)[1]
-    assert "g#" in partition and "b#" in partition
+    text = plan(rank_in_group(df, "g", "v", "r"))
+    windows = [w for w in text.splitlines() if "Window [" in w]
+    by_value = [w for w in windows if "_v#" in w]
+    assert len(by_value) == 1 and "_vb#" in by_value[0].rsplit("], [", 2)[1]
+    assert not any("i#" in w for w in windows), "no row of the input is sorted in a window"
 
 
 def test_rank_of_prefix_is_rank_of_whole(spark, plan):

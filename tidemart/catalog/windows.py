@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemart.catalog.registry import query
 from tidemart.functions.ratio import percent
 from tidemart.operators.dedup import dedup_latest, top_per_group
-from tidemart.operators.ranking import bucketed_rank, moving_average, top_k, top_k_ranked, value_buckets
+from tidemart.operators.ranking import moving_average, rank_in_group, top_k, top_k_ranked
 from tidemart.plans.marts import with_calendar
 from tidemart.plans.silver import with_repeat_flag
 from tidemart.session import scratch_dir
@@ -69,10 +69,7 @@ def _(w):
     base = scratch_dir(w.spark, "w07")
     summary = w.customer_summary.select("state", "customer_id", "orders")
     summary = w.spark.read.parquet(write_table(summary, base, "customers"))
-    return bucketed_rank(
-        value_buckets(summary, "state", "orders", "_b"), "state", "_b", ["orders"],
-        "rank_in_state", "dense_rank", descending=True,
-    ).drop("_b")
+    return rank_in_group(summary, "state", "orders", "rank_in_state")
 
 
 query("w08_top_row_per_group")(

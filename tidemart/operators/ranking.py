@@ -27,42 +27,31 @@ def top_k_ranked(
     return top_k(df, value, ids, k).withColumn(rank_col, _KINDS[kind]().over(w))
 
 
-def bucketed_rank(
-    df: DataFrame,
-    group: str,
-    bucket: str,
-    order: Sequence[str],
-    out: str,
-    kind: str = "row_number",
-    descending: bool = False,
+def _before(df: DataFrame, group: str, bucket: str, size: Column, descending: bool) -> DataFrame:
+    """(_g, _b, _before): what the earlier buckets of the group hold in total."""
+    order = F.col("_b").desc() if descending else F.col("_b").asc()
+    earlier = (
+        Window.partitionBy("_g").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    totals = df.groupBy(F.col(group).alias("_g"), F.col(bucket).alias("_b")).agg(size.alias("_n"))
+    return totals.select("_g", "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+
+
+def bucketed_row_number(
+    df: DataFrame, group: str, bucket: str, order: Sequence[str], out: str
 ) -> DataFrame:
-    """Rank inside ``group``, computed per (group, bucket) plus what earlier buckets hold.
+    """row_number() inside ``group``, computed per (group, bucket) plus the rows of earlier buckets.
 
-    ``bucket`` must be a monotonic function of the first order column, so that equal
-    values share a bucket. A group of any size then spreads over its buckets; only the
-    bucket totals of a group meet in one task. ``rank``/``dense_rank`` take one order column.
+    ``bucket`` must be a monotonic function of the order. A group of any size then spreads
+    over its buckets; only the bucket totals of a group meet in one task.
     """
-    direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    inner = Window.partitionBy(group, bucket).orderBy(*[direction(c) for c in order])
-    size = F.countDistinct(order[0]) if kind == "dense_rank" else F.count("*")
-    # a null value is one more distinct value
-    if kind == "dense_rank":
-        size = size + F.max(F.col(order[0]).isNull().cast("int"))
-    earlier = (
-        Window.partitionBy("_g")
-        .orderBy(direction("_b"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    totals = (
-        df.groupBy(F.col(group).alias("_g"), F.col(bucket).alias("_b"))
-        .agg(size.alias("_n"))
-        .select("_g", "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    )
-    ranked = df.withColumn("_local", _KINDS[kind]().over(inner))
+    inner = Window.partitionBy(group, bucket).orderBy(*order)
+    before = _before(df, group, bucket, F.count("*"), descending=False)
+    numbered = df.withColumn("_local", F.row_number().over(inner))
     return (
-        ranked.join(
-            totals,
-            ranked[group].eqNullSafe(totals["_g"]) & ranked[bucket].eqNullSafe(totals["_b"]),
+        numbered.join(
+            before,
+            numbered[group].eqNullSafe(before["_g"]) & numbered[bucket].eqNullSafe(before["_b"]),
         )
         .withColumn(out, (F.col("_before") + F.col("_local")).cast("int"))
         .drop("_g", "_b", "_before", "_local")
@@ -75,16 +64,45 @@ def value_buckets(df: DataFrame, group: str, value: str, out: str, buckets: int
     The cuts only balance the work; any cuts give the same ranks.
     """
     points = [i / buckets for i in range(1, buckets)]
-    cuts = df.groupBy(F.col(group).alias("_g")).agg(
+    cuts = df.groupBy(F.col(group).alias("_cg")).agg(
         F.percentile_approx(F.col(value).cast("double"), points, 1000).alias("_cuts")
     )
     return (
-        df.join(cuts, df[group].eqNullSafe(cuts["_g"]))
+        df.join(cuts, df[group].eqNullSafe(cuts["_cg"]))
         .withColumn(
             out, F.size(F.filter("_cuts", lambda cut: cut <= F.col(value).cast("double")))
         )
-        .drop("_g", "_cuts")
+        .drop("_cg", "_cuts")
+    )
+
+
+def rank_in_group(
+    df: DataFrame, group: str, value: str, out: str, kind: str = "dense_rank", buckets: int = 64
+) -> DataFrame:
+    """rank() or dense_rank() by falling value inside each group; null values come last.
+
+    Ranks are worked out on the distinct values of a group, counted map-side and cut into
+    value buckets, so neither a large group nor a value most of its rows share gathers in
+    one task. The rows then look their rank up.
+    """
+    step = F.lit(1) if kind == "dense_rank" else F.col("_n")
+    values = df.groupBy(F.col(group).alias("_vg"), F.col(value).alias("_v")).agg(
+        F.count("*").alias("_n")
+    )
+    cut = value_buckets(values, "_vg", "_v", "_vb", buckets)
+    higher = (
+        Window.partitionBy("_vg", "_vb")
+        .orderBy(F.col("_v").desc_nulls_last())
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
+    local = cut.withColumn("_local", F.coalesce(F.sum(step).over(higher), F.lit(0)))
+    before = _before(cut, "_vg", "_vb", F.sum(step), descending=True)
+    ranks = local.join(
+        before, local["_vg"].eqNullSafe(before["_g"]) & local["_vb"].eqNullSafe(before["_b"])
+    ).select("_vg", "_v", (F.col("_before") + F.col("_local") + 1).cast("int").alias(out))
+    return df.join(
+        ranks, df[group].eqNullSafe(ranks["_vg"]) & df[value].eqNullSafe(ranks["_v"])
+    ).drop("_vg", "_v")
 
 
 def moving_average(

@@ -10,11 +10,10 @@ from tidemart.functions.ratio import exact_ratio, percent
 from tidemart.functions.text import blank_to_unknown
 from tidemart.operators.dedup import top_per_group
 from tidemart.operators.ranking import (
-    bucketed_rank,
     moving_average,
+    rank_in_group,
     top_k,
     top_k_ranked,
-    value_buckets,
 )
 from tidemart.operators.summaries import sum_if, weighted_mean_parts
 from tidemart.plans.marts import LINE, returned_lines, with_calendar
@@ -276,16 +275,13 @@ def q13(
     )
 
 
-def q14(seller_performance: DataFrame, buckets: int = 64) -> DataFrame:
-    """Rank of each seller in its state. Sellers of a state are ranked in value buckets."""
+def q14(seller_performance: DataFrame) -> DataFrame:
+    """Rank of each seller in its state."""
     selling = seller_performance.filter("gmv_inr > 0").select(
         "seller_state", "seller_id", "seller_name", "gmv_inr"
     )
-    ranked = bucketed_rank(
-        value_buckets(selling, "seller_state", "gmv_inr", "_bucket", buckets),
-        "seller_state", "_bucket", ["gmv_inr"], "rank_in_state", "dense_rank", descending=True,
-    )
-    return ranked.drop("_bucket").orderBy("seller_state", "rank_in_state", "seller_id")
+    ranked = rank_in_group(selling, "seller_state", "gmv_inr", "rank_in_state")
+    return ranked.orderBy("seller_state", "rank_in_state", "seller_id")
 
 
 def q15(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:

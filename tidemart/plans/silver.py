@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemart.functions import dates, text
 from tidemart.functions.ratio import money
 from tidemart.operators.dedup import dedup_latest
-from tidemart.operators.ranking import bucketed_rank
+from tidemart.operators.ranking import bucketed_row_number
 from tidemart.operators.split import split_quarantine, with_parent
 
 DELIVERY_HORIZON = "2099-01-01"
@@ -79,7 +79,7 @@ def with_order_sequence(orders: DataFrame) -> DataFrame:
     Counted per customer and day first, so a customer with very many orders is spread
     over the days they ordered on.
     """
-    ranked = bucketed_rank(
+    ranked = bucketed_row_number(
         orders, "customer_id", "order_date", ["order_purchase_ts", "order_id"],
         "customer_order_seq",
     )

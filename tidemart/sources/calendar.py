@@ -16,7 +16,10 @@ def date_spine(spark: SparkSession, first: str, last: str) -> DataFrame:
 
 
 def spine_over(df: DataFrame, col: str) -> DataFrame:
-    """One row per day of all calendar years the column touches, so that no date misses."""
+    """One row per day of all calendar years the column touches, so that no date misses.
+
+    At most one row per day of the years 1 to 9999, whatever the size of ``df``.
+    """
     span = df.agg(F.min(col).alias("a"), F.max(col).alias("b"))
     return span.filter("a is not null").select(
         _days(F.make_date(F.year("a"), F.lit(1), F.lit(1)),
