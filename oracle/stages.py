@@ -142,6 +142,18 @@ check(
         for t, s in TABLES.items()
     ]),
 )
+check(
+    "p01_landed_feed_in_declared_types",
+    "order_item_id:i lines:i units:i with_product:i",
+    """SELECT order_item_id, count(*) AS lines, sum(quantity) AS units,
+              count(product_id) AS with_product FROM raw_items GROUP BY order_item_id""",
+)
+check(
+    "src01_csv_feeds_to_clean_orders", "part:s rows_n:i",
+    """SELECT 'orders' AS part, count(*) AS rows_n FROM clean_orders
+       UNION ALL SELECT 'order_items', count(*) FROM raw_items WHERE order_item_id <> 6
+       UNION ALL SELECT 'corrupt', count(*) FROM raw_items WHERE order_item_id = 6""",
+)
 check(
     "p03_raw_to_clean_in_two_runs",
     "order_id:i customer_id:i order_status:s customer_order_seq:i is_repeat_order:i order_year:i"

@@ -8,6 +8,7 @@ from tidemart.contracts import FEEDS
 from tidemart.plans import flows
 from tidemart.plans.warehouse import Marts
 from tidemart.session import scratch_dir
+from tidemart.sinks import landing
 
 TEXT = {
     "customers": [("c1", "Asha", None, None, "bombay", "maharashtra", "4", "2023-01-05", "New"),
@@ -77,3 +78,20 @@ def test_two_runs_and_build(spark):
     assert again["dim_seller_history"].count() == 1
     total = again["fact_order_items"].agg(F.sum("line_total_inr")).first()[0]
     assert int(total) == 150
+
+
+def test_csv_files_over_landing_to_clean(spark):
+    base = scratch_dir(spark, "bronze")
+    read = reader(spark, FIRST)
+    for name in FEEDS:
+        read(name).write.option("header", True).csv(f"{base}/raw/{name}.csv")
+    landed = landing.land_all(spark, f"{base}/raw", "2024-01-01", f"{base}/bronze")
+    assert landed.files_discovered == 8
+    flows.bronze_to_silver(spark, landing.bronze_reader(spark, f"{base}/bronze"), f"{base}/a")
+    flows.bronze_to_silver(spark, flows.csv_reader(spark, f"{base}/raw", f"{base}/b"), f"{base}/b")
+    flows.bronze_to_silver(spark, read, f"{base}/c")
+    for name in FEEDS:
+        contents = {
+            tuple(sorted(map(repr, spark.read.parquet(f"{base}/{x}/{name}").collect()))) for x in "abc"
+        }
+        assert len(contents) == 1, name

@@ -12,7 +12,7 @@ from tidemart.plans import silver, staging
 from tidemart.session import scratch_dir
 from tidemart.sinks import landing
 from tidemart.sinks.tables import counted, write_by_month, write_table
-from tidemart.sources.feeds import load_entity, read_csv_feed, read_parquet_entity, split_corrupt
+from tidemart.sources.feeds import load_entity, parse_csv_feed, read_parquet_entity
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -36,21 +36,30 @@ def feed_files(w, base: str, names=tuple(FEEDS)) -> str:
 @query("src01_csv_scan")
 def _(w):
     base = feed_files(w, scratch_dir(w.spark, "csv"), ("customers",))
-    good, _ = split_corrupt(read_csv_feed(w.spark, f"{base}/customers.csv", "customers"))
-    return good
+    return parse_csv_feed(w.spark, f"{base}/customers.csv", "customers", f"{base}/parsed")[0]
+
+
+def broken_items(w, path: str) -> None:
+    """Line feed with a broken number on every line numbered six."""
+    lines = w.raw("order_items").select(*FEEDS["order_items"].struct.fieldNames())
+    quantity = F.col("quantity").cast("string")
+    broken = F.when(F.col("order_item_id") == 6, F.lit("many")).otherwise(quantity)
+    write_csv(lines.withColumn("quantity", broken), path)
 
 
 @query("src01_csv_corrupt_rows")
 def _(w):
-    """Line feed with broken numbers for every sixth line: parsed and set-aside rows."""
+    """Parsed and set-aside rows of a feed."""
     base = scratch_dir(w.spark, "csv")
-    lines = w.raw("order_items").select(*FEEDS["order_items"].struct.fieldNames())
-    broken = F.when(F.col("order_item_id") == 6, F.lit("many")).otherwise(F.col("quantity").cast("string"))
-    write_csv(lines.withColumn("quantity", broken), f"{base}/order_items.csv")
-    read = read_csv_feed(w.spark, f"{base}/order_items.csv", "order_items")
-    return read.groupBy(F.col("_corrupt_record").isNotNull().alias("corrupt")).agg(
-        F.count("*").alias("rows_n"), F.sum("quantity").alias("units")
-    )
+    broken_items(w, f"{base}/order_items.csv")
+    sides = parse_csv_feed(w.spark, f"{base}/order_items.csv", "order_items", f"{base}/parsed")
+    parts = [
+        df.agg(F.count("*").alias("rows_n"), F.sum("quantity").alias("units")).select(
+            F.lit(corrupt).alias("corrupt"), "rows_n", "units"
+        )
+        for corrupt, df in zip((False, True), sides)
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("src02_declared_schemas")
@@ -58,7 +67,7 @@ def _(w):
     """All eight feeds read back with their schemas: rows, and rows with a complete key."""
     base, parts = feed_files(w, scratch_dir(w.spark, "csv")), []
     for name, feed in FEEDS.items():
-        df, _ = split_corrupt(read_csv_feed(w.spark, f"{base}/{name}.csv", name))
+        df, _ = parse_csv_feed(w.spark, f"{base}/{name}.csv", name, f"{base}/parsed/{name}")
         complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in feed.primary_key])
         parts.append(
             df.agg(F.count("*").alias("rows_n"), F.count_if(complete).alias("keyed")).select(

@@ -6,11 +6,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.catalog.io import feed_files
+from tidemart.catalog.io import broken_items, feed_files
 from tidemart.catalog.quality import SEGMENTS
 from tidemart.catalog.registry import query
 from tidemart.operators import incremental as inc
-from tidemart.plans import flows
+from tidemart.plans import flows, silver
 from tidemart.plans.flows import MONTH
 from tidemart.session import scratch_dir
 from tidemart.sinks import landing
@@ -165,6 +165,38 @@ def _(w):
     ).withColumn("loaded_again", F.lit(again.records_loaded).cast("bigint"))
 
 
+@query("p01_landed_feed_in_declared_types")
+def _(w):
+    """From CSV files over landing to typed lines."""
+    base = scratch_dir(w.spark, "landing")
+    raw = feed_files(w, f"{base}/raw", ("order_items", "returns"))
+    landing.land_all(w.spark, raw, "2024-01-01", f"{base}/bronze")
+    lines = landing.bronze_reader(w.spark, f"{base}/bronze")("order_items")
+    return lines.groupBy("order_item_id").agg(
+        F.count("*").alias("lines"), F.sum("quantity").alias("units"),
+        F.count("product_id").alias("with_product"),
+    )
+
+
+@query("src01_csv_feeds_to_clean_orders")
+def _(w):
+    """From CSV files with broken lines to clean orders, and the broken lines set aside."""
+    base = scratch_dir(w.spark, "csv")
+    raw = feed_files(w, f"{base}/raw", ("orders",))
+    broken_items(w, f"{base}/raw/order_items.csv")
+    read = flows.csv_reader(w.spark, raw, base)
+    orders, items = silver.clean_orders(read("orders")), read("order_items")
+    corrupt = w.spark.read.parquet(f"{base}/_quarantine/order_items_corrupt")
+    counts = {
+        "orders": orders.filter("order_date is not null"), "order_items": items, "corrupt": corrupt,
+    }
+    parts = [
+        df.agg(F.count("*").alias("rows_n")).select(F.lit(name).alias("part"), "rows_n")
+        for name, df in counts.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("p03_raw_to_clean_in_two_runs")
 def _(w):
     """An initial and an incremental run end with the same orders as one full run."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from tidemart.plans import marts, model_tests, silver, staging, star
 from tidemart.session import Scratch, path_exists
 from tidemart.sinks.tables import StageMetrics, counted, write_by_month, write_table
 from tidemart.sources.calendar import spine_over
-from tidemart.sources.feeds import read_parquet_entity
+from tidemart.sources.feeds import parse_csv_feed, read_parquet_entity
 
 Reader = Callable[[str], DataFrame]
 MONTH = ("order_year", "order_month")
@@ -83,6 +84,22 @@ def quarantined_rows(tables: dict[str, DataFrame], name: str, rules) -> DataFram
 # --------------------------------------------------------------- raw to clean
 
 
+def csv_reader(spark: SparkSession, raw_dir: str, out: str) -> Reader:
+    """Reads CSV feeds of a folder, each parsed once into ``out/_parsed``.
+
+    Rows that do not parse are written to ``out/_quarantine``.
+    """
+
+    @cache
+    def read(name: str) -> DataFrame:
+        path = f"{raw_dir.rstrip('/')}/{name}.csv"
+        good, corrupt = parse_csv_feed(spark, path, name, f"{out}/_parsed/{name}")
+        write_table(corrupt, f"{out}/_quarantine", f"{name}_corrupt")
+        return good
+
+    return read
+
+
 def _store(
     spark: SparkSession, df: DataFrame, out: str, name: str, keys: tuple[str, ...], fresh: bool
 ) -> None:

@@ -27,10 +27,18 @@ def read_csv_feed(spark: SparkSession, path: str, source: str) -> DataFrame:
     )
 
 
-def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows that parsed, rows that did not)."""
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return good, df.filter(F.col(CORRUPT).isNotNull())
+def parse_csv_feed(
+    spark: SparkSession, path: str, source: str, store: str
+) -> tuple[DataFrame, DataFrame]:
+    """(rows that parsed, rows that did not, with their text) of a CSV feed.
+
+    The parsed feed is stored at ``store`` first: read lazily, a CSV scan converts only the
+    columns a query uses, and which rows count as broken would change from query to query.
+    """
+    read_csv_feed(spark, path, source).write.mode("overwrite").parquet(store)
+    parsed = spark.read.parquet(store)
+    good = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return good, parsed.filter(F.col(CORRUPT).isNotNull())
 
 
 def read_csv_verbatim(spark: SparkSession, path: str) -> DataFrame:
@@ -38,6 +46,14 @@ def read_csv_verbatim(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
+def typed(df: DataFrame, source: str) -> DataFrame:
+    """Landed text in the declared types; what does not parse is null. Other columns stay."""
+    types = {f.name: f.dataType for f in FEEDS[source].struct.fields}
+    return df.select(
+        *[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns]
+    )
+
+
 def missing_columns(df: DataFrame, source: str) -> list[str]:
     """Required columns the feed lacks; any of them rejects the whole file."""
     return sorted(set(FEEDS[source].required) - set(df.columns))
