@@ -5,13 +5,14 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from oracle import SQL
+from tidemart.catalog import QUERIES, run
 from tests.conftest import SF_DIR
 from verify import TABLES, rows_of
 
 # covered on literal feeds in test_stages
 SLOW = {"p03_raw_to_clean_in_two_runs", "p03_raw_to_clean_row_counts", "p04_clean_to_staging", "s08_window_load"}
-SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,12 +24,12 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(SQL) == set(queries())
+    assert set(SQL) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
 def test_query(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
+    df = run(name, spark, SF_DIR)
     theirs = duck.execute(SQL[name])
     columns = [d[0] for d in theirs.description]
     assert sorted(columns) == sorted(df.columns)
