@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,3 +61,13 @@ def to_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
         [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)],
         schema=schema,
     )
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files that no plan refers to any more.
+
+    Spark deletes them when the driver collects its garbage, which a driver that does little may
+    not do for half an hour; a job that has just written a large intermediate table asks for it.
+    """
+    gc.collect()
+    spark._jvm.System.gc()

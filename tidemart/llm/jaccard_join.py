@@ -34,10 +34,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import slices, to_batch
+from tidemart.llm.common import release, slices, to_batch
 from tidemart.llm.components import components
 from tidemart.llm.grams import mix, shingle_sets
 from tidemart.session import Scratch, remove_path
@@ -95,6 +95,11 @@ def _fresh(c: np.ndarray, sizes: np.ndarray, seen: set[int]) -> np.ndarray:
     return out
 
 
+def _c(key: str) -> Column:
+    """The first half of a key as a number, by which signatures name classes."""
+    return F.conv(F.hex(F.substring(key, 1, 8)), 16, -10).cast("long")
+
+
 def keyed(docs: DataFrame, params: JoinParams) -> DataFrame:
     """(doc_id, n_shingles, key) of each document; key is null for empty sets."""
 
@@ -350,8 +355,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, params: JoinParams, scratch: Scrat
         .where(F.col("bits").bitwiseAND(bit("c")) != 0)
         .select("key", "c", "features")
     )
-    exact = likely.join(wanted.select("c").distinct(), "c", "left_semi")
-    return scratch.keep(exact.groupBy("key", "c").agg(F.first("features").alias("features")), "sets")
+    # dealt once by c: both what follows and the join that drops the bitmap's misses use that
+    exact = likely.repartition("c").join(wanted.select("c").distinct(), "c", "left_semi")
+    return scratch.keep(exact.groupBy("c", "key").agg(F.first("features").alias("features")), "sets")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -427,12 +433,22 @@ def jaccard_join(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFram
         "found",
     )
     pairs = found.where(~F.col("big")).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    pairs = scratch.keep(pairs, "pairs")
-    wanted = pairs.select(F.col("x").alias("c")).unionAll(pairs.select(F.col("y").alias("c"))).distinct()
+    release(spark)
+    # sets of too different sizes cannot link; a c may stand for several classes, however unlikely
+    sizes = rows.where(F.col("key").isNotNull()).groupBy(_c("key").alias("c")).agg(
+        F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"))
+    for side in ("x", "y"):
+        pairs = pairs.join(sizes.select(F.col("c").alias(side), F.col("lo").alias(f"lo_{side}"), F.col("hi").alias(f"hi_{side}")), side)
+    able = (F.col("hi_x") * 100 >= F.col("lo_y") * params.percent) & (F.col("hi_y") * 100 >= F.col("lo_x") * params.percent)
+    pairs = scratch.keep(pairs.where(able).select("x", "y"), "pairs")
+    groups = found.where("big").select(F.col("x").alias("sig"), F.col("y").alias("c"))
+    wanted = pairs.select(F.col("x").alias("c")).unionAll(pairs.select(F.col("y").alias("c")))
+    wanted = wanted.unionAll(groups.select("c")).distinct()
     sets = _sets(docs, wanted, params, scratch)
+    release(spark)
     links = scratch.keep(_verify(pairs, sets, params.percent), "links")
+    release(spark)
     component = components(links, scratch, "first")
-    groups = found.where("big").select(F.col("x").alias("sig"), F.col("y").alias("c"))
     more = scratch.keep(_between_blocks(groups, sets, component, params, scratch), "more")
     links = links.unionAll(more).distinct()
     component = components(links, scratch, "second")

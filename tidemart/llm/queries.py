@@ -1,13 +1,45 @@
-"""Registered queries of this package, each over its whole table, and their check SQL."""
+"""Registered queries of this package, each over its whole table."""
 
 from __future__ import annotations
 
-from tidemart.llm import jaccard_join
-from tidemart.llm.common import table
+from pyspark.sql import functions as F
+
+from tidemart.llm import decontaminate, jaccard_join, lang_id, packing, toxicity
+from tidemart.llm.common import remainder, table
+
+
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), packing.PackParams(word_tokenizer()))
+
+
+def op4_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "mean_ratio")
 
 
 def op7_ngram_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op7_ngram_jaccard_join,)}
+def op9_benchmark_decontamination(spark, sf_dir):
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+def op10_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = lang_id.identify(docs, lang_id.fit(docs))
+    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_best_fit_packing, op4_toxicity, op7_ngram_jaccard_join, op9_benchmark_decontamination, op10_language_id,
+)}

@@ -26,9 +26,44 @@ common AS (
 ), component AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 """
 
+#: windows of the items, the document windows that equal one, and the words they cover
+DECONTAMINATION = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM {docs}
+), b AS (
+    SELECT item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), p AS (
+    SELECT DISTINCT item_id, least(len(words), 13) AS n,
+        unnest(list_transform(range(1, len(words) - least(len(words), 13) + 2),
+            lambda i: array_to_string(words[i:i + least(len(words), 13) - 1], ' '))) AS window_text
+    FROM b WHERE len(words) > 0
+), lengths AS (SELECT DISTINCT n FROM p),
+placed AS (
+    SELECT doc_id, n, words, unnest(range(1, len(words) - n + 2)) AS i FROM d, lengths WHERE len(words) >= n
+), found AS (
+    SELECT doc_id, i, placed.n, item_id FROM placed JOIN p ON placed.n = p.n AND array_to_string(words[i:i + placed.n - 1], ' ') = window_text
+), hit AS (
+    SELECT doc_id, count(DISTINCT w) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS w FROM found) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 SQL = {
     "op7_ngram_jaccard_join": JACCARD.format(docs="documents") + """
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id
 FROM w LEFT JOIN n USING (doc_id) JOIN component ON component.a = w.doc_id
 """,
+    "op9_benchmark_decontamination": DECONTAMINATION.format(docs="documents"),
 }
