@@ -11,12 +11,14 @@ How links are found
     most that many partitions differ. A set enumerates, in one order of the partitions that holds
     for all sets, the contents of its first k + 1 non-empty partitions, k being that bound for its
     largest possible partner; by the pigeonhole principle two sets that link share one of these
-    signatures. (PartEnum with subsets of one partition; only as many as the bound needs.)
+    signatures. (PartEnum with subsets of one partition; only as many as the bound needs.) With SPARE
+    more, they share SPARE + 1, and a pair that shares fewer is no candidate.
     Partitions of frequent shingles come last in the order, so that passages which many documents
     share become signatures only of documents that consist of little else. Which shingles count as
     frequent changes the work, never the result.
 Candidates
-    Groups of up to SMALL_GROUP classes with one signature are compared pair by pair. In a larger
+    Groups of up to SMALL_GROUP classes with one signature give their pairs, and a pair is compared if it
+    meets in SPARE + 1 of them (or in a larger group, which is treated by itself). In a larger
     group each class is compared with the group's least PIVOTS classes; what these links leave in separate
     components is compared block by block, so no group is ever held by one task and no link
     between components is lost.
@@ -43,17 +45,20 @@ from tidemart.llm.grams import mix, shingle_sets
 from tidemart.session import Scratch, remove_path
 
 SMALL_GROUP, PIVOTS = 16, 4
+#: signatures beyond the bound; all that link share one more than this
+SPARE = 7
 #: a shingle of at least this many classes is put last; at most so many are sent to executors
 FREQUENT, FREQUENT_KEPT = 12, 1 << 18
 #: words of the bitmap that marks candidate classes before their sets are shuffled: 2^24 bits
 BITMAP_WORDS = 1 << 18
 BLOCK = 256
+EVEN = ~np.uint64(1)
 
 _KEYED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary())])
 _COUNTED = pa.schema([("shingle", pa.int64()), ("n", pa.int64())])
 _SIGNED = pa.schema([("sig", pa.int64()), ("c", pa.int64())])
 _SETS = pa.schema([("key", pa.binary()), ("c", pa.int64()), ("features", pa.binary())])
-_FOUND = pa.schema([("big", pa.bool_()), ("x", pa.int64()), ("y", pa.int64())])
+_FOUND = pa.schema([("big", pa.bool_()), ("x", pa.int64()), ("y", pa.int64()), ("shared", pa.int32())])
 
 
 @dataclass(frozen=True)
@@ -96,8 +101,8 @@ def _fresh(c: np.ndarray, sizes: np.ndarray, seen: set[int]) -> np.ndarray:
 
 
 def _c(key: str) -> Column:
-    """The first half of a key as a number, by which signatures name classes."""
-    return F.conv(F.hex(F.substring(key, 1, 8)), 16, -10).cast("long")
+    """The first half of a key as an even number, by which signatures name classes."""
+    return F.conv(F.hex(F.substring(key, 1, 8)), 16, -10).cast("long").bitwiseAND(F.lit(-2))
 
 
 def keyed(docs: DataFrame, params: JoinParams) -> DataFrame:
@@ -147,8 +152,8 @@ def frequent_shingles(docs: DataFrame, params: JoinParams) -> np.ndarray:
 
 def signatures_of(
     found: np.ndarray, at: np.ndarray, frequent: np.ndarray, percent: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, position of its set) for many sets at once."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, position of its set, has the set too few partitions for SPARE) for many sets."""
     sizes = np.diff(at)
     band = np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64)
     top = np.int64(1) << band
@@ -159,7 +164,7 @@ def signatures_of(
         hot = frequent[spot] == found
     owner = np.repeat(np.arange(len(sizes)), sizes)
     spread, content = mix(found ^ np.uint64(0xA0761D6478BD642F)), mix(found)
-    sigs, owners = [], []
+    sigs, owners, scant = [], [], []
     for up in (0, 1):
         # own band: partners up to the band's end; next band: partners beyond it
         member = (largest > sizes) & ((largest > top) if up else np.ones(len(sizes), bool))
@@ -183,22 +188,28 @@ def signatures_of(
         first = np.flatnonzero(first)
         held = np.diff(np.append(first, len(own)))
         rank = np.arange(len(own)) - np.repeat(first, held)
-        kept = rank <= allowed[own]
+        kept = rank <= allowed[own] + SPARE
+        low = np.repeat(held <= allowed[own[first]] + SPARE, held)
         instance = (band[own] + up).astype(np.uint64)
         sig = mix(total + mix((part << np.uint64(8) | instance << np.uint64(1)) + late.astype(np.uint64)))
         sigs.append(sig[kept])
         owners.append(own[kept])
+        scant.append(low[kept])
         # sets with no more non-empty partitions than may differ could agree on empty ones only
         few = np.flatnonzero(held <= allowed[own[first]])
         sigs.append(mix(instance[first][few] + np.uint64(0x8EBC6AF09C88C6E3)))
         owners.append(own[first][few])
+        scant.append(np.ones(len(few), bool))
     if not sigs:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(sigs), np.concatenate(owners)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+    return np.concatenate(sigs), np.concatenate(owners), np.concatenate(scant)
 
 
 def signatures(docs: DataFrame, frequent, params: JoinParams) -> DataFrame:
-    """(sig, c): signatures of the classes; a class may come from several tasks."""
+    """(sig, c): signatures of the classes; a class may come from several tasks.
+
+    The last bit of c tells that the class has too few partitions for SPARE signatures more.
+    """
 
     def run(batches):
         seen: set[int] = set()
@@ -207,8 +218,8 @@ def signatures(docs: DataFrame, frequent, params: JoinParams) -> DataFrame:
             fresh = _fresh(a, sizes, seen)
             some = found[np.repeat(fresh, sizes)]
             ends = np.concatenate([[0], np.cumsum(sizes[fresh])])
-            sig, own = signatures_of(some, ends, frequent.value, params.percent)
-            yield to_batch(_SIGNED, sig.view(np.int64), a[fresh][own].view(np.int64))
+            sig, own, low = signatures_of(some, ends, frequent.value, params.percent)
+            yield to_batch(_SIGNED, sig.view(np.int64), (a[fresh][own] & EVEN).view(np.int64) | low)
 
     return docs.select("text").mapInArrow(run, "sig long, c long")
 
@@ -242,7 +253,7 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 # its last row stays to be told from a repeat at the next batch's start
             else:
                 keep = int(start[-1])
-        x, y, big = [], [], []
+        x, y, big, shared = [], [], [], []
         every = np.arange(len(sig))
         for step in range(1, SMALL_GROUP):
             left = every[: max(0, keep - step)]
@@ -252,16 +263,21 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x.append(c[pair])
             y.append(c[pair + step])
             big.append(np.zeros(len(pair), bool))
+            shared.append(1 + SPARE * ((c[pair] | c[pair + step]) & 1))
         for pivot in pivots:
             far = np.flatnonzero(large[:keep] & (c[:keep] != pivot[:keep]))
             x.append(pivot[far])
             y.append(c[far])
             big.append(np.zeros(len(far), bool))
+            shared.append(np.full(len(far), 1 + SPARE))
         whole = np.flatnonzero(large[:keep])
         x.append(sig[whole])
         y.append(c[whole])
         big.append(np.ones(len(whole), bool))
-        out = to_batch(_FOUND, np.concatenate(big), np.concatenate(x), np.concatenate(y))
+        shared.append(np.zeros(len(whole), np.int64))
+        left, right = np.concatenate(x), np.concatenate(y) & ~1
+        out = to_batch(_FOUND, np.concatenate(big), np.where(np.concatenate(big), left, left & ~1), right,
+                       np.concatenate(shared).astype(np.int32))
         return out, sig[keep:], c[keep:], inside
 
     for batch in batches:
@@ -341,7 +357,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, params: JoinParams, scratch: Scrat
             fresh = np.flatnonzero(_fresh(a, np.diff(at), seen))
             key = np.stack([a, b], axis=1).astype(">u8").tobytes()
             yield to_batch(
-                _SETS, [key[16 * i : 16 * i + 16] for i in fresh], a[fresh].view(np.int64),
+                _SETS, [key[16 * i : 16 * i + 16] for i in fresh], (a[fresh] & EVEN).view(np.int64),
                 [found[at[i] : at[i + 1]].tobytes() for i in fresh],
             )
 
@@ -429,10 +445,13 @@ def jaccard_join(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFram
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, params))
     found = scratch.keep(
         signatures(docs, frequent, params).repartition("sig").sortWithinPartitions("sig", "c")
-        .mapInArrow(_grouped, "big boolean, x long, y long"),
+        .mapInArrow(_grouped, "big boolean, x long, y long, shared int"),
         "found",
     )
-    pairs = found.where(~F.col("big")).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    pairs = (
+        found.where(~F.col("big")).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "shared")
+        .groupBy("x", "y").agg(F.sum("shared").alias("shared")).where(F.col("shared") > SPARE)
+    )
     release(spark)
     # sets of too different sizes cannot link; a c may stand for several classes, however unlikely
     sizes = rows.where(F.col("key").isNotNull()).groupBy(_c("key").alias("c")).agg(

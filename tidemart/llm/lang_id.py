@@ -1,7 +1,7 @@
 """Language identification by compression: the language whose dictionary helps most.
 
 For each language a raw-content zstandard dictionary is made of pieces of labelled texts. A text is
-compressed, in chunks, with every dictionary; the language with the smallest total wins. Chunks keep
+lower-cased and compressed, in chunks, with every dictionary; the language with the smallest total wins. Chunks keep
 a long text from becoming its own dictionary. When the runner-up needs nearly as few bytes, the
 margin is narrow and the text is rejected.
 
@@ -30,18 +30,18 @@ UNKNOWN = "und"
 @dataclass(frozen=True)
 class LangParams:
     #: pieces of a language's dictionary and characters of each: bounds the dictionaries
-    pieces: int = 192
+    pieces: int = 128
     piece_chars: int = 384
     #: languages known, those with the most labelled rows
     languages: int = 100
     chunk_bytes: int = 2048
-    level: int = 3
+    level: int = 9
     #: rejected if the runner-up needs less than this share of bytes more
     narrow: float = 0.01
 
 
 def _piece(params: LangParams) -> Column:
-    return F.substring("text", 1, params.piece_chars)
+    return F.lower(F.substring("text", 1, params.piece_chars))
 
 
 def fit(docs: DataFrame, params: LangParams = LangParams()) -> list[tuple[str, bytes]]:
@@ -113,7 +113,7 @@ def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], params: Lan
                            unknown | (margins < params.narrow))
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered")
-    return docs.select("doc_id", "text", lettered).mapInArrow(
+    return docs.select("doc_id", F.lower("text").alias("text"), lettered).mapInArrow(
         run, "doc_id long, lang_pred string, score double, margin double, rejected boolean")
 
 
@@ -128,4 +128,4 @@ def keep_identified(docs: DataFrame, params: LangParams = LangParams()) -> DataF
             lambda t: bool(compressors) and judge(memoryview(t.encode()), compressors, params.chunk_bytes)[1] >= params.narrow)
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.where(F.when(lettered, identified(F.coalesce("text", F.lit(""))))).select(*docs.columns)
+    return docs.where(F.when(lettered, identified(F.coalesce(F.lower("text"), F.lit(""))))).select(*docs.columns)

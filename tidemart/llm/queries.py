@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemart.llm import decontaminate, jaccard_join, lang_id, packing, toxicity
+from tidemart.llm import (
+    decontaminate,
+    jaccard_join,
+    lang_id,
+    license_scan,
+    packing,
+    quality_pu,
+    quality_rules,
+    sharding,
+    toxicity,
+    url_filter,
+)
 from tidemart.llm.common import remainder, table
 
 
@@ -14,20 +25,53 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: the rules that op3 judges by
+URL_RULES = [
+    url_filter.UrlRule("net", "/", False),
+    url_filter.UrlRule("example.net", "/en/", True),
+    url_filter.UrlRule("example.com", "/de/", False),
+    url_filter.UrlRule("org", "/fr/", True),
+]
+
+
+def op1_extendible_sharding(spark, sf_dir):
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), packing.PackParams(word_tokenizer()))
 
 
+def op3_url_filters(spark, sf_dir):
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op4_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = toxicity.score(docs, toxicity.fit(docs, labels))
     return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "mean_ratio")
 
 
+def op5_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_rules(spark, sf_dir):
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op8_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model, _ = quality_pu.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_pu.score(docs, model).select(
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_benchmark_decontamination(spark, sf_dir):
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
@@ -41,5 +85,6 @@ def op10_language_id(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_best_fit_packing, op4_toxicity, op7_ngram_jaccard_join, op9_benchmark_decontamination, op10_language_id,
+    op1_extendible_sharding, op2_best_fit_packing, op3_url_filters, op4_toxicity, op5_license_scan,
+    op6_quality_rules, op7_ngram_jaccard_join, op8_quality_classifier, op9_benchmark_decontamination, op10_language_id,
 )}

@@ -60,7 +60,73 @@ SELECT d.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+#: bytes of every prefix of up to 40 bits; a document's shard is its shortest prefix that fits
+SHARDING = """
+WITH d AS (
+    SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
+        ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15))::BIGINT AS h
+    FROM {docs}
+), p AS (SELECT *, unnest(range(0, 41)) AS depth FROM d),
+b AS (
+    SELECT depth, h >> (60 - depth) AS prefix, sum(n_bytes)::BIGINT AS shard_bytes, count(*) AS shard_rows
+    FROM p GROUP BY ALL HAVING sum(n_bytes) <= {limit} OR count(*) = 1
+), s AS (
+    SELECT p.doc_id, p.n_bytes, p.h, min(p.depth) AS depth
+    FROM p JOIN b ON b.depth = p.depth AND b.prefix = p.h >> (60 - p.depth) GROUP BY ALL
+)
+SELECT doc_id, n_bytes, 'b' || CASE WHEN s.depth = 0 THEN '' ELSE lpad(bin(h >> (60 - s.depth)), s.depth::INTEGER, '0') END AS shard,
+    shard_bytes, shard_rows, shard_bytes > {limit} AS oversized
+FROM s JOIN b ON b.depth = s.depth AND b.prefix = h >> (60 - s.depth)
+"""
+
+#: parts of URLs, rules, canonical and refresh edges, reachability, and the decision of each group
+URLS = r"""
+WITH RECURSIVE rules(rule_host, rule_path, allow) AS (
+    VALUES ('net', '/', false), ('example.net', '/en/', true), ('example.com', '/de/', false), ('org', '/fr/', true)
+), tags AS (
+    SELECT url,
+        regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>') AS link,
+        regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>') AS meta
+    FROM {pages} WHERE contains(url, '://')
+), targets AS (
+    SELECT url, regexp_extract(link, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS t FROM tags
+    UNION ALL SELECT url, regexp_extract(meta, '(?is)\burl\s*=\s*["'']?([^"''>]*)', 1) FROM tags
+), absolute AS (
+    SELECT url, CASE WHEN contains(t, '://') THEN t
+        WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || t
+        WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^.*?://[^/?#]*') || t
+        WHEN starts_with(t, '#') THEN url
+        ELSE regexp_extract(url, '(?s)^.*?://[^/?#]*') || coalesce(nullif(regexp_replace(
+            regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '[^/]*$', ''), ''), '/') || t END AS t
+    FROM (SELECT url, replace(trim(t), '&amp;', '&') AS t FROM targets) WHERE t <> ''
+), urls AS (
+    SELECT url AS u FROM {pages} UNION SELECT t FROM absolute
+), parts AS (
+    SELECT u, translate(coalesce(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1), ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM urls
+), judged AS (
+    SELECT u, host, path, CASE WHEN contains(u, '://') THEN lower(regexp_extract(u, '(?s)^(.*?)://', 1)) || '://' || host
+            || coalesce(nullif(path, ''), '/') || regexp_extract(u, '(?s)^.*?://[^/?#]*[^?#]*(\?[^#]*)?', 1) END AS node,
+        max(CASE WHEN host = rule_host OR ends_with(host, '.' || rule_host) THEN
+            CASE WHEN starts_with(path, rule_path) THEN {{'n': length(rule_host || rule_path), 'allow': allow, 'rule': rule_host || rule_path}} END END) AS best
+    FROM parts, rules GROUP BY u, host, path
+), edge AS (
+    SELECT DISTINCT a.node AS x, b.node AS y FROM absolute JOIN judged a ON a.u = url JOIN judged b ON b.u = t WHERE a.node <> b.node
+), either_way AS (SELECT x, y FROM edge UNION SELECT y, x FROM edge),
+reach AS (SELECT x AS a, x AS b FROM either_way UNION SELECT reach.a, either_way.y FROM reach JOIN either_way ON reach.b = either_way.x),
+grouped AS (
+    SELECT a AS node, min(b) AS alias_of, max(best.allow) AS group_allow FROM reach LEFT JOIN judged ON judged.node = b GROUP BY a
+)
+SELECT page_id, host, path, best.rule AS rule,
+    CASE WHEN coalesce(best.allow, group_allow, true) THEN 'allow' ELSE 'block' END AS verdict, alias_of
+FROM {pages} LEFT JOIN judged ON url IS NOT DISTINCT FROM u LEFT JOIN grouped USING (node)
+"""
+
 SQL = {
+    "op1_extendible_sharding": SHARDING.format(docs="documents", limit=16 << 20),
+    "op3_url_filters": URLS.format(pages="pages"),
     "op7_ngram_jaccard_join": JACCARD.format(docs="documents") + """
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id
 FROM w LEFT JOIN n USING (doc_id) JOIN component ON component.a = w.doc_id
