@@ -76,8 +76,9 @@ check(
                   AS other FROM raw_orders""",
 )
 check(
-    "f20_content_digest", "rows_n:i same:b length:i",
-    "SELECT count(*) AS rows_n, true AS same, 12 AS length FROM orders",
+    "f20_content_digest", "rows_n:i length:i same:b moved:b renamed:b",
+    """SELECT count(*) AS rows_n, 32 AS length, true AS same, false AS moved, false AS renamed
+    FROM orders""",
 )
 check(
     "src06_date_spine", "full_date:d",

@@ -53,10 +53,10 @@ check(
        WHERE far_future HAVING count(*) > 0""",
 )
 check(
-    "snk06_idempotent_landing", "ingest_date:s batches:i rows_n:i landed_of_four:i",
-    """SELECT '2024-01-01' AS ingest_date, 2 AS batches, count(*) + count(payment_type) AS rows_n,
-              3 AS landed_of_four FROM raw_orders
-       UNION ALL SELECT '2024-01-02', 1, count(*), 3 FROM raw_orders""",
+    "snk06_idempotent_landing", "ingest_date:s batches:i rows_n:i landed_of_five:i",
+    """SELECT '2024-01-01' AS ingest_date, 3 AS batches, 2 * count(*) + count(payment_type) AS rows_n,
+              4 AS landed_of_five FROM raw_orders
+       UNION ALL SELECT '2024-01-02', 1, count(*), 4 FROM raw_orders""",
 )
 check(
     "snk07_latest_batch", "payment_type:s orders_n:i",
@@ -110,7 +110,7 @@ _UPSERTED = """SELECT order_id, order_status,
                            THEN 2002 ELSE order_year END AS order_year, order_month,
                       CASE WHEN order_date >= DATE '1999-01-01' THEN 'second' END AS batch
                FROM clean_orders"""
-for _name in ("s05_upsert", "s09_upsert_twice"):
+for _name in ("s05_upsert", "s05_upsert_after_broken_swap", "s09_upsert_twice"):
     check(_name, "order_id:i order_status:s order_year:i order_month:i batch:s", _UPSERTED)
 _NEWEST = """(SELECT max(order_date) - 3 FROM clean_orders WHERE order_date <= DATE '2000-03-01')"""
 check(

@@ -127,12 +127,15 @@ def _(w):
 
 @query("snk06_idempotent_landing")
 def _(w):
-    """A feed lands once; the same content is skipped, other content and other dates land."""
+    """A feed lands once; the same content is skipped. Other content lands, also where a value only
+    moved to a column that was null, and so do other dates."""
     base, spark = scratch_dir(w.spark, "bronze"), w.spark
-    orders = w.raw("orders")
+    orders = w.raw("orders").withColumn("spare", F.lit(None).cast("string"))
+    moved = orders.withColumns({"spare": F.col("payment_type"), "payment_type": F.lit(None).cast("string")})
     attempts = (
         (orders, "2024-01-01"),
         (orders.repartition(3, "customer_id"), "2024-01-01"),
+        (moved, "2024-01-01"),
         (orders.filter("payment_type is not null"), "2024-01-01"),
         (orders, "2024-01-02"),
     )
@@ -140,7 +143,7 @@ def _(w):
     landed = sum(new for new, _ in seen)
     return landing.manifest(spark, base).groupBy("ingest_date").agg(
         F.count("*").alias("batches"), F.sum("rows").alias("rows_n")
-    ).withColumn("landed_of_four", F.lit(landed).cast("bigint"))
+    ).withColumn("landed_of_five", F.lit(landed).cast("bigint"))
 
 
 @query("snk07_latest_batch")

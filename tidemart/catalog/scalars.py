@@ -115,15 +115,20 @@ query("f17_case_blind_membership")(
 
 @query("f20_content_digest")
 def _(w):
-    """The digest does not depend on row order or partitioning."""
-    t = w.table("orders")
-    first = keys.batch_digest(t).alias("a")
-    second = keys.batch_digest(t.repartition(7, "o_custkey")).alias("b")
-    return first.join(second, F.col("a.rows") == F.col("b.rows")).select(
-        F.col("a.rows").alias("rows_n"),
-        (F.col("a.digest") == F.col("b.digest")).alias("same"),
-        F.length("a.digest").alias("length"),
-    )
+    """The digest depends on neither row order, partitioning nor column order, but on the column
+    that a value stands in, beside a null too, and on column names."""
+    t = w.table("orders").withColumn("spare", F.lit(None).cast("string"))
+    moved = t.withColumn("spare", F.col("o_orderstatus")).withColumn("o_orderstatus", F.lit(None).cast("string"))
+    forms = {
+        "same": t.repartition(7, "o_custkey").select(*reversed(t.columns)),
+        "moved": moved,
+        "renamed": t.withColumnRenamed("spare", "other"),
+    }
+    out = keys.batch_digest(t).select(F.col("rows").alias("rows_n"), "digest", F.length("digest").alias("length"))
+    for name, df in forms.items():
+        other = keys.batch_digest(df).select(F.col("rows").alias("rows_n"), F.col("digest").alias("_other"))
+        out = out.join(other, "rows_n").withColumn(name, F.col("digest") == F.col("_other")).drop("_other")
+    return out.drop("digest")
 
 
 query("src06_date_spine")(

@@ -12,7 +12,7 @@ from tidemart.catalog.registry import query
 from tidemart.operators import incremental as inc
 from tidemart.plans import flows, silver
 from tidemart.plans.flows import MONTH
-from tidemart.session import scratch_dir
+from tidemart.session import path_exists, remove_path, scratch_dir
 from tidemart.sinks import landing
 from tidemart.sinks.tables import write_by_month, write_table
 from tidemart.sources.crosswalk import LATEST
@@ -42,19 +42,23 @@ query("s02_after_watermark_with_lookback")(
 )
 
 
-def first_half(w):
-    """The feeds as they were before the cut: orders, and the other feeds as they are."""
+def delivered(w, late: bool):
+    """Feeds of two deliveries: the first holds orders before the cut but for every 50th, which
+    arrive late; the second those, three days again and all later ones. Other feeds as they are."""
+    at, odd = F.col("order_purchase_ts"), F.col("order_id") % 50 == 0
+    first = (at < CUT) & ~odd
+    second = odd | (at >= F.lit(CUT).cast("timestamp_ntz") - F.expr("interval 3 days"))
 
     def read(name: str) -> DataFrame:
         df = w.raw(name)
-        return df.filter(F.col("order_purchase_ts") < CUT) if name == "orders" else df
+        return df.filter(second if late else first) if name == "orders" else df
 
     return read
 
 
 def silver_in_two_runs(w, base: str) -> None:
-    flows.bronze_to_silver(w.spark, first_half(w), base, latest=LATEST)
-    flows.bronze_to_silver(w.spark, w.raw, base, incremental=True, latest=LATEST)
+    flows.bronze_to_silver(w.spark, delivered(w, late=False), base, latest=LATEST)
+    flows.bronze_to_silver(w.spark, delivered(w, late=True), base, incremental=True, latest=LATEST)
 
 
 @query("s03_watermark_advances")
@@ -98,13 +102,37 @@ def upserted(w, times: int) -> DataFrame:
     moved = F.when(F.col("order_status") == "returned", 2002).otherwise(F.col("order_year"))
     batch = batch.withColumns({"order_year": moved, "batch": F.lit("second")})
     for _ in range(times):
-        inc.upsert(w.spark, path, batch, ["order_id"], MONTH)
+        try:
+            inc.upsert(w.spark, path, batch, ["order_id"], MONTH)
+        except OSError:  # a run that broke is repeated
+            inc.upsert(w.spark, path, batch, ["order_id"], MONTH)
     return w.spark.read.option("mergeSchema", True).parquet(path).select(
         "order_id", "order_status", "order_year", "order_month", "batch"
     )
 
 
 query("s05_upsert")(lambda w: upserted(w, 1))
+
+
+@query("s05_upsert_after_broken_swap")
+def _(w):
+    """The swap of the second batch breaks after old partitions are gone; the upsert is repeated."""
+    swap, broken = inc._swap, []
+
+    def breaks(spark, path, stage):
+        if path_exists(spark, path) and not broken:
+            broken.append(path)
+            remove_path(spark, f"{path}/order_year=1999")
+            raise OSError("lost while swapping")
+        swap(spark, path, stage)
+
+    inc._swap = breaks
+    try:
+        return upserted(w, 2)
+    finally:
+        inc._swap = swap
+
+
 query("s09_upsert_twice")(lambda w: upserted(w, 2))
 
 

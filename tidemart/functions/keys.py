@@ -15,29 +15,25 @@ def surrogate_key(*cols: Column) -> Column:
     )
 
 
-def row_hash(columns: list[str]) -> Column:
-    return F.xxhash64(*[F.col(c) for c in columns])
+def row_hash(columns: list[str], seed: int = 0) -> Column:
+    """Hash of a row that a value moved to another column, null or not, changes.
+
+    Spark's own hash passes over nulls, so each value goes in with a mark that it is there.
+    """
+    parts = [x for c in columns for x in (F.col(f"`{c}`").isNotNull(), F.col(f"`{c}`"))]
+    return F.xxhash64(F.lit(seed), *parts)
 
 
 def batch_digest(df: DataFrame) -> DataFrame:
-    """One row (rows, digest): an order-blind digest of the whole content, 12 hex digits.
+    """One row (rows, digest): an order-blind digest of the whole content, 32 hex digits.
 
-    Hashing rows and adding them up runs in parallel and combines before the shuffle,
-    where a digest of the raw bytes would be one task's work.
+    Rows are hashed and added up twice, independently, which runs in parallel and combines
+    before the shuffle, where a digest of the raw bytes would be one task's work. Column names
+    are part of the digest, their order is not.
     """
-    h = row_hash(df.columns)
-    return df.agg(
-        F.count("*").alias("rows"),
-        F.substring(
-            F.md5(
-                F.concat_ws(
-                    ":",
-                    F.count("*"),
-                    F.coalesce(F.sum(h.cast("decimal(20,0)")), F.lit(0)).cast("string"),
-                    F.coalesce(F.bit_xor(F.xxhash64(h, F.lit(7))), F.lit(0)),
-                )
-            ),
-            1,
-            12,
-        ).alias("digest"),
-    )
+    columns = sorted(df.columns)
+    one, two = row_hash(columns), row_hash(columns, 1)
+    total = lambda h: F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0)).cast("string")
+    content = F.concat_ws(":", F.lit("\x1f".join(columns)), F.count("*"), total(one), total(two),
+                          F.coalesce(F.bit_xor(F.xxhash64(one, two)), F.lit(0)))
+    return df.agg(F.count("*").alias("rows"), F.md5(content).alias("digest"))

@@ -51,11 +51,15 @@ def since_watermark(df: DataFrame, ts: str, mark, lookback_days: int = 0) -> Dat
 EARLIEST = date(1900, 1, 1)
 
 
-def lookback_start(target: DataFrame, col: str, days: int) -> date:
+def lookback_start(target: DataFrame, col: str, days: int, as_of: date | None = None) -> date:
     """The day ``days`` before the target's newest; a date column or an integer YYYYMMDD key.
 
-    One value on the driver, so that filters made of it are literals the scan can use.
+    Days after ``as_of`` do not count: one wrong date would stop all later refreshes. One value
+    on the driver, so that filters made of it are literals the scan can use.
     """
+    if as_of is not None:
+        is_key = dict(target.dtypes)[col] != "date"
+        target = target.filter(F.col(col) <= F.lit(int(as_of.strftime("%Y%m%d")) if is_key else as_of))
     newest = target.agg(F.max(col).alias("newest")).first()["newest"]
     if newest is None:
         return EARLIEST
@@ -103,6 +107,49 @@ def _folder_value(value) -> str:
     return "__HIVE_DEFAULT_PARTITION__" if value is None else quote(str(value), safe=" -_.+@,")
 
 
+def _pending(path: str) -> str:
+    """Where the new content of a table waits for its swap: beside the table, hidden from readers."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/_pending_{name}"
+
+
+def finish_upsert(spark: SparkSession, path: str) -> bool:
+    """Complete the swap that an earlier upsert of ``path`` began; whether there was one.
+
+    A stage whose plan was not written yet is dropped: the table itself is untouched then.
+    """
+    stage = _pending(path)
+    if not path_exists(spark, stage):
+        return False
+    complete = path_exists(spark, f"{stage}/plan/_SUCCESS")
+    if complete:
+        _swap(spark, path, stage)
+    remove_path(spark, stage)
+    return complete
+
+
+def _swap(spark: SparkSession, path: str, stage: str) -> None:
+    """Put the staged content in place. Reads the stage only, so it can be repeated."""
+    plan = spark.read.schema(PLAN).json(f"{stage}/plan").first()
+    new, parts = spark.read.parquet(f"{stage}/new"), list(plan["partition_by"])
+    if not parts:
+        new.write.mode("overwrite").parquet(path)
+        return
+    (
+        # gathers each partition's rows; AQE cuts and merges them to the advisory file size
+        new.hint("rebalance", *[F.col(c) for c in parts])
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*parts)
+        .parquet(path)
+    )
+    for folder in plan["emptied"]:  # a partition left without rows is not overwritten
+        remove_path(spark, f"{path}/{folder}")
+
+
+PLAN = "partition_by array<string>, emptied array<string>"
+
+
 def upsert(
     spark: SparkSession,
     path: str,
@@ -111,6 +158,7 @@ def upsert(
     partition_by: Sequence[str] = (),
     keys_move: bool = True,
     new_columns: bool = True,
+    gone: DataFrame | None = None,
 ) -> None:
     """Delete+insert a batch into a Parquet table, rewriting only the partitions it touches.
 
@@ -118,14 +166,24 @@ def upsert(
     finding the latter reads the key columns of the whole table. Where a key can never
     change its partition, ``keys_move=False`` leaves that scan out. A batch may bring new
     columns; ``new_columns=False`` promises it does not and spares the look into every file.
-    The new content is staged first; the swap then reads the stage only, so a broken swap
-    is finished by running the upsert again. The stage is removed when all is done.
+    ``gone`` names keys that leave the table without a new row.
+
+    The new content is written beside the table first, with a plan once it is complete. The
+    swap reads these only. If it breaks, the next upsert of the table (or ``finish_upsert``)
+    completes it before anything else; a break before the plan leaves the table as it was.
     """
+    finish_upsert(spark, path)
     with Scratch(spark, "upsert") as scratch:
-        _apply(spark, scratch, path, batch, list(keys), list(partition_by), keys_move, new_columns)
+        emptied = _stage(
+            spark, scratch, path, batch, list(keys), list(partition_by), keys_move, new_columns, gone
+        )
+    if emptied is not None:
+        plan = spark.createDataFrame([(list(partition_by), emptied)], PLAN)
+        plan.coalesce(1).write.mode("overwrite").json(f"{_pending(path)}/plan")
+        finish_upsert(spark, path)
 
 
-def _apply(
+def _stage(
     spark: SparkSession,
     scratch: Scratch,
     path: str,
@@ -134,40 +192,43 @@ def _apply(
     partition_by: list[str],
     keys_move: bool,
     new_columns: bool,
-) -> None:
-    batch = scratch.keep(batch, "batch")
+    gone: DataFrame | None,
+) -> list[str] | None:
+    """Write the new content of the touched partitions; folders that end up empty, or None if
+    there is nothing to swap."""
+    stage = f"{_pending(path)}/new"
     if not path_exists(spark, path):
-        writer = batch.write.mode("overwrite")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-        return
-
+        batch.write.mode("overwrite").parquet(stage)
+        return []
+    batch = scratch.keep(batch, "batch")
     target = spark.read.option("mergeSchema", new_columns).parquet(path)
     if not new_columns and set(batch.columns) != set(target.columns):
         raise ValueError(f"batch and table differ: {batch.columns} / {target.columns}")
+    leaving = batch.select(*keys)
+    if gone is not None:
+        leaving = leaving.unionByName(scratch.keep(gone.select(*keys), "gone"))
+    leaving = leaving.distinct()
     if not partition_by:
-        scratch.keep(delete_insert(target, batch, keys), "new").write.mode("overwrite").parquet(path)
-        return
+        _replaced(target, leaving, batch, keys).write.mode("overwrite").parquet(stage)
+        return []
 
     # only folder names reach the driver: at most one row per partition of the table
     homes = batch.select(*partition_by)
-    if keys_move:
-        older = target.select(*keys, *partition_by).join(
-            batch.select(*keys).distinct(), keys, "left_semi"
-        )
+    if keys_move or gone is not None:
+        older = target.select(*keys, *partition_by).join(leaving, keys, "left_semi")
         homes = homes.union(older.select(*partition_by))
     touched = homes.distinct().collect()
+    if not touched:
+        return None
     old = target.filter(_in_partitions(partition_by, touched))
-    new = scratch.keep(delete_insert(old, batch, keys), "new")
-    filled = {tuple(r) for r in new.select(*partition_by).distinct().collect()}
-    (
-        # gathers each partition's rows; AQE cuts and merges them to the advisory file size
-        new.hint("rebalance", *[F.col(c) for c in partition_by])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-    for row in touched:  # a partition left without rows is not overwritten, so remove it
-        if tuple(row) not in filled:
-            folder = "/".join(f"{c}={_folder_value(row[c])}" for c in partition_by)
-            remove_path(spark, f"{path}/{folder}")
+    _replaced(old, leaving, batch, keys).write.mode("overwrite").parquet(stage)
+    filled = {tuple(r) for r in spark.read.parquet(stage).select(*partition_by).distinct().collect()}
+    return [
+        "/".join(f"{c}={_folder_value(row[c])}" for c in partition_by)
+        for row in touched
+        if tuple(row) not in filled
+    ]
+
+
+def _replaced(target: DataFrame, leaving: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    return target.join(leaving, keys, "left_anti").unionByName(batch, allowMissingColumns=True)

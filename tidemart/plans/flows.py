@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,12 +14,10 @@ from tidemart.contracts import CUSTOMER_SEGMENTS
 from tidemart.operators.checks import QUARANTINE, breaches, flag_rows, run_rules, standard_suite
 from tidemart.operators.incremental import (
     delete_insert,
+    finish_upsert,
     lookback_start,
     months_since,
-    read_watermark,
-    since_watermark,
     upsert,
-    write_watermark,
 )
 from tidemart.operators.scd2 import history_dimension, read_history, take_snapshot
 from tidemart.operators.split import without_parent
@@ -101,25 +99,37 @@ def csv_reader(spark: SparkSession, raw_dir: str, out: str) -> Reader:
 
 
 def _store(
-    spark: SparkSession, df: DataFrame, out: str, name: str, keys: tuple[str, ...], fresh: bool
+    spark: SparkSession,
+    df: DataFrame,
+    out: str,
+    name: str,
+    keys: tuple[str, ...],
+    fresh: bool,
+    gone: DataFrame | None = None,
 ) -> None:
-    """Fact write: a fresh table, or an upsert of the months the batch touches."""
+    """Fact write: a fresh table, or an upsert of the months the batch touches.
+
+    ``gone`` holds every key the batch names, so a row that its batch no longer supports leaves.
+    """
     if fresh:
         write_by_month(df, out, name)
     else:
-        upsert(spark, f"{out}/{name}", df, keys, MONTH, new_columns=False)
+        upsert(spark, f"{out}/{name}", df, keys, MONTH, new_columns=False, gone=gone)
 
 
 def _resequenced(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame:
     """Batch orders, and the earlier orders of the same customers whose position they shift.
 
+    An order that moved to another customer also shifts the orders of the customer it left.
     Positions are worked out on the few columns they depend on; whole rows are fetched only
     for orders that have to be written.
     """
     stored = spark.read.parquet(path)
     place = ["order_id", "customer_id", "order_date", "order_purchase_ts"]
+    left = stored.select("order_id", "customer_id").join(batch.select("order_id"), "order_id", "left_semi")
+    customers = batch.select("customer_id").unionByName(left.select("customer_id")).distinct()
     earlier = stored.select(*place, F.col("customer_order_seq").alias("_was")).join(
-        batch.select("customer_id").distinct(), "customer_id", "left_semi"
+        customers, "customer_id", "left_semi"
     )
     merged = delete_insert(earlier, batch.select(*place), ["order_id"])
     placed = silver.with_order_sequence(merged).filter(
@@ -132,12 +142,21 @@ def _resequenced(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame:
     return batch.unionByName(shifted.select(*batch.columns)).join(placed, "order_id")
 
 
-def _with_waiting(spark: SparkSession, path: str, items: DataFrame, fresh: bool) -> DataFrame:
-    """Lines of this run and earlier orphans, whose orders may have arrived since."""
+def _with_waiting(spark: SparkSession, path: str, items: DataFrame, named: DataFrame, fresh: bool) -> DataFrame:
+    """Lines of this run, and earlier orphans it does not name, whose orders may have arrived since."""
     if fresh or not path_exists(spark, path):
         return items
+    keys = ["order_id", "order_item_id"]
     waiting = spark.read.parquet(path).select(*items.columns)
-    return delete_insert(waiting, items, ["order_id", "order_item_id"])
+    return waiting.join(named.select(*keys).distinct(), keys, "left_anti").unionByName(items)
+
+
+FACT_KEYS = {
+    "order_items": ("order_id", "order_item_id"),
+    "payments": ("order_id", "payment_sequential"),
+    "shipments": ("order_id",),
+    "returns": ("return_id",),
+}
 
 
 def bronze_to_silver(
@@ -145,19 +164,24 @@ def bronze_to_silver(
     raw: Reader,
     out: str,
     incremental: bool = False,
-    lookback_days: int = 3,
     latest: Mapping[str, tuple[tuple[str, ...], tuple[str, ...]]] | None = None,
 ) -> StageMetrics:
     """Clean all feeds into ``out``.
 
+    An incremental run takes every row its reader gives: what is new is decided by what was
+    landed (``landing.bronze_reader(after=...)``), not by event times, so late, unreadable and
+    wrongly dated rows are neither lost nor able to hold back later ones. Batches are upserts
+    by key; a key the batch names leaves the place its older copy had, also where the new copy
+    is set aside or dropped.
+
     Orders are written first and read back as the parents of everything else, so lines of
     earlier orders stay valid in an incremental run. What is used more than once is kept in
-    the shared scratch folder, so each feed is parsed and deduplicated once. The watermark
-    moves after all writes; a run that broke is simply repeated.
+    the shared scratch folder, so each feed is parsed and deduplicated once. A run that broke
+    is simply repeated.
     """
     metrics = StageMetrics("bronze_to_silver")
     with Scratch(spark, "bronze_to_silver") as scratch:
-        _clean_feeds(spark, scratch, raw, out, incremental, lookback_days, latest or {}, metrics)
+        _clean_feeds(spark, scratch, raw, out, incremental, latest or {}, metrics)
     return metrics
 
 
@@ -167,11 +191,13 @@ def _clean_feeds(
     raw: Reader,
     out: str,
     incremental: bool,
-    lookback_days: int,
     latest: Mapping[str, tuple[tuple[str, ...], tuple[str, ...]]],
     metrics: StageMetrics,
 ) -> None:
-    state = f"{out}/_state"
+    aside = f"{out}/_quarantine"
+    waiting, bad_path = f"{aside}/order_items_orphan", f"{aside}/shipments_bad_dates"
+    for path in (f"{out}/orders", *(f"{out}/{n}" for n in FACT_KEYS), bad_path):
+        finish_upsert(spark, path)
 
     def settle(name: str, transform, feed: DataFrame | None = None) -> DataFrame:
         order, tiebreak = latest.get(name, (None, None))
@@ -183,10 +209,8 @@ def _clean_feeds(
         write(df)
         setattr(metrics, attribute, getattr(metrics, attribute) + seen.get["rows"])
 
-    mark = read_watermark(spark, state, "orders") if incremental else None
     fresh = not incremental or not path_exists(spark, f"{out}/orders")
-    feed = since_watermark(raw("orders"), "order_purchase_ts", mark, lookback_days)
-    orders = scratch.keep(settle("orders", silver.clean_orders, feed), "orders")
+    orders = scratch.keep(settle("orders", silver.clean_orders), "orders")
     if fresh:
         orders = silver.with_order_sequence(orders)
     else:
@@ -201,36 +225,41 @@ def _clean_feeds(
     ):
         write_table(settle(name, transform), out, name)
 
-    parents = spark.read.parquet(f"{out}/orders").select("order_id", *MONTH)
     products = spark.read.parquet(f"{out}/products")
-    waiting = f"{out}/_quarantine/order_items_orphan"
-    items = _with_waiting(spark, waiting, settle("order_items", silver.usable_items), fresh)
+    # keys each feed of this run names, whether or not their rows survive cleaning
+    named = {
+        n: scratch.keep(raw(n).select(*keys).dropna().distinct(), f"named_{n}")
+        for n, keys in FACT_KEYS.items() if not fresh
+    }
+    items = _with_waiting(spark, waiting, settle("order_items", silver.usable_items), named.get("order_items"), fresh)
     items = scratch.keep(items, "order_items")
-    orphans = without_parent(items, parents, "order_id")
     shipments = scratch.keep(settle("shipments", silver.parse_shipments), "shipments")
     shipments, bad_dates = silver.split_shipments(shipments)
+    payments = settle("payments", silver.clean_payments)
+    returns = settle("returns", silver.clean_returns)
+    parents = spark.read.parquet(f"{out}/orders").select("order_id", *MONTH)
+    if not fresh:  # the stored orders that this run's rows belong to, looked up once
+        returns = scratch.keep(returns, "returns")
+        ids = [named["payments"], named["shipments"], items, returns]
+        wanted = reduce(DataFrame.unionAll, [df.select("order_id") for df in ids]).distinct()
+        parents = scratch.keep(parents.join(wanted, "order_id", "left_semi"), "parents")
+    orphans = without_parent(items, parents, "order_id")
     facts = {
-        "order_items": (silver.enrich_items(items, products), ("order_id", "order_item_id")),
-        "payments": (settle("payments", silver.clean_payments), ("order_id", "payment_sequential")),
-        "shipments": (shipments, ("order_id",)),
-        "returns": (settle("returns", silver.clean_returns), ("return_id",)),
+        "order_items": silver.enrich_items(items, products),
+        "payments": payments,
+        "shipments": shipments,
+        "returns": returns,
     }
-    for name, (df, keys) in facts.items():
+    for name, df in facts.items():
         new_table = fresh or not path_exists(spark, f"{out}/{name}")
         store("records_loaded", df.join(parents, "order_id"), name,
-              lambda d, n=name, k=keys, f=new_table: _store(spark, d, out, n, k, f))
+              lambda d, n=name, f=new_table: _store(spark, d, out, n, FACT_KEYS[n], f, named.get(n)))
 
-    aside = f"{out}/_quarantine"
     store("records_quarantined", orphans, "orphans",
           lambda df: write_table(df, aside, "order_items_orphan"))
-    bad_path = f"{aside}/shipments_bad_dates"
     store("records_quarantined", silver.of_known_orders(bad_dates, parents), "bad_dates",
           lambda df: write_table(df, aside, "shipments_bad_dates") if fresh
-          else upsert(spark, bad_path, df, ("order_id",)))
-
-    newest = spark.read.parquet(f"{out}/orders").agg(F.max("order_purchase_ts")).first()[0]
-    if newest is not None:
-        write_watermark(spark, state, "orders", newest, restart=fresh)
+          else upsert(spark, bad_path, df, ("order_id",), new_columns=False, gone=named["shipments"]))
 
 
 # ----------------------------------------------------------- clean to staging
@@ -261,7 +290,7 @@ def load_staging(
             orders = read_parquet_entity(spark, silver_base, "orders").filter(months_since(since))
             window = orders.filter(F.col("order_date") >= F.lit(since)).select("order_id")
             df = df.join(window, "order_id", "left_semi")
-        upsert(spark, f"{out}/{name}", df, keys, MONTH)
+        upsert(spark, f"{out}/{name}", df, keys, MONTH, new_columns=False)
 
 
 # ------------------------------------------------------------ staging to marts
@@ -288,30 +317,42 @@ def by_month(df: DataFrame, key: str = "order_date_key") -> DataFrame:
 
 
 def refresh_order_items(
-    spark: SparkSession, path: str, items: DataFrame, orders: DataFrame, days: int = 3
+    spark: SparkSession,
+    path: str,
+    items: DataFrame,
+    orders: DataFrame,
+    days: int = 3,
+    as_of: date | None = None,
 ) -> None:
     """Incremental line fact: lines of recent orders replace their older copies.
 
     ``items`` and ``orders`` are the clean entities; where they are partitioned by the month
     of the order, only the recent months of both are read.
     """
-    start = lookback_start(spark.read.parquet(path), "order_date", days)
+    finish_upsert(spark, path)
+    start = lookback_start(spark.read.parquet(path), "order_date", days, as_of)
     if set(MONTH) <= set(items.columns):
         items = items.filter(months_since(start))
     recent = orders.filter(months_since(start)).filter(F.col("order_date") >= F.lit(start))
     batch = star.fact_order_items(staging.stg_order_items(items), staging.stg_orders(recent))
-    upsert(spark, path, by_month(batch), ("order_id", "order_item_id"), MONTH)
+    upsert(spark, path, by_month(batch), ("order_id", "order_item_id"), MONTH, new_columns=False)
 
 
 def refresh_daily_sales(
-    spark: SparkSession, path: str, fact_orders: DataFrame, dim_date: DataFrame, days: int = 3
+    spark: SparkSession,
+    path: str,
+    fact_orders: DataFrame,
+    dim_date: DataFrame,
+    days: int = 3,
+    as_of: date | None = None,
 ) -> None:
     """Incremental daily mart: the last days are computed again."""
-    start = lookback_start(spark.read.parquet(path), "order_date_key", days)
+    finish_upsert(spark, path)
+    start = lookback_start(spark.read.parquet(path), "order_date_key", days, as_of)
     if set(MONTH) <= set(fact_orders.columns):
         fact_orders = fact_orders.filter(months_since(start))
     recent = fact_orders.filter(F.col("order_date_key") >= int(start.strftime("%Y%m%d")))
-    upsert(spark, path, marts.daily_sales(recent, dim_date), ("order_date",))
+    upsert(spark, path, marts.daily_sales(recent, dim_date), ("order_date",), new_columns=False)
 
 
 def build_models(
@@ -325,6 +366,7 @@ def build_models(
     models: dict[str, DataFrame] = {}
     lines_path, days_path = f"{out}/marts/fact_order_items", f"{out}/analytics/daily_sales"
     incremental = incremental and path_exists(spark, lines_path) and path_exists(spark, days_path)
+    run_day = date.fromisoformat(as_of[:10])
 
     def keep(layer: str, name: str, df: DataFrame) -> DataFrame:
         write_table(df, f"{out}/{layer}", name)
@@ -353,7 +395,7 @@ def build_models(
     facts = keep_fact("fact_orders", star.fact_orders(
         orders, views["order_items"], views["payments"], views["shipments"], views["customers"]))
     if incremental:
-        refresh_order_items(spark, lines_path, clean["order_items"], clean["orders"])
+        refresh_order_items(spark, lines_path, clean["order_items"], clean["orders"], as_of=run_day)
         lines = models["fact_order_items"] = spark.read.parquet(lines_path)
     else:
         lines = keep_fact("fact_order_items", star.fact_order_items(views["order_items"], orders))
@@ -364,7 +406,7 @@ def build_models(
     )
 
     if incremental:
-        refresh_daily_sales(spark, days_path, facts, days)
+        refresh_daily_sales(spark, days_path, facts, days, as_of=run_day)
         models["daily_sales"] = spark.read.parquet(days_path)
     else:
         keep("analytics", "daily_sales", marts.daily_sales(facts, days))

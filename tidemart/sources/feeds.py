@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -46,12 +48,20 @@ def read_csv_verbatim(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
-def typed(df: DataFrame, source: str) -> DataFrame:
-    """Landed text in the declared types; what does not parse is null. Other columns stay."""
-    types = {f.name: f.dataType for f in FEEDS[source].struct.fields}
-    return df.select(
-        *[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns]
+def split_typed(df: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
+    """(rows in the declared types, rows that hold a value its type cannot take, as landed).
+
+    A text that is there but reads as nothing is broken, as in a CSV parsed with its schema;
+    it must not pass for a missing value. Columns beyond the declared ones stay.
+    """
+    types = {f.name: f.dataType for f in FEEDS[source].struct.fields if f.name in df.columns}
+    broken = reduce(
+        lambda a, b: a | b,
+        [F.col(c).isNotNull() & F.col(c).try_cast(t).isNull() for c, t in types.items()],
+        F.lit(False),
     )
+    cast = [F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns]
+    return df.filter(~broken).select(*cast), df.filter(broken)
 
 
 def missing_columns(df: DataFrame, source: str) -> list[str]:
@@ -64,14 +74,18 @@ def read_parquet_entity(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 
 def load_entity(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Entity from the first form that exists: folder, Parquet file, CSV file."""
+    """Entity from the first form that exists: folder, Parquet file, CSV file (rows that read
+    in the declared types)."""
     stem = f"{base.rstrip('/')}/{name}"
     if path_exists(spark, stem):
         return spark.read.parquet(stem)
     if path_exists(spark, f"{stem}.parquet"):
         return spark.read.parquet(f"{stem}.parquet")
     if path_exists(spark, f"{stem}.csv"):
-        return spark.read.option("header", True).option("inferSchema", True).csv(f"{stem}.csv")
+        if name not in FEEDS:  # no declared types to read it by
+            return spark.read.option("header", True).option("inferSchema", True).csv(f"{stem}.csv")
+        df = read_csv_verbatim(spark, f"{stem}.csv")
+        return split_typed(df, name)[0]
     raise FileNotFoundError(f"no folder, .parquet or .csv for {stem}")
 
 
