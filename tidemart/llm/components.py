@@ -19,7 +19,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
     return (
         both.join(least, "a").where((F.col("b") > F.col("a")) & (F.col("b") != F.col("m")))
-        .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        .select(F.col("b").alias("a"), F.col("m").alias("b"))
     )
 
 
@@ -30,6 +30,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _unsettled(edges: DataFrame) -> bool:
+    """Is any node tied to two others, or both tied and tied to? Stars have neither."""
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("a").alias("node"), F.lit(1).alias("tied"), F.lit(0).alias("centre")),
+        F.struct(F.col("b").alias("node"), F.lit(0).alias("tied"), F.lit(1).alias("centre")),
+    )).alias("end")).select("end.*")
+    seen = ends.groupBy("node").agg(F.sum("tied").alias("tied"), F.max("centre").alias("centre"))
+    return not seen.where(F.col("tied") + F.col("centre") > 1).isEmpty()
+
+
 def components(edges: DataFrame, scratch: Scratch, label: str = "components") -> DataFrame:
     """(node, component) for every node of an edge; component is the least node reachable.
 
@@ -37,18 +47,12 @@ def components(edges: DataFrame, scratch: Scratch, label: str = "components") ->
     join nothing; nodes without a true edge are not returned. No edges: no rows.
     """
     spark = edges.sparkSession
-    current = edges.select("a", "b").where(F.col("a") != F.col("b")).distinct()
-    current = scratch.keep(current, f"{label}-0")
-    seen, step = None, 0
-    while True:
-        # a fixed point is a set of stars; equal counts and hash sums on both halves prove it
-        mark = current.agg(
-            F.count("*").alias("n"),
-            F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"),
-        ).first()
-        if mark == seen or not mark["n"]:
-            break
-        seen, step = mark, step + 1
+    proper = edges.where(F.col("a") != F.col("b"))
+    current = scratch.keep(
+        proper.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{label}-0")
+    step = 0
+    while _unsettled(current):
+        step += 1
         following = scratch.keep(_small_star(_large_star(current)), f"{label}-{step}")
         remove_path(spark, f"{scratch.base}/{label}-{step - 1}")
         current = following

@@ -469,8 +469,17 @@ def jaccard_join(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFram
     release(spark)
     component = components(links, scratch, "first")
     more = scratch.keep(_between_blocks(groups, sets, component, params, scratch), "more")
-    links = links.unionAll(more).distinct()
-    component = components(links, scratch, "second")
+    # links found between components join these; nothing inside them needs another look
+    own = component.withColumnRenamed("component", "was")
+    of = lambda side: own.select(F.col("node").alias(side), F.col("was").alias(f"of_{side}"))
+    between = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    joined = components(between, scratch, "second").select(F.col("node").alias("was"), F.col("component").alias("now"))
+    moved = own.join(joined, "was", "left").select("node", F.coalesce("now", "was").alias("component"))
+    # classes that only these links tie to others are components of their own so far
+    single = joined.join(own.select("was").distinct(), "was", "left_anti")
+    component = moved.unionAll(single.select(F.col("was").alias("node"), F.col("now").alias("component")))
+    links = links.unionAll(more)
     degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
     classes = (
         rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("least"))
@@ -501,6 +510,6 @@ def keep_one(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
         .select(F.col("doc_id").alias("chosen_id"), "copies")
     )
     kept = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["chosen_id"]))
-    once = kept.where(F.col("copies") == 1).select(*[docs[c] for c in docs.columns])
-    again = kept.where(F.col("copies") > 1).select(*[docs[c] for c in docs.columns])
+    once = kept.where(chosen["copies"] == 1).select(*[docs[c] for c in docs.columns])
+    again = kept.where(chosen["copies"] > 1).select(*[docs[c] for c in docs.columns])
     return once.unionAll(again.dropDuplicates(["doc_id", "text"]))

@@ -137,7 +137,7 @@ def train(model: Binned, pos: np.ndarray, unl: np.ndarray, prior: float | None,
 def estimate_prior(pos: np.ndarray, unl: np.ndarray) -> float:
     """Least ratio of shares above a threshold, unlabelled over positive, from held-out scores."""
     if not len(pos) or not len(unl):
-        return 0.5
+        return 0.5  # nothing to tell it by
     cuts = np.quantile(pos, np.linspace(0.01, 0.7, 70))
     above_p = np.array([(pos >= c).mean() for c in cuts])
     above_u = np.array([(unl >= c).mean() for c in cuts])
@@ -149,13 +149,18 @@ def estimate_prior(pos: np.ndarray, unl: np.ndarray) -> float:
 def learn(pos: np.ndarray, unl: np.ndarray, params: QualityParams = QualityParams()) -> tuple[Binned, float]:
     """(model, class prior) from feature rows of trusted positives and of unlabelled texts."""
     model = Binned(np.concatenate([pos, unl]), params.bins)
-    if not len(pos) or not len(unl):
+    if len(pos) < 2 or len(unl) < 2:
         return model, 0.5
     at_p, at_u = model.places(pos), model.places(unl)
-    # the prior from scores of rows that the trial scorer has not seen
-    trial = Binned(np.concatenate([pos, unl]), params.bins)
-    train(trial, at_p[::2], at_u[::2], None, params.steps // 2, params.rate)
-    prior = estimate_prior(trial.logits(at_p[1::2]), trial.logits(at_u[1::2]))
+    # the prior from scores of rows that a trial scorer has not seen, either half in turn
+    shuffle = np.random.Generator(np.random.PCG64(7)).permutation
+    halves_p, halves_u = np.array_split(shuffle(len(pos)), 2), np.array_split(shuffle(len(unl)), 2)
+    priors = []
+    for k in (0, 1):
+        trial = Binned(np.concatenate([pos, unl]), params.bins)
+        train(trial, at_p[halves_p[k]], at_u[halves_u[k]], None, params.steps // 2, params.rate)
+        priors.append(estimate_prior(trial.logits(at_p[halves_p[1 - k]]), trial.logits(at_u[halves_u[1 - k]])))
+    prior = float(np.mean(priors))
     model.bias = float(np.log(prior / (1 - prior)))
     train(model, at_p, at_u, prior, params.steps, params.rate)
     return model, prior

@@ -122,9 +122,14 @@ def shard(docs: DataFrame, params: ShardParams = ShardParams(), keys: Sequence[s
 def write_shards(docs: DataFrame, path: str, params: ShardParams = ShardParams(), keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Writes the rows of ``docs`` below ``path``, one folder per shard, and returns the assignment.
 
-    For tables whose doc_id is unique; rows of one shard are written together.
+    For tables whose doc_id is unique; rows of one shard are written together. The folders are named
+    by a column `shard`, with underscores before it if the table has one of that name.
     """
-    placed = shard(docs, params, keys).select("doc_id", "shard")
-    docs.join(placed.withColumnRenamed("doc_id", "shard_doc_id"), F.col("doc_id").eqNullSafe(F.col("shard_doc_id"))).drop(
-        "shard_doc_id").repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
-    return placed
+    column = "shard"
+    while column in docs.columns:
+        column = f"_{column}"
+    assigned = shard(docs, params, keys)
+    placed = assigned.select(F.col("doc_id").alias("_placed_id"), F.col("shard").alias(column))
+    rows = docs.join(placed, docs["doc_id"].eqNullSafe(placed["_placed_id"])).select(*[docs[c] for c in docs.columns], placed[column])
+    rows.repartition(column).write.mode("overwrite").partitionBy(column).parquet(path)
+    return assigned.select("doc_id", "shard")
