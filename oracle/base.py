@@ -295,11 +295,9 @@ CTE: dict[str, str] = {
     "pay_metrics": """
         SELECT order_id, sum(payment_value_inr) AS order_paid_inr,
                max(payment_installments) AS max_installments, count(*) AS n_payment_records,
-               CASE WHEN bool_or(payment_status = 'refunded') THEN 'refunded'
-                    WHEN bool_or(payment_status = 'paid') THEN 'paid'
-                    WHEN bool_or(payment_status = 'pending') THEN 'pending'
-                    WHEN bool_or(payment_status = 'failed') THEN 'failed'
-                    ELSE 'unknown' END AS payment_status_final
+               ['refunded', 'paid', 'pending', 'failed', 'unknown'][min(coalesce(nullif(
+                   list_position(['refunded', 'paid', 'pending', 'failed'], payment_status), 0), 5))]
+                   AS payment_status_final
         FROM payments GROUP BY order_id""",
     "fact_orders": f"""
         SELECT o.order_id, o.customer_id, {dkey('o.order_date')} AS order_date_key,

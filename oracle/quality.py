@@ -37,43 +37,42 @@ def rule(table: str, name: str, severity: str, bad: str, detail: str, source: st
 
 
 def pk(table: str, keys: str) -> str:
-    return rule(table, "pk_unique", "reject", repeated(keys), f"keys={keys}")
+    return rule(table, "pk_unique", "reject", repeated(keys), f"key {keys.replace(',', ' + ')}")
 
 
 def nn(table: str, cols: str) -> str:
     bad = " OR ".join(f"{c} IS NULL" for c in cols.split(","))
-    return rule(table, "critical_not_null", "reject", bad, f"cols={cols}")
+    return rule(table, "critical_not_null", "reject", bad, f"required: {cols.replace(',', ' + ')}")
 
 
 def ri(table: str, col: str, parent: str, source: str = "") -> str:
     return rule(
         table, "referential_integrity", "quarantine",
-        missing(col, source or TABLES[parent], col), f"{col} not in {parent}",
+        missing(col, source or TABLES[parent], col), f"{col} without its row in {parent}",
     )
 
 
 def accepted(table: str, col: str) -> str:
-    shown = ",".join(sorted(ACCEPTED[col])[:4])
-    return rule(table, f"valid_{col}", "correct", outside(col), f"canonicalised to {shown}...")
+    return rule(table, f"valid_{col}", "correct", outside(col), f"none of {len(ACCEPTED[col])} accepted values")
 
 
-MRP = rule("products", "non_negative_mrp_inr", "quarantine", "mrp_inr <= 0", "allow_zero=False")
-QUANTITY = rule("order_items", "non_negative_quantity", "reject", "quantity <= 0", "allow_zero=False")
-PRICE = rule("order_items", "non_negative_unit_price_inr", "quarantine", "unit_price_inr < 0", "allow_zero=True")
+MRP = rule("products", "non_negative_mrp_inr", "quarantine", "mrp_inr <= 0", "zero or below")
+QUANTITY = rule("order_items", "non_negative_quantity", "reject", "quantity <= 0", "zero or below")
+PRICE = rule("order_items", "non_negative_unit_price_inr", "quarantine", "unit_price_inr < 0", "below zero")
 ORDERED = rule(
     "shipments", "date_order_delivered_ts_ge_ship_ts", "quarantine", "delivered_ts < ship_ts",
-    "delivered_ts < ship_ts",
+    "delivered_ts precedes ship_ts",
 )
 
 
 def future(table: str, col: str, horizon: str) -> str:
-    return rule(table, f"future_{col}", "quarantine", f"{col} > TIMESTAMP '{horizon}'", f"> {horizon}")
+    return rule(table, f"future_{col}", "quarantine", f"{col} > TIMESTAMP '{horizon}'", f"after {horizon}")
 
 
 def duration(days: int) -> str:
     return rule(
         "shipments", "delivery_duration_sane", "allow",
-        f"floor(epoch(delivered_ts - ship_ts) / 86400) > {days}", f"> {days} days",
+        f"floor(epoch(delivered_ts - ship_ts) / 86400) > {days}", f"over {days} days under way",
     )
 
 
@@ -284,11 +283,11 @@ check(
     "dq22_future_orders", "order_id:i order_date:d",
     "SELECT order_id, order_date FROM clean_orders WHERE order_date > DATE '2001-06-30'",
 )
-BUILD = """SELECT 'fact_orders row count > 0' AS "check", (SELECT count(*) FROM fact_orders) AS n,
+BUILD = """SELECT 'orders_were_built' AS "check", (SELECT count(*) FROM fact_orders) AS n,
                   (SELECT count(*) FROM fact_orders) > 0 AS passed
-           UNION ALL SELECT 'no null order_id in fact_orders', n, n = 0
+           UNION ALL SELECT 'orders_without_id', n, n = 0
            FROM (SELECT count(*) AS n FROM fact_orders WHERE order_id IS NULL)
-           UNION ALL SELECT 'no negative gmv in daily_sales', n, n = 0
+           UNION ALL SELECT 'days_below_zero', n, n = 0
            FROM (SELECT count(*) AS n FROM daily_sales WHERE gmv_inr < 0)"""
 check("dq23_build_checks", "check:s n:i passed:b", BUILD)
 
@@ -300,6 +299,9 @@ _REASONS = union(
     f"SELECT 'order_items', 'referential_integrity_seller_id' FROM raw_items WHERE {missing('seller_id', FIRST_SELLERS, 'seller_id')}",
     f"SELECT 'payments', 'referential_integrity_order_id' FROM raw_payments WHERE {missing('order_id', LATE_ORDERS, 'order_id')}",
     f"SELECT 'shipments', 'referential_integrity_order_id' FROM raw_shipments WHERE {missing('order_id', LATE_ORDERS, 'order_id')}",
+    f"SELECT 'returns', 'referential_integrity_order_id' FROM raw_returns WHERE {missing('order_id', LATE_ORDERS, 'order_id')}",
+    "SELECT 'orders', 'referential_integrity_customer_id' FROM raw_orders WHERE order_purchase_ts >= TIMESTAMP '1997-01-01' AND "
+    f"{missing('customer_id', 'raw_customers', 'customer_id')}",
     "SELECT 'shipments', 'date_order_delivered_ts_ge_ship_ts' FROM raw_shipments WHERE delivered_ts < ship_ts",
     "SELECT 'shipments', 'future_delivered_ts' FROM raw_shipments WHERE delivered_ts > TIMESTAMP '2100-01-01'",
 )

@@ -135,6 +135,11 @@ CLEAN = dict(
     returns="returns", customers="customers", sellers="sellers", products="products",
 )
 check("s08_window_load", "entity:s rows_n:i", sizes(**CLEAN))
+check(
+    "s08_window_load_effect", "in_window:b changed:b orders_n:i",
+    """SELECT order_date >= DATE '2001-01-10' AS in_window, order_date >= DATE '2001-01-10' AS changed,
+              count(*) AS orders_n FROM clean_orders GROUP BY ALL""",
+)
 check(
     "p01_landing", "source:s batches:i rows_n:i loaded_again:i",
     union(*[

@@ -43,7 +43,7 @@ def test_two_runs_and_build(spark):
     base = scratch_dir(spark, "stages")
     silver = f"{base}/silver"
     first = flows.bronze_to_silver(spark, reader(spark, FIRST), silver)
-    assert first.records_quarantined == 2  # waiting line and impossible shipment
+    assert first.total("set aside") == 2  # waiting line and impossible shipment
     for _ in range(2):  # the second of these repeats a finished run
         flows.bronze_to_silver(spark, reader(spark, SECOND), silver, incremental=True)
 
@@ -86,7 +86,7 @@ def test_csv_files_over_landing_to_clean(spark):
     for name in FEEDS:
         read(name).write.option("header", True).csv(f"{base}/raw/{name}.csv")
     landed = landing.land_all(spark, f"{base}/raw", "2024-01-01", f"{base}/bronze")
-    assert landed.files_discovered == 8
+    assert len(landed.entities()) == 8
     flows.bronze_to_silver(spark, landing.bronze_reader(spark, f"{base}/bronze"), f"{base}/a")
     flows.bronze_to_silver(spark, flows.csv_reader(spark, f"{base}/raw", f"{base}/b"), f"{base}/b")
     flows.bronze_to_silver(spark, read, f"{base}/c")

@@ -3,8 +3,6 @@
 from tidemart.catalog.registry import query
 from tidemart.plans import analytics as a
 from tidemart.plans import dashboard as k
-from tidemart.session import scratch_dir
-from tidemart.sinks.tables import write_table
 
 RETURN_CUT = "1998-01-01"
 
@@ -31,11 +29,7 @@ query("q13_rising_return_rate")(
 
 @query("q14_seller_rank_in_state")
 def _(w):
-    # the mart is ranked in three passes, so it is written once instead of derived three times
-    sellers = w.seller_performance
-    spark = sellers.sparkSession
-    path = write_table(sellers, scratch_dir(spark, "q14"), "sellers")
-    return a.q14(spark.read.parquet(path))
+    return a.q14(w.seller_performance)
 
 
 query("q15_new_vs_repeat_revenue")(lambda w: a.q15(w.fact_orders(repeat=True), w.dim_date))

@@ -32,7 +32,8 @@ def days_between(start: Column, end: Column) -> Column:
 
 def whole_days_elapsed(start: Column, end: Column) -> Column:
     """Full 24-hour spans from start to end, rounded towards the past."""
-    seconds = F.unix_seconds(end.cast("timestamp")) - F.unix_seconds(start.cast("timestamp"))
+    # between local times: no session zone, so no change of clocks, comes in
+    seconds = F.timestamp_diff("SECOND", start.cast("timestamp_ntz"), end.cast("timestamp_ntz"))
     return F.floor(seconds / 86400)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemart.contracts import CITY_ALIASES, PAYMENT_STATUS_ALIASES, alias_lookup
+from tidemart.contracts import CITY_NAMES, PAYMENT_STATUS_NAMES
 
 UNKNOWN = "Unknown"
 
@@ -30,17 +30,21 @@ def title(c: Column) -> Column:
 
 
 def standard_city(c: Column) -> Column:
-    return canonicalize(c, alias_lookup(CITY_ALIASES), title(c))
+    return canonicalize(c, CITY_NAMES, title(c))
 
 
 def standard_payment_status(c: Column) -> Column:
-    return canonicalize(c, alias_lookup(PAYMENT_STATUS_ALIASES), F.lit("unknown"))
+    return canonicalize(c, PAYMENT_STATUS_NAMES, F.lit("unknown"))
+
+
+# The patterns that decide a category's spelling.
+SPELLED_AND, LEFT_OVER_AND = r"\s+and\s+", r"\bAnd\b"
 
 
 def standard_category(c: Column) -> Column:
     """One casing and '&' for a spelled-out 'and'."""
-    joined = F.trim(F.regexp_replace(F.lower(c), r"\s+and\s+", " & "))
-    return F.regexp_replace(F.initcap(joined), r"\bAnd\b", "&")
+    joined = F.trim(F.regexp_replace(F.lower(c), SPELLED_AND, " & "))
+    return F.regexp_replace(F.initcap(joined), LEFT_OVER_AND, "&")
 
 
 def or_unknown(c: Column) -> Column:

@@ -16,7 +16,7 @@ from tidemart.operators.ranking import (
     top_k_ranked,
 )
 from tidemart.operators.summaries import sum_if, weighted_mean_parts
-from tidemart.plans.marts import LINE, returned_lines, with_calendar
+from tidemart.plans.marts import LINE, with_calendar, with_returns
 
 LIVE = "is_cancelled = 0"
 
@@ -148,18 +148,13 @@ def q08(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def q09(fact_order_items: DataFrame, fact_returns: DataFrame) -> DataFrame:
     """Units returned per units sold, by category."""
-    sold = fact_order_items.groupBy("category").agg(F.sum("quantity").alias("units_sold"))
-    back = (
-        returned_lines(
-            fact_returns.select(*LINE, "return_qty"), fact_order_items.select(*LINE, "category")
-        )
-        .groupBy("category")
-        .agg(F.sum("return_qty").alias("_back"))
+    lines = fact_order_items.select(*LINE, "category", "quantity")
+    sold = with_returns(lines, fact_returns, F.sum("return_qty"), "_back").groupBy("category").agg(
+        F.sum("quantity").alias("units_sold"), F.sum("_back").alias("_back")
     )
     units_returned = F.coalesce("_back", F.lit(0))
     return (
-        sold.join(back, "category", "left")
-        .select(
+        sold.select(
             "category", "units_sold", units_returned.alias("units_returned"),
             percent(units_returned, F.col("units_sold")).alias("return_rate_pct"),
         )
@@ -262,12 +257,14 @@ def q13(
     )
     a, b = F.col("H1_back"), F.col("H1_units")
     c, d = F.col("H2_back"), F.col("H2_units")
-    rise = (c * b - a * d).cast("decimal(38,0)")
-    rising = halves.filter((b > 0) & (d > 0) & (c * b > a * d)).select(
+    # products of counts as decimals: as whole numbers they could overflow
+    wide = lambda x: x.cast("decimal(19,0)")
+    rise = (wide(c) * wide(b) - wide(a) * wide(d)).cast("decimal(38,0)")
+    rising = halves.filter((b > 0) & (d > 0) & (rise > 0)).select(
         "product_id",
         exact_ratio(a, b, 3).alias("h1_return_rate"),
         exact_ratio(c, d, 3).alias("h2_return_rate"),
-        exact_ratio(rise, (b * d).cast("decimal(38,0)"), 3).alias("delta"),
+        exact_ratio(rise, (wide(b) * wide(d)).cast("decimal(38,0)"), 3).alias("delta"),
     )
     named = rising.join(dim_product.select("product_id", "product_name", "category"), "product_id")
     return top_k(named, "delta", ["product_id"], k).select(

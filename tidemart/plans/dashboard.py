@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.operators.dedup import dedup_latest
 from tidemart.functions.dates import month_start, parse_ts
 from tidemart.functions.ratio import nullif_divide
 from tidemart.functions.text import normal_key, title
@@ -96,10 +97,10 @@ def raw_order_totals(lines: DataFrame) -> DataFrame:
 def k07_head(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """Headline figures; cancelled orders are left out of GMV and AOV."""
     status = normal_key(F.col("order_status"))
-    valued = orders.dropDuplicates(["order_id"]).join(
+    valued = dedup_latest(orders, ["order_id"], ["order_purchase_ts"]).join(
         raw_order_totals(raw_lines(items, products)), "order_id", "left"
     )
-    live = status != "cancelled"
+    live = ~status.eqNullSafe("cancelled")  # an unknown status is not cancelled
     totals = valued.agg(
         F.coalesce(sum_if(live, F.col("gmv")), F.lit(0)).alias("gmv"),
         F.count_if(live).alias("orders"),
@@ -118,7 +119,7 @@ def k07_head(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFr
 def k07_trend(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """Monthly trend; orders without a readable time belong to no month."""
     month = month_start(parse_ts(F.col("order_purchase_ts"))).alias("month")
-    dated = orders.dropDuplicates(["order_id"]).select("order_id", month)
+    dated = dedup_latest(orders, ["order_id"], ["order_purchase_ts"]).select("order_id", month)
     return (
         dated.filter("month is not null")
         .join(raw_order_totals(raw_lines(items, products)), "order_id", "left")

@@ -23,7 +23,7 @@ from tidemart.operators.scd2 import history_dimension, read_history, take_snapsh
 from tidemart.operators.split import without_parent
 from tidemart.plans import marts, model_tests, silver, staging, star
 from tidemart.session import Scratch, path_exists
-from tidemart.sinks.tables import StageMetrics, counted, write_by_month, write_table
+from tidemart.sinks.tables import LOADED, SET_ASIDE, RowLog, counted, write_by_month, write_table
 from tidemart.sources.calendar import spine_over
 from tidemart.sources.feeds import parse_csv_feed, read_parquet_entity
 
@@ -54,6 +54,8 @@ def quality_gate(
     The results are written before they are looked at, so the feeds are scanned once for them.
     """
     tables = dict(tables)
+    if not tables:
+        raise ValueError("no feeds to check")
     rules = standard_suite(tables, dict(accepted))
     write_table(run_rules(tables, rules), out, "results")
     results = read_parquet_entity(spark, out, "results")
@@ -165,7 +167,7 @@ def bronze_to_silver(
     out: str,
     incremental: bool = False,
     latest: Mapping[str, tuple[tuple[str, ...], tuple[str, ...]]] | None = None,
-) -> StageMetrics:
+) -> RowLog:
     """Clean all feeds into ``out``.
 
     An incremental run takes every row its reader gives: what is new is decided by what was
@@ -179,10 +181,10 @@ def bronze_to_silver(
     the shared scratch folder, so each feed is parsed and deduplicated once. A run that broke
     is simply repeated.
     """
-    metrics = StageMetrics("bronze_to_silver")
+    log = RowLog()
     with Scratch(spark, "bronze_to_silver") as scratch:
-        _clean_feeds(spark, scratch, raw, out, incremental, latest or {}, metrics)
-    return metrics
+        _clean_feeds(spark, scratch, raw, out, incremental, latest or {}, log)
+    return log
 
 
 def _clean_feeds(
@@ -192,7 +194,7 @@ def _clean_feeds(
     out: str,
     incremental: bool,
     latest: Mapping[str, tuple[tuple[str, ...], tuple[str, ...]]],
-    metrics: StageMetrics,
+    log: RowLog,
 ) -> None:
     aside = f"{out}/_quarantine"
     waiting, bad_path = f"{aside}/order_items_orphan", f"{aside}/shipments_bad_dates"
@@ -204,10 +206,10 @@ def _clean_feeds(
         extra = {} if order is None else {"latest": order, "tiebreak": tiebreak or None}
         return transform(raw(name) if feed is None else feed, **extra)
 
-    def store(attribute: str, df: DataFrame, label: str, write) -> None:
-        df, seen = counted(df, label)
+    def store(outcome: str, df: DataFrame, entity: str, write) -> None:
+        df, seen = counted(df, entity)
         write(df)
-        setattr(metrics, attribute, getattr(metrics, attribute) + seen.get["rows"])
+        log.add(entity, outcome, seen.get["rows"])
 
     fresh = not incremental or not path_exists(spark, f"{out}/orders")
     orders = scratch.keep(settle("orders", silver.clean_orders), "orders")
@@ -215,7 +217,7 @@ def _clean_feeds(
         orders = silver.with_order_sequence(orders)
     else:
         orders = _resequenced(spark, f"{out}/orders", orders)
-    store("records_loaded", orders, "orders",
+    store(LOADED, orders, "orders",
           lambda df: _store(spark, df, out, "orders", ("order_id",), fresh))
 
     for name, transform in (
@@ -252,12 +254,12 @@ def _clean_feeds(
     }
     for name, df in facts.items():
         new_table = fresh or not path_exists(spark, f"{out}/{name}")
-        store("records_loaded", df.join(parents, "order_id"), name,
+        store(LOADED, df.join(parents, "order_id"), name,
               lambda d, n=name, f=new_table: _store(spark, d, out, n, FACT_KEYS[n], f, named.get(n)))
 
-    store("records_quarantined", orphans, "orphans",
+    store(SET_ASIDE, orphans, "order_items",
           lambda df: write_table(df, aside, "order_items_orphan"))
-    store("records_quarantined", silver.of_known_orders(bad_dates, parents), "bad_dates",
+    store(SET_ASIDE, silver.of_known_orders(bad_dates, parents), "shipments",
           lambda df: write_table(df, aside, "shipments_bad_dates") if fresh
           else upsert(spark, bad_path, df, ("order_id",), new_columns=False, gone=named["shipments"]))
 

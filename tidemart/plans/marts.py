@@ -51,29 +51,28 @@ def _zero(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0)).alias(name)
 
 
-def returned_lines(returns: DataFrame, items: DataFrame) -> DataFrame:
-    """Line attributes of every return, found by order and line."""
-    return returns.join(items, LINE)
+def with_returns(items: DataFrame, returns: DataFrame, measure: Column, out: str) -> DataFrame:
+    """Lines with a measure over their returns, null without one.
+
+    Returns are summed up per line first, so lines are read and joined once and stay as many.
+    """
+    return items.join(returns.groupBy(*LINE).agg(measure.alias(out)), LINE, "left")
 
 
 def seller_performance(
     dim_seller: DataFrame, fact_order_items: DataFrame, fact_returns: DataFrame
 ) -> DataFrame:
     """Return rate here is returned lines per unit sold."""
-    sold = fact_order_items.groupBy("seller_id").agg(
+    lines = fact_order_items.select(*LINE, "seller_id", "quantity", "line_total_inr")
+    sold = with_returns(lines, fact_returns, F.count("*"), "_back").groupBy("seller_id").agg(
         F.countDistinct("order_id").alias("orders"),
         F.sum("quantity").alias("units"),
         F.sum("line_total_inr").alias("gmv_inr"),
-    )
-    back = (
-        returned_lines(fact_returns.select(*LINE), fact_order_items.select(*LINE, "seller_id"))
-        .groupBy("seller_id")
-        .agg(F.count("*").alias("returned_lines"))
+        F.sum("_back").alias("returned_lines"),
     )
     gmv, orders = F.coalesce("gmv_inr", F.lit(0)), F.col("orders")
     return (
         dim_seller.join(sold, "seller_id", "left")
-        .join(back, "seller_id", "left")
         .select(
             "seller_id", "seller_name", "seller_state", "seller_tier", "seller_rating",
             "business_type", _zero("orders"), _zero("units"), _zero("gmv_inr"),

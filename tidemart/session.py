@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,16 +46,24 @@ def build_session(
     return builder.getOrCreate()
 
 
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="tidemart-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach, below ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to the machine's own temporary folder.
+    Only a session whose executors are threads of the driver may fall back to the machine's own
+    temporary folder; that one is removed when the process ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="tidemart-")
+        base = _own_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
