@@ -57,10 +57,14 @@ def fit(docs: DataFrame, params: LangParams = LangParams()) -> list[tuple[str, b
     names = [r["lang"] for r in sizes]
     if not names:
         return []
-    own = Window.partitionBy("lang").orderBy("h")
+    # the least of each of 64 shares first, then the least of those: however many tasks and texts a
+    # language has, the last step sees 64 * pieces rows of it
+    share, whole = Window.partitionBy("lang", "share").orderBy("h"), Window.partitionBy("lang").orderBy("h")
     chosen = (
         known.where(F.col("lang").isin(names)).groupBy("lang", "h").agg(F.count("*").alias("copies"))
-        .withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= params.pieces).select("lang", "h")
+        .withColumn("share", F.pmod(F.xxhash64("h"), F.lit(64)))
+        .withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= params.pieces)
+        .withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= params.pieces).select("lang", "h")
     )
     # at most pieces * languages rows of two values
     rows = known.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.first("piece").alias("piece")).collect()
