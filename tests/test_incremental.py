@@ -196,3 +196,77 @@ def test_counts_ride_on_the_write(spark, rows):
     df, seen = counted(rows("x int", (1,), (2,)), "w", total=F.sum("x"))
     write_table(df, scratch_dir(spark, "w"), "t")
     assert (seen.get["rows"], seen.get["total"]) == (2, 3)
+
+
+@pytest.mark.parametrize("parts", [(), ("m",)])
+def test_upsert_after_a_broken_swap_has_every_row(spark, rows, monkeypatch, parts):
+    path = f"{scratch_dir(spark, 't')}/t"
+    schema = "k int, m int, v string"
+    inc.upsert(spark, path, rows(schema, *[(k, k % 3, "old") for k in range(10)]), ["k"], parts)
+    batch = rows(schema, (1, 2, "new"), (11, 4, "new"))
+    swap = inc._swap
+
+    def breaks(spark, path, stage):
+        inc.remove_path(spark, f"{path}/m=1" if parts else path)
+        raise OSError("lost")
+
+    monkeypatch.setattr(inc, "_swap", breaks)
+    with pytest.raises(OSError):
+        inc.upsert(spark, path, batch, ["k"], parts)
+    monkeypatch.setattr(inc, "_swap", swap)
+    inc.upsert(spark, path, batch, ["k"], parts)
+    expected = sorted([(k, k % 3, "old") for k in range(10) if k != 1] + [(1, 2, "new"), (11, 4, "new")], key=repr)
+    assert content(spark, path, "k", "m", "v") == expected
+    assert not inc.finish_upsert(spark, path)
+
+
+def test_a_stage_without_a_plan_is_dropped(spark, rows):
+    path = f"{scratch_dir(spark, 't')}/t"
+    inc.upsert(spark, path, rows("k int, v string", (1, "a")), ["k"])
+    rows("k int, v string", (9, "half")).write.parquet(f"{inc._pending(path)}/new")
+    inc.upsert(spark, path, rows("k int, v string", (2, "b")), ["k"])
+    assert content(spark, path, "k", "v") == [(1, "a"), (2, "b")]
+
+
+def test_keys_that_leave_without_a_new_row(spark, rows):
+    path = f"{scratch_dir(spark, 't')}/t"
+    schema = "k int, m int, v string"
+    inc.upsert(spark, path, rows(schema, (1, 1, "a"), (2, 1, "b"), (3, 2, "c")), ["k"], ["m"])
+    inc.upsert(spark, path, rows(schema, (2, 1, "B")), ["k"], ["m"], gone=rows("k int", (2,), (3,), (7,)))
+    assert content(spark, path, "k", "m", "v") == [(1, 1, "a"), (2, 1, "B")]
+    assert not path_exists(spark, f"{path}/m=2")
+
+
+def test_look_back_ignores_days_after_the_run(rows):
+    days = rows("d date, k int", (date(2024, 2, 28), 20240228), (date(2099, 1, 1), 20990101))
+    assert inc.lookback_start(days, "d", 3, date(2024, 3, 1)) == date(2024, 2, 25)
+    assert inc.lookback_start(days, "k", 3, date(2024, 3, 1)) == date(2024, 2, 25)
+
+
+def test_a_value_moved_beside_a_null_lands_again(spark, rows):
+    base, schema = scratch_dir(spark, "bronze"), "order_id string, a string, b string"
+    assert landing.land(spark, rows(schema, ("1", None, "x")), "orders", "2024-01-01", base)[0]
+    assert landing.land(spark, rows(schema, ("1", "x", None)), "orders", "2024-01-01", base)[0]
+    renamed = rows("order_id string, a string, c string", ("1", None, "x"))
+    assert landing.land(spark, renamed, "orders", "2024-01-01", base)[0]
+
+
+def test_landed_values_that_do_not_parse_are_set_aside(spark, rows):
+    base = scratch_dir(spark, "bronze")
+    schema = "order_id string, order_item_id string, product_id string, seller_id string, quantity string"
+    landing.land(spark, rows(schema, ("o", "1", "p", "s", "many"), ("o", "2", "p", "s", "3"), ("o", "3", "p", "s", None)),
+                 "order_items", "2024-01-01", base)
+    good = landing.bronze_reader(spark, base, f"{base}/out")("order_items")
+    assert sorted((r.order_item_id, r.quantity) for r in good.collect()) == [(2, 3), (3, None)]
+    aside = spark.read.parquet(f"{base}/out/_quarantine/order_items_corrupt")
+    assert [r.quantity for r in aside.collect()] == ["many"]
+
+
+def test_batches_landed_after_a_moment(spark, rows):
+    base = scratch_dir(spark, "bronze")
+    landing.land(spark, rows("order_id string", ("1",)), "orders", "2024-01-01", base)
+    since = landing.manifest(spark, base).agg(F.max("landed_at")).first()[0]
+    landing.land(spark, rows("order_id string", ("2",)), "orders", "2024-01-02", base)
+    landing.land(spark, rows("order_id string", ("3",)), "orders", "2024-01-02", base)
+    assert sorted(r.order_id for r in landing.bronze_reader(spark, base, after=since)("orders").collect()) == ["2", "3"]
+    assert landing.bronze_reader(spark, base, after=since)("payments").count() == 0

@@ -95,3 +95,34 @@ def test_csv_files_over_landing_to_clean(spark):
             tuple(sorted(map(repr, spark.read.parquet(f"{base}/{x}/{name}").collect()))) for x in "abc"
         }
         assert len(contents) == 1, name
+
+
+def test_late_unreadable_and_misdated_orders_are_kept_and_sides_swap(spark):
+    """Two deliveries end as one delivery of the newest rows does."""
+    first = {
+        "orders": [("o1", "c1", "delivered", "2023-03-10 10:00:00", None, "UPI"), ("o8", "c1", "delivered", "2099-01-01 00:00:00", None, "UPI"),
+                   ("o5", "c1", "delivered", "2023-03-20 10:00:00", None, "UPI"), ("o6", "c1", "delivered", "2023-03-25 10:00:00", None, "UPI")],
+        "order_items": [("o1", 1, "p1", "s1", 2, 5.0, None, None, None), ("o1", 2, "p1", "s1", 1, 5.0, None, None, None)],
+        "payments": [], "returns": [],
+        "shipments": [("o1", "E", "2023-03-12 08:00:00", "2023-03-14", "2023-03-11 08:00:00", "delivered"),
+                      ("o5", "E", "2023-03-22 08:00:00", "2023-03-24", "2023-03-23 08:00:00", "delivered")],
+    }
+    second = {
+        "orders": [("o0", "c1", "delivered", "2023-01-01 10:00:00", None, "UPI"), ("o7", "c2", "delivered", "soon", None, "UPI"),
+                   ("o9", "c2", "delivered", "2023-04-01 10:00:00", None, "UPI"),
+                   ("o5", "c2", "delivered", "2023-03-20 10:00:00", None, "UPI")],  # moved to another customer
+        "order_items": [("o0", 1, "p1", "s1", 1, 7.0, None, None, None), ("o1", 2, "p1", "s1", 0, 5.0, None, None, None)],
+        "payments": [], "returns": [],
+        "shipments": [("o1", "E", "2023-03-12 08:00:00", "2023-03-14", "2023-03-13 08:00:00", "delivered"),   # corrected
+                      ("o5", "E", "2023-03-22 08:00:00", "2023-03-24", "2023-03-21 08:00:00", "delivered")],  # newly bad
+    }
+    keys = {"orders": 1, "order_items": 2, "shipments": 1}
+    merged = {n: list({r[: keys.get(n, 1)]: r for r in [*first[n], *second[n]]}.values()) for n in first}
+    base = scratch_dir(spark, "late")
+    flows.bronze_to_silver(spark, reader(spark, first), f"{base}/two")
+    flows.bronze_to_silver(spark, reader(spark, second), f"{base}/two", incremental=True)
+    flows.bronze_to_silver(spark, reader(spark, merged), f"{base}/one")
+    for name in ("orders", "order_items", "shipments", "_quarantine/shipments_bad_dates", "_quarantine/order_items_orphan"):
+        one, two = (spark.read.parquet(f"{base}/{x}/{name}") for x in ("one", "two"))
+        columns = sorted(one.columns)
+        assert sorted(map(repr, one.select(columns).collect())) == sorted(map(repr, two.select(columns).collect())), name
