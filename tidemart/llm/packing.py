@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import zlib
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from tidemart.llm.common import text_bytes, to_batch
 from tidemart.session import Scratch
 
-#: pieces of one length that one task numbers
-NUMBERED = 50_000
+#: pieces of one length that are numbered together, at least; their square root if that is more
+NUMBERED = 500
 
 
 @dataclass(frozen=True)
@@ -36,8 +37,8 @@ class PackParams:
     tokenizer: str  # path of a tokenizer file, the same on every machine
     capacity: int = 2048
     closing_id: int = 0
-    #: words whose ids a task remembers
-    remembered: int = 400_000
+    #: words whose ids a process remembers, twice that for a while
+    remembered: int = 300_000
 
 
 class Encoder:
@@ -55,17 +56,25 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.remembered, self.known = remembered, {b"": b""}
+        self.remembered, self.known, self.before = remembered, {b"": b""}, {}
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in got]
 
+    def _knows(self, word: bytes) -> bool:
+        """Is the word known; one known before the last change of memory is taken over."""
+        if word not in self.known:
+            if word not in self.before:
+                return False
+            self.known[word] = self.before[word]
+        return True
+
     def _learn(self, words: set[bytes]) -> None:
         # a word that ends in one point or comma: the ids of the rest, then those of the mark
         marked = {w for w in words if len(w) > 1 and w[-1:] in b".," and 97 <= w[-2] <= 122}
         plain = (words - marked) | {w[:-1] for w in marked} | {w[-1:] for w in marked}
-        plain = [w for w in plain if w not in self.known]
+        plain = [w for w in plain if not self._knows(w)]
         self.known.update(zip(plain, self._encode(plain)))
         for w in marked:
             self.known[w] = self.known[w[:-1]] + self.known[w[-1:]]
@@ -78,13 +87,23 @@ class Encoder:
         try:
             return b"".join(map(self.known.__getitem__, words))
         except KeyError:
-            missing = {w for w in words if w not in self.known}
-            if len(self.known) + len(missing) > self.remembered:
-                self.known, missing = {b"": b""}, set(words)
-            self._learn(missing)
+            if len(self.known) > self.remembered:
+                self.known, self.before = {b"": b""}, self.known
+            self._learn({w for w in words if not self._knows(w)})
             return b"".join(map(self.known.__getitem__, words))
 
 
+_encoders: dict[tuple[str, int], Encoder] = {}
+
+
+def _encoder(params: PackParams) -> Encoder:
+    """The process's encoder: later tasks find the words of earlier ones."""
+    key = params.tokenizer, params.remembered
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
+
+
 def pieces(docs: DataFrame, params: PackParams, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32), and ids (little-endian 32-bit) if asked for."""
     fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -94,7 +113,7 @@ def pieces(docs: DataFrame, params: PackParams, with_ids: bool = False) -> DataF
     step = 4 * params.capacity
 
     def run(batches):
-        encoder = Encoder(params.tokenizer, params.remembered)
+        encoder = _encoder(params)
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             ids_of_docs = batch.column("doc_id").cast(pa.int64()).to_pylist()
@@ -170,8 +189,12 @@ def segments(made: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
 
 
 def numbered(parts: DataFrame, largest: int) -> DataFrame:
-    """Adds ``number``: 0, 1, ... within each length; no task numbers more than about NUMBERED."""
-    share = max(1, -(-largest // NUMBERED))
+    """Adds ``number``: 0, 1, ... within each length.
+
+    The ``largest`` count of a length is cut into shares of about its square root, so neither the
+    numbering within a share nor the sums over the shares of a length meet more rows than that.
+    """
+    share = max(1, -(-largest // max(NUMBERED, isqrt(largest))))
     key = [c for c in ("doc_id", "piece", "start", "ids_crc32") if c in parts.columns]
     dealt = parts.withColumn("share", F.pmod(F.xxhash64(*key), F.lit(share)).cast("int"))
     sizes = dealt.groupBy("length", "share").agg(F.count("*").alias("n"))
