@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta
 from functools import reduce
 from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,6 +184,18 @@ def upsert(
         finish_upsert(spark, path)
 
 
+def _stored(spark: SparkSession, path: str, new_columns: bool) -> DataFrame | None:
+    """The table, or None if it is not there or has no file, as a partitioned one without rows."""
+    if not path_exists(spark, path):
+        return None
+    try:
+        return spark.read.option("mergeSchema", new_columns).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
+
+
 def _stage(
     spark: SparkSession,
     scratch: Scratch,
@@ -197,11 +210,11 @@ def _stage(
     """Write the new content of the touched partitions; folders that end up empty, or None if
     there is nothing to swap."""
     stage = f"{_pending(path)}/new"
-    if not path_exists(spark, path):
+    target = _stored(spark, path, new_columns)
+    if target is None:
         batch.write.mode("overwrite").parquet(stage)
         return []
     batch = scratch.keep(batch, "batch")
-    target = spark.read.option("mergeSchema", new_columns).parquet(path)
     if not new_columns and set(batch.columns) != set(target.columns):
         raise ValueError(f"batch and table differ: {batch.columns} / {target.columns}")
     leaving = batch.select(*keys)

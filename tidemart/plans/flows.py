@@ -23,7 +23,7 @@ from tidemart.operators.scd2 import history_dimension, read_history, take_snapsh
 from tidemart.operators.split import without_parent
 from tidemart.plans import marts, model_tests, silver, staging, star
 from tidemart.session import Scratch, path_exists
-from tidemart.sinks.tables import LOADED, SET_ASIDE, RowLog, counted, write_by_month, write_table
+from tidemart.sinks.tables import LOADED, SET_ASIDE, RowLog, counted, rows_seen, write_by_month, write_table
 from tidemart.sources.calendar import spine_over
 from tidemart.sources.feeds import parse_csv_feed, read_parquet_entity
 
@@ -70,7 +70,7 @@ def quality_gate(
     for name in sorted(with_findings):
         bad, seen = counted(quarantined_rows(tables, name, rules), f"quarantine_{name}")
         write_table(bad, out, f"{name}_quarantine")
-        quarantined += seen.get["rows"]
+        quarantined += rows_seen(seen)
     passed = over.isEmpty() or not fail_fast
     return GateResult(passed, results, over, quarantined)
 
@@ -209,7 +209,7 @@ def _clean_feeds(
     def store(outcome: str, df: DataFrame, entity: str, write) -> None:
         df, seen = counted(df, entity)
         write(df)
-        log.add(entity, outcome, seen.get["rows"])
+        log.add(entity, outcome, rows_seen(seen))
 
     fresh = not incremental or not path_exists(spark, f"{out}/orders")
     orders = scratch.keep(settle("orders", silver.clean_orders), "orders")
