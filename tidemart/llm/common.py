@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,14 +40,22 @@ def text_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[start : int(offsets[-1])], offsets - start
 
 
+def lowered(array: pa.Array) -> pa.Array:
+    """Lower-cased texts; one task's worth of them exists beside the originals."""
+    return pc.utf8_lower(array)
+
+
 def slices(
-    batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES
+    batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES, lower: bool = False
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Each batch cut into runs of rows of about `size` bytes: (rows, bytes, offsets)."""
+    """Each batch cut into runs of rows of about `size` bytes: (rows, bytes, offsets).
+
+    With ``lower``, the bytes are those of the lower-cased texts; the rows stay as they are.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
-        data, offsets = text_bytes(batch.column(column))
+        data, offsets = text_bytes(lowered(batch.column(column)) if lower else batch.column(column))
         first = 0
         while first < batch.num_rows:
             last = int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1

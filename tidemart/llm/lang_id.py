@@ -16,13 +16,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import remainder, text_bytes, to_batch
+from tidemart.llm.common import lowered, remainder, text_bytes, to_batch
 
 UNKNOWN = "und"
 
@@ -74,6 +73,10 @@ def fit(docs: DataFrame, params: LangParams = LangParams()) -> list[tuple[str, b
     return [(n, "\n".join(p for _, p in sorted(pieces[n])).encode()) for n in names if n in pieces]
 
 
+def _lettered() -> Column:
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
 def _compressors(dictionaries: list[tuple[str, bytes]], level: int) -> list[zstandard.ZstdCompressor]:
     made = []
     for _, content in dictionaries:
@@ -102,7 +105,7 @@ def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], params: Lan
     def run(batches):
         names, compressors = [n for n, _ in sent.value], _compressors(sent.value, params.level)
         for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
+            data, offsets = text_bytes(lowered(batch.column("text")))
             view, lettered = memoryview(data), batch.column("lettered").to_pylist()
             langs, scores, margins = [], np.zeros(len(lettered)), np.zeros(len(lettered))
             for i, has_letter in enumerate(lettered):
@@ -116,20 +119,31 @@ def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], params: Lan
             yield to_batch(schema, batch.column("doc_id").cast(pa.int64()), langs, scores, margins,
                            unknown | (margins < params.narrow))
 
-    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered")
-    return docs.select("doc_id", F.lower("text").alias("text"), lettered).mapInArrow(
+    return docs.select("doc_id", "text", _lettered().alias("lettered")).mapInArrow(
         run, "doc_id long, lang_pred string, score double, margin double, rejected boolean")
 
 
 def keep_identified(docs: DataFrame, params: LangParams = LangParams()) -> DataFrame:
-    """The rows of ``docs`` whose language is found with a sufficient margin, with all their columns."""
+    """The rows of ``docs`` whose language is found with a sufficient margin, with all their columns.
+
+    Rows pass through as Arrow batches: a task holds one batch and its texts in lower case.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, params))
+    at, n = docs.columns.index("text"), len(docs.columns)
 
-    @F.pandas_udf("boolean")
-    def identified(texts: pd.Series) -> pd.Series:
+    def run(batches):
         compressors = _compressors(sent.value, params.level)
-        return texts.map(
-            lambda t: bool(compressors) and judge(memoryview(t.encode()), compressors, params.chunk_bytes)[1] >= params.narrow)
-
-    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.where(F.when(lettered, identified(F.coalesce(F.lower("text"), F.lit(""))))).select(*docs.columns)
+        for batch in batches:
+            data, offsets = text_bytes(lowered(batch.column(at)))
+            view, has_letter = memoryview(data), batch.column(n).to_pylist()
+            kept = [
+                bool(compressors) and has_letter[i]
+                and judge(view[offsets[i] : offsets[i + 1]], compressors, params.chunk_bytes)[1] >= params.narrow
+                for i in range(batch.num_rows)
+            ]
+            yield batch.select(range(n)).filter(pa.array(kept, pa.bool_()))
+
+    flag = "lettered"
+    while flag in docs.columns:
+        flag = f"_{flag}"
+    return docs.select("*", _lettered().alias(flag)).mapInArrow(run, docs.schema)
