@@ -94,22 +94,23 @@ class Templates:
 def candidates(hits: list[tuple[int, int, int]], sizes: list[int], band: int) -> list[tuple[int, int, int]]:
     """(template, least and largest diagonal) from (template, text position, template position).
 
-    Hits of a template, by text position, belong together while their diagonals stay within the band of
-    the last and the text positions within the template's length.
+    Hits of a template, by text position, belong together while both positions rise, their diagonals stay
+    within the band of the last and the text positions within the template's length.
     """
     out: list[tuple[int, int, int]] = []
     open_: dict[int, list[list[int]]] = {}
     for template, at, place in sorted(hits, key=lambda h: (h[0], h[1], h[2])):
         diagonal = at - place
         for group in open_.setdefault(template, []):
-            if abs(diagonal - group[2]) <= band and at - group[3] <= sizes[template]:
+            near = abs(diagonal - group[2]) <= band and at - group[3] <= sizes[template]
+            if near and at > group[3] and place > group[4]:
                 group[0], group[1] = min(group[0], diagonal), max(group[1], diagonal)
-                group[2], group[3] = diagonal, at
+                group[2], group[3], group[4] = diagonal, at, place
                 break
         else:
             live = [g for g in open_[template] if at - g[3] <= sizes[template]]
             out += [(template, g[0], g[1]) for g in open_[template] if at - g[3] > sizes[template]]
-            open_[template] = [*live, [diagonal, diagonal, diagonal, at]]
+            open_[template] = [*live, [diagonal, diagonal, diagonal, at, place]]
     return out + [(t, g[0], g[1]) for t, groups in open_.items() for g in groups]
 
 
@@ -122,7 +123,7 @@ def align(text: list[int], template: list[int], low: int, high: int) -> tuple[in
     width = high - low + 1
     score = [0] * (width + 1)  # of row j - 1, by i - j - low
     from_: list[list[int]] = []  # 0 stop, 1 match or exchange, 2 text word left over, 3 template word
-    best = (0, -1, -1)
+    best, middle, off = (0, -1, -1), (width - 1) / 2, 0.0
     for j, word in enumerate(template):
         row, moves = [0] * (width + 1), [0] * width
         for d in range(width):
@@ -136,8 +137,8 @@ def align(text: list[int], template: list[int], low: int, high: int) -> tuple[in
                 value, move = score[d + 1] - 1, 3
             if value > 0:
                 row[d], moves[d] = value, move
-                if value > best[0]:
-                    best = (value, j, d)
+                if value > best[0] or value == best[0] and abs(d - middle) < off:
+                    best, off = (value, j, d), abs(d - middle)  # of equal ones the nearest to the middle
         from_.append(moves)
         score = row
     matched, first, last = 0, -1, -1
