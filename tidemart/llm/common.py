@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 #: Bytes of text worked on at a time in a task. numpy holds some twenty times as much for it;
 #: a longer document is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

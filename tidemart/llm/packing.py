@@ -38,7 +38,7 @@ class PackParams:
     capacity: int = 2048
     closing_id: int = 0
     #: words whose ids a process remembers, twice that for a while
-    remembered: int = 300_000
+    remembered: int = 150_000
 
 
 class Encoder:
