@@ -59,6 +59,26 @@ def test_toxicity_edge_cases(docs, spark):
     assert T.keep_civil(df, empty).count() == 150 + len(EDGES)
 
 
+def test_toxicity_prior_does_not_depend_on_the_number_of_labels(spark):
+    """Scores of the curve's rows average to their toxic share, also where one class has very many labels."""
+    n = 130_000  # some 98,000 of them ordinary labels outside the held-out fold
+    rows = spark.range(n).selectExpr(
+        "id AS doc_id", "cast(id % 17 = 0 AS int) AS toxic", "1 AS quality",
+        "concat_ws(' ', concat('river', id % 7), concat('stone', id % 11), IF(xxhash64(id) % 10 < IF(id % 17 = 0, 4, -7),"
+        " concat('grobbler', id % 5), concat('garden', id % 13)), 'quiet') AS text")
+    model = T.fit(rows.select("doc_id", "text"), rows.select("doc_id", "quality", "toxic"))
+    curve = rows.where("crc32(cast(cast(doc_id AS string) AS binary)) % 5 != 0 AND pmod(xxhash64('curve', doc_id), 1000) < 250")
+    mean = T.score(curve, model).join(curve.select("doc_id", "toxic"), "doc_id").selectExpr("avg(score)", "avg(toxic)").first()
+    assert abs(mean[0] / mean[1] - 1) < 0.02
+
+
+def test_toxicity_model_leaves_out_the_rarest_grams_only(spark):
+    counts = spark.createDataFrame([(i, 1 + i // 50, i % 2) for i in range(400)], "gram long, ordinary long, toxic long")
+    assert T._commonest(counts, 400).count() == 400
+    left = [r.ordinary + r.toxic for r in T._commonest(counts, 100).collect()]
+    assert 0 < len(left) <= 100 and min(left) >= 7
+
+
 def test_ratio_model_is_a_pair_of_distributions():
     """Over all bytes after a context, each class's probabilities sum to one."""
     data = np.frombuffer(b"abra cadabra abba bad cab ab a", np.uint8)
