@@ -60,6 +60,23 @@ def test_equals_brute_force(docs):
     assert joined(J.jaccard_join(docs(*rows).repartition(5))) == brute(rows)
 
 
+def degrees(rows):
+    """Sorted (doc_id, n_links): other sets that link with a document's, by comparing all pairs."""
+    sets = {shingles(t) for _, t in rows} - {frozenset()}
+    linked = {s: sum(s is not o and 100 * len(s & o) >= 75 * len(s | o) for o in sets) for s in sets}
+    return sorted(((d, linked.get(shingles(t), 0)) for d, t in rows), key=repr)
+
+
+@pytest.mark.parametrize("block", [16, 256])
+def test_link_counts_equal_brute_force(docs, monkeypatch, block):
+    monkeypatch.setattr(J, "BLOCK", block)
+    family = text(79, 120)
+    rows = corpus() + [(5000 + k, edited(family, 3000 + k, 1 + k % 3)) for k in range(80)]
+    rows += [(d, t) for d, t in EDGES if d != 906]
+    got = [(r.doc_id, r.n_links) for r in J.jaccard_join(docs(*rows).repartition(5)).collect()]
+    assert sorted(got, key=repr) == degrees(rows)
+
+
 def test_edge_cases(docs):
     got = {r.doc_id: r for r in J.jaccard_join(docs(*EDGES)).collect()}
     assert got[900].n_shingles == got[901].n_shingles == got[902].n_shingles == 0

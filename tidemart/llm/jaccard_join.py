@@ -19,9 +19,10 @@ How links are found
 Candidates
     Groups of up to SMALL_GROUP classes with one signature give their pairs, and a pair is compared if it
     meets in SPARE + 1 of them (or in a larger group, which is treated by itself). In a larger
-    group each class is compared with the group's least PIVOTS classes; what these links leave in separate
-    components is compared block by block, so no group is ever held by one task and no link
-    between components is lost.
+    group each class is compared with the group's least PIVOTS classes, which settles most components;
+    then every pair of its classes is compared, block by block, so no group is ever held by one task.
+    A block gives the number of links of each class, and of the links themselves only those that
+    join components.
 Defined cases
     Null text: as empty. Null ids: kept, with the component of their text; a component's id is its
     least non-null doc_id. Repeated rows: one output row each. An empty table: no rows. Only
@@ -310,39 +311,55 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         yield to_batch(schema, rows.column("key_x"), rows.column("key_y"))
 
 
-def _block_links(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Links that join the components of the rows of one or two blocks, as a spanning forest."""
-    none = pd.DataFrame({"a": [], "b": []}, dtype=object)
-    pdf = pdf.drop_duplicates("key").reset_index(drop=True)
-    labels = pd.factorize(pdf["component"])[0]
-    counts = np.bincount(labels)
-    if len(counts) < 2:
-        return none
-    # rows of the most common component need no look at each other
-    pdf = pdf.assign(usual=labels == counts.argmax()).sort_values("usual", kind="stable").reset_index(drop=True)
-    labels = pd.factorize(pdf["component"])[0]
-    n_rare = int((~pdf["usual"]).sum())
-    sets = [np.frombuffer(f, np.uint64) for f in pdf["features"]]
-    sizes = np.array([len(s) for s in sets])
+def _overlaps(sets: list[np.ndarray], left: slice, right: slice) -> np.ndarray:
+    """Number of features that each set of ``left`` shares with each of ``right``."""
     names, column = np.unique(np.concatenate(sets), return_inverse=True)
-    row = np.repeat(np.arange(len(sets)), sizes)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    common = np.zeros((n_rare, len(sets)), np.float32)
+    every = np.arange(len(sets))
+    common = np.zeros((len(every[left]), len(every[right])), np.float32)
     width = 4096
     cuts = np.searchsorted(column, np.arange(0, len(names) + width, width))
     for i, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
         dense = np.zeros((len(sets), width), np.float32)
         dense[row[lo:hi], column[lo:hi] - i * width] = 1
-        common += dense[:n_rare] @ dense.T
-    common = np.rint(common).astype(np.int64)
-    good = 100 * common >= percent * (sizes[:n_rare, None] + sizes[None, :] - common)
-    links = []
-    for i, j in zip(*np.nonzero(good)):
-        if labels[i] != labels[j]:
-            links.append((pdf["key"][i], pdf["key"][j]))
-            labels[labels == labels[j]] = labels[i]
-    return pd.DataFrame(links, columns=["a", "b"]) if links else none
+        common += dense[left] @ dense[right].T
+    return np.rint(common).astype(np.int64)
+
+
+def _compared(pdf: pd.DataFrame, percent: int, within: bool) -> pd.DataFrame:
+    """(a, b, n) from the rows of a block, or of two, told apart by ``side``, of which all pairs across
+    are compared: (class, null, its links), and (a, b, 0) for links that join components, as a spanning forest."""
+    pdf = pdf.drop_duplicates("key")
+    if not within:
+        pdf = pdf.sort_values("side", kind="stable")
+    n = len(pdf)
+    split = n if within else int((pdf["side"] == 0).sum())
+    left, right = slice(0, split), slice(0 if within else split, n)
+    keys, labels = pdf["key"].tolist(), pd.factorize(pdf["component"])[0]
+    out: list[tuple[bytes, bytes | None, int]] = []
+    if len(keys[left]) and len(keys[right]):
+        sets = [np.frombuffer(f, np.uint64) for f in pdf["features"]]
+        sizes = np.array([len(s) for s in sets])
+        common = _overlaps(sets, left, right)
+        good = 100 * common >= percent * (sizes[left, None] + sizes[None, right] - common)
+        if within:
+            np.fill_diagonal(good, False)
+        counts = good.sum(axis=1) if within else np.concatenate([good.sum(axis=1), good.sum(axis=0)])
+        out += [(k, None, int(c)) for k, c in zip(keys, counts) if c]
+        for i, j in zip(*np.nonzero(good & (labels[left, None] != labels[None, right]))):
+            j += right.start
+            if labels[i] != labels[j]:
+                out.append((keys[i], keys[j], 0))
+                labels[labels == labels[j]] = labels[i]
+    return pd.DataFrame(out, columns=["a", "b", "n"]).astype({"a": object, "b": object, "n": "int64"})
+
+
+def _block_links(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links that join the components of the rows of one block, as a spanning forest."""
+    found = _compared(pdf, percent, True)
+    return found.loc[found["b"].notna(), ["a", "b"]]
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, params: JoinParams, scratch: Scratch) -> DataFrame:
@@ -385,22 +402,22 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _between_blocks(
     groups: DataFrame, sets: DataFrame, component: DataFrame, params: JoinParams, scratch: Scratch
-) -> DataFrame:
-    """Links between different components that share a large signature group (sig, c).
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What _compared gives for all classes that share a large signature group (sig, c), the home
+    of each class (key, home) and the pairs of homes that were compared (h1, h2).
 
     Copies of one text share many groups. So that two classes meet once and not once a group, each
     class has one home, its largest group; homes that meet in some group are compared, in blocks
-    of about BLOCK classes to a side.
+    of about BLOCK classes to a side. A class links with classes of homes that its own has not met
+    only if they share small groups, as two that share a large one have homes that meet in it.
     """
     rows = (
         groups.join(sets.select("c", "key"), "c")
         .join(component.select(F.col("node").alias("key"), "component"), "key", "left")
         .select("sig", "key", F.coalesce("component", "key").alias("component"))
     )
-    sized = rows.groupBy("sig").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
-    rows = scratch.keep(
-        rows.join(sized.where(F.col("lo") != F.col("hi")).select("sig", "n"), "sig"), "mixed")
+    sized = rows.groupBy("sig").agg(F.count("*").alias("n"))
+    rows = scratch.keep(rows.join(sized, "sig"), "large")
     homes = scratch.keep(
         rows.groupBy("key").agg(
             F.max_by("sig", F.struct("n", "sig")).alias("home"), F.first("component").alias("component")),
@@ -424,20 +441,26 @@ def _between_blocks(
     same = F.col("h1") == F.col("h2")
     dealt = one.select(
         "h1", "h2", F.when(same, F.least("i", "j")).otherwise(F.col("i")).alias("i"),
-        F.when(same, F.greatest("i", "j")).otherwise(F.col("j")).alias("j"), "key", "component",
-    ).unionAll(two.select("h1", "h2", "i", "j", "key", "component"))
-    return (
+        F.when(same, F.greatest("i", "j")).otherwise(F.col("j")).alias("j"),
+        (same & (F.col("i") > F.col("j"))).cast("int").alias("side"), "key", "component",
+    ).unionAll(two.select("h1", "h2", "i", "j", F.lit(1).alias("side"), "key", "component"))
+
+    def compared(block, pdf):
+        h1, h2, i, j = block
+        return _compared(pdf, params.percent, h1 == h2 and i == j)
+
+    found = (
         dealt.join(sets.select("key", "features"), "key").groupBy("h1", "h2", "i", "j")
-        .applyInPandas(lambda pdf: _block_links(pdf, params.percent), "a binary, b binary")
+        .applyInPandas(compared, "a binary, b binary, n long")
     )
+    return found, homes.select("key", "home"), met.select("h1", "h2")
 
 
 def jaccard_join(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links), one row per row of ``docs`` (doc_id, text).
 
-    component_id is the least doc_id reachable by links; n_links counts the verified links between
-    the document's class and other classes that the search needed (at least a spanning tree of the
-    component), not all pairs.
+    component_id is the least doc_id reachable by links; n_links is the number of other classes that
+    the document's class links with (documents with equal sets count once).
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
@@ -468,7 +491,9 @@ def jaccard_join(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFram
     links = scratch.keep(_verify(pairs, sets, params.percent), "links")
     release(spark)
     component = components(links, scratch, "first")
-    more = scratch.keep(_between_blocks(groups, sets, component, params, scratch), "more")
+    compared, homes, met = _between_blocks(groups, sets, component, params, scratch)
+    compared = scratch.keep(compared, "compared")
+    more = compared.where(F.col("b").isNotNull()).select("a", "b")
     # links found between components join these; nothing inside them needs another look
     own = component.withColumnRenamed("component", "was")
     of = lambda side: own.select(F.col("node").alias(side), F.col("was").alias(f"of_{side}"))
@@ -479,8 +504,17 @@ def jaccard_join(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFram
     # classes that only these links tie to others are components of their own so far
     single = joined.join(own.select("was").distinct(), "was", "left_anti")
     component = moved.unionAll(single.select(F.col("was").alias("node"), F.col("now").alias("component")))
-    links = links.unionAll(more)
-    degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
+    # links of classes whose homes were compared are counted there already
+    home = lambda side: homes.select(F.col("key").alias(side), F.col("home").alias(f"home_{side}"))
+    apart = (
+        links.join(home("a"), "a", "left").join(home("b"), "b", "left")
+        .select("a", "b", F.least("home_a", "home_b").alias("h1"), F.greatest("home_a", "home_b").alias("h2"),
+                (F.col("home_a").isNotNull() & F.col("home_b").isNotNull()).alias("both"))
+        .join(met.withColumn("both", F.lit(True)), ["h1", "h2", "both"], "left_anti")
+    )
+    counted = apart.select(F.explode(F.array("a", "b")).alias("key"), F.lit(1).cast("long").alias("n")).unionAll(
+        compared.where(F.col("b").isNull()).select("a", "n"))
+    degree = counted.groupBy("key").agg(F.sum("n").alias("n_links"))
     classes = (
         rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("least"))
         .join(component.withColumnRenamed("node", "key"), "key", "left")
@@ -490,7 +524,7 @@ def jaccard_join(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFram
     )
     smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     named = scratch.keep(classes.join(smallest, "component").select("key", "component_id", "n_links"), "named")
-    for spent in ("found", "pairs", "sets", "links", "more", "mixed", "homes", "met"):
+    for spent in ("found", "pairs", "sets", "links", "compared", "large", "homes", "met"):
         remove_path(spark, f"{scratch.base}/{spent}")
     frequent.unpersist()
     with_set, without = rows.where(F.col("key").isNotNull()), rows.where(F.col("key").isNull())
