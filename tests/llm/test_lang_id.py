@@ -30,6 +30,18 @@ def test_labels_of_the_held_out_fold_teach_nothing(docs):
     assert fit(docs(*rows)) == fit(docs(*kept))
 
 
+def test_shared_headers_do_not_hide_the_bodies(docs):
+    header = "this page is licensed for reading by everyone who holds a ticket " * 7
+    rows = [(i, header + t, lang) for i, t, lang in sample()]
+    got = {r.doc_id: r for r in identify(docs(*sample()), fit(docs(*rows))).collect()}
+    assert all(got[i].lang_pred == lang and not got[i].rejected for i, _, lang in sample())
+
+
+def test_every_language_is_known(docs):
+    rows = [(i, f"word{i} other", f"l{i % 130}") for i in range(1300)]
+    assert {n for n, _ in fit(docs(*rows))} == {f"l{k}" for k in range(130)}
+
+
 def test_edge_cases(docs):
     df = docs(*[(i, t, "aa") for i, t in EDGES], (950, "12 34 !!", "aa"), *sample())
     got = {r.doc_id: r for r in identify(df, fit(df)).collect()}

@@ -1,6 +1,7 @@
 """Language identification by compression: the language whose dictionary helps most.
 
-For each language a raw-content zstandard dictionary is made of pieces of labelled texts. A text is
+For each language a raw-content zstandard dictionary is made of pieces of labelled texts, each from a place
+in its text that a hash chooses. Every language of the labelled rows has one. A text is
 lower-cased and compressed, in chunks, with every dictionary; the language with the smallest total wins. Chunks keep
 a long text from becoming its own dictionary. When the runner-up needs nearly as few bytes, the
 margin is narrow and the text is rejected.
@@ -28,11 +29,9 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class LangParams:
-    #: pieces of a language's dictionary and characters of each: bounds the dictionaries
+    #: pieces of a language's dictionary and characters of each: bounds a dictionary, not their number
     pieces: int = 128
     piece_chars: int = 384
-    #: languages known, those with the most labelled rows
-    languages: int = 100
     chunk_bytes: int = 2048
     level: int = 9
     #: rejected if the runner-up needs less than this share of bytes more
@@ -40,7 +39,9 @@ class LangParams:
 
 
 def _piece(params: LangParams) -> Column:
-    return F.lower(F.substring("text", 1, params.piece_chars))
+    spare = F.greatest(F.length("text") - params.piece_chars, F.lit(0))
+    place = F.pmod(F.xxhash64(F.lit("piece"), "text"), spare + 1).cast("int")
+    return F.lower(F.substring("text", place + 1, F.lit(params.piece_chars)))
 
 
 def fit(docs: DataFrame, params: LangParams = LangParams()) -> list[tuple[str, bytes]]:
@@ -52,7 +53,7 @@ def fit(docs: DataFrame, params: LangParams = LangParams()) -> list[tuple[str, b
     known = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0) & (remainder("doc_id", 4) != 2)
     ).select("lang", _piece(params).alias("piece")).withColumn("h", F.xxhash64("piece"))
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(params.languages).collect()
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()
     names = [r["lang"] for r in sizes]
     if not names:
         return []
@@ -60,7 +61,7 @@ def fit(docs: DataFrame, params: LangParams = LangParams()) -> list[tuple[str, b
     # language has, the last step sees 64 * pieces rows of it
     share, whole = Window.partitionBy("lang", "share").orderBy("h"), Window.partitionBy("lang").orderBy("h")
     chosen = (
-        known.where(F.col("lang").isin(names)).groupBy("lang", "h").agg(F.count("*").alias("copies"))
+        known.groupBy("lang", "h").agg(F.count("*").alias("copies"))
         .withColumn("share", F.pmod(F.xxhash64("h"), F.lit(64)))
         .withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= params.pieces)
         .withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= params.pieces).select("lang", "h")
