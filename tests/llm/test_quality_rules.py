@@ -62,6 +62,15 @@ def test_repetition_that_the_base_rules_miss(docs):
     assert judge(docs((1, t))).first().reason == "repetitive"
 
 
+def test_junk_in_the_rest_is_judged_like_junk_in_a_chunk(docs):
+    plain = text(1, 4000)
+    junk = " " + ("z" * 59 + " ") * 60
+    rest, before = plain[:16_400] + junk[:3_600], plain[:12_288] + junk[:3_600] + plain[12_288:16_400]
+    assert len(rest) == len(before) == 20_000
+    got = {r.doc_id: r.reason for r in judge(docs((1, rest), (2, before), (3, plain[:20_000]))).collect()}
+    assert got == {1: "repetitive", 2: "repetitive", 3: None}
+
+
 @pytest.mark.parametrize("n", [0, 1])
 def test_long_text(docs, n):
     t = text(5, 60_000)

@@ -3,8 +3,8 @@
 A text that passes the base rules (enough words, not mostly repeated windows) is compressed whole and
 in fixed chunks with zstandard. The ratio, compressed over raw bytes, must lie in the band for the
 length: below it the text repeats itself, above it there is nothing to compress (keys, encoded data).
-Short texts compress badly, so their bands lie higher; a rest shorter than CHUNK is judged with
-the whole text only.
+Short texts compress badly, so their bands lie higher. A rest shorter than a chunk is judged in a last
+chunk that ends with the text, so every byte of a text of a chunk or more lies in one; shorter texts have none.
 
 Defined cases: null or empty text has no words and fails the base rules. Texts shorter than the
 first band have no upper or lower limit. Repeated rows: one result each; an empty table: none. Only
@@ -46,9 +46,12 @@ SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lin
 
 
 def ratios(raw: bytes, compressor, chunk: int) -> tuple[float, float, float]:
-    """(ratio of the whole, least and largest ratio of full chunks or nan)."""
+    """(ratio of the whole, least and largest ratio of chunks or nan); the last chunk ends with the text."""
     whole = len(compressor.compress(raw)) / len(raw)
-    each = [len(compressor.compress(raw[i : i + chunk])) / chunk for i in range(0, len(raw) - chunk + 1, chunk)]
+    starts = list(range(0, len(raw) - chunk + 1, chunk))
+    if starts and len(raw) % chunk:
+        starts.append(len(raw) - chunk)
+    each = [len(compressor.compress(raw[i : i + chunk])) / chunk for i in starts]
     return whole, min(each, default=np.nan), max(each, default=np.nan)
 
 
