@@ -1,9 +1,9 @@
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 
 from tests.llm.samples import EDGES, text
-from tidemart.llm import sql
+from tidemart.llm import sharding, sql
 from tidemart.llm.sharding import ShardParams, shard, write_shards
 
 
@@ -48,3 +48,17 @@ def test_written_shards_hold_all_rows(docs, spark, tmp_path):
     placed = write_shards(df, str(tmp_path / "out"), ShardParams(1_500))
     again = spark.read.parquet(str(tmp_path / "out"))
     assert {(r.doc_id, str(r.shard)) for r in again.collect()} == {(r.doc_id, r.shard) for r in placed.collect()}
+
+
+def test_written_shards_hold_repeated_rows_and_hot_keys_once(docs, spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "RUN", 7)
+    rows = [(i, text(i, 20)) for i in range(60)] + [(7, text(1000 + i, 30)) for i in range(40)] + [(8, "same text " * 10)] * 80
+    rows += [(None, "no id"), (None, "no id"), (5, None), (5, None), (5, "")]
+    placed = write_shards(docs(*rows, clash=True), str(tmp_path / "out"), ShardParams(2_000))
+    again = [(r.doc_id, r.text, str(r._shard)) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert Counter((d, t) for d, t, _ in again) == Counter(rows)
+    assert Counter((d, s) for d, _, s in again) == Counter((r.doc_id, r.shard) for r in placed.collect())
+    sizes = Counter()
+    for _, t, s in again:
+        sizes[s] += len((t or "").encode())
+    assert max(sizes.values()) <= 2_000
