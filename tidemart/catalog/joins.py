@@ -68,10 +68,9 @@ query("j06_fact_with_calendar")(
     .agg(F.count("*").alias("orders_n"))
 )
 query("j07_returned_lines")(
-    lambda w: marts.returned_lines(
-        w.fact_returns.select(*marts.LINE, "return_id"),
-        w.fact_order_items(False).select(*marts.LINE, "seller_id"),
-    )
+    lambda w: w.fact_order_items(False)
+    .select(*marts.LINE, "seller_id")
+    .join(w.fact_returns.select(*marts.LINE, "return_id"), marts.LINE)
 )
 query("j08_line_return_flag")(
     lambda w: w.fact_order_items(False)
