@@ -34,7 +34,7 @@ def test_query_equals_its_sql(spark, duck, name):
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in SQL and "license" not in n and "packing" not in n])
 def test_query_has_a_row_per_document(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
-    assert df.count() == duck.sql("SELECT count(*) FROM documents").fetchone()[0]
+    assert df.count() == duck.execute("SELECT count(*) FROM documents").fetchone()[0]
 
 
 def test_pipeline_by_brute_force(spark, duck, tmp_path):
@@ -54,13 +54,13 @@ def test_pipeline_by_brute_force(spark, duck, tmp_path):
         if name == "ngram_jaccard_join":
             assert kept[name] == {d for d, _, c in linked(rows) if d == c}
         if name == "benchmark_decontamination":
-            items = duck.sql("SELECT item_id, text FROM benchmark").fetchall()
+            items = duck.execute("SELECT item_id, text FROM benchmark").fetchall()
             assert kept[name] == {r[0] for r in contaminated(rows, items) if not r[-1]}
         if name == "best_fit_packing":
             check(rows, held.collect(), 2048)
     # documents that a filter rejects in their own language, or as toxic, are few: clean ones stay
     assert len(kept["language_id"]) >= 190
-    toxic = {r[0] for r in duck.sql("SELECT doc_id FROM labels WHERE toxic = 1").fetchall()}
+    toxic = {r[0] for r in duck.execute("SELECT doc_id FROM labels WHERE toxic = 1").fetchall()}
     assert len(kept["toxicity"] & toxic) <= 3
     whole = corpus_pipeline.run(spark, SF_DIR)
     assert {r.doc_id for r in whole.select("doc_id").collect()} == kept["best_fit_packing"]
