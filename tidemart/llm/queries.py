@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemart.llm import (
+    byte_bpe,
     decontaminate,
     jaccard_join,
     lang_id,
@@ -84,7 +85,15 @@ def op10_language_id(spark, sf_dir):
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op13_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), byte_bpe.BpeParams(ranks, public_tokenizers.PATTERN))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_extendible_sharding, op2_best_fit_packing, op3_url_filters, op4_toxicity, op5_license_scan,
     op6_quality_rules, op7_ngram_jaccard_join, op8_quality_classifier, op9_benchmark_decontamination, op10_language_id,
+    op13_byte_bpe,
 )}
