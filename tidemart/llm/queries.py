@@ -9,6 +9,7 @@ from tidemart.llm import (
     decontaminate,
     jaccard_join,
     lang_id,
+    lexical_search,
     license_scan,
     packing,
     quality_pu,
@@ -85,6 +86,10 @@ def op10_language_id(spark, sf_dir):
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op12_lexical_search(spark, sf_dir):
+    return lexical_search.search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_byte_bpe(spark, sf_dir):
     import public_tokenizers
 
@@ -95,5 +100,5 @@ def op13_byte_bpe(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_extendible_sharding, op2_best_fit_packing, op3_url_filters, op4_toxicity, op5_license_scan,
     op6_quality_rules, op7_ngram_jaccard_join, op8_quality_classifier, op9_benchmark_decontamination, op10_language_id,
-    op13_byte_bpe,
+    op12_lexical_search, op13_byte_bpe,
 )}

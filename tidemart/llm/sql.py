@@ -124,6 +124,38 @@ SELECT page_id, host, path, best.rule AS rule,
 FROM {pages} LEFT JOIN judged ON url IS NOT DISTINCT FROM u LEFT JOIN grouped USING (node)
 """
 
+#: terms, their weights, and each item's 50 documents of the highest scores
+SEARCH = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM {docs}
+), sizes AS (
+    SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d
+), lengths AS (
+    SELECT row_id, doc_id, 100 - 50 + ((50 * len(terms) * n_docs) // n_terms) AS m FROM d, sizes WHERE len(terms) > 0
+), postings AS (
+    SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(terms) AS term FROM d) GROUP BY ALL
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+    FROM postings, sizes GROUP BY term, n_docs
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM {items}
+), scored AS (
+    SELECT item_id, row_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN lengths USING (row_id)
+    GROUP BY item_id, row_id, doc_id
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
 SQL = {
     "op1_extendible_sharding": SHARDING.format(docs="documents", limit=16 << 20),
     "op3_url_filters": URLS.format(pages="pages"),
@@ -132,4 +164,5 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id
 FROM w LEFT JOIN n USING (doc_id) JOIN component ON component.a = w.doc_id
 """,
     "op9_benchmark_decontamination": DECONTAMINATION.format(docs="documents"),
+    "op12_lexical_search": SEARCH.format(docs="documents", items="benchmark"),
 }
