@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm import (
     byte_bpe,
+    collocations,
     decontaminate,
     jaccard_join,
     lang_id,
@@ -86,6 +87,10 @@ def op10_language_id(spark, sf_dir):
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op11_phrase_collocations(spark, sf_dir):
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
 def op12_lexical_search(spark, sf_dir):
     return lexical_search.search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -100,5 +105,5 @@ def op13_byte_bpe(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_extendible_sharding, op2_best_fit_packing, op3_url_filters, op4_toxicity, op5_license_scan,
     op6_quality_rules, op7_ngram_jaccard_join, op8_quality_classifier, op9_benchmark_decontamination, op10_language_id,
-    op12_lexical_search, op13_byte_bpe,
+    op11_phrase_collocations, op12_lexical_search, op13_byte_bpe,
 )}

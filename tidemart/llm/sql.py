@@ -156,6 +156,36 @@ WITH d AS (
 SELECT * FROM ranked WHERE rank <= 50
 """
 
+#: phrases of one to three words of each piece, cuts, and the candidates that no longer one holds
+PHRASES = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM {docs}
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+p AS (
+    SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))) AS phrase
+    FROM w, (VALUES (1), (2), (3)) sizes(k) WHERE len(words) >= k
+), f AS (SELECT lang, k, phrase, count(*) AS f FROM p GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k >= 2 AND f >= {least}),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+scored AS (
+    SELECT cuts.lang, cuts.phrase, a, cut, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(words[1:cut], ' ')
+    JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(words[cut + 1:], ' ')
+), best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (
+    SELECT lang, phrase, max(a) AS a
+    FROM (SELECT lang, a, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) AS phrase FROM c WHERE k = 3)
+    GROUP BY ALL
+), kept AS (
+    SELECT best.*, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, best.a DESC, best.phrase) AS rank
+    FROM best LEFT JOIN longer USING (lang, phrase) WHERE longer.a IS NULL OR 100 * longer.a < 50 * best.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM kept JOIN n USING (lang) WHERE rank <= {top}
+"""
+
 SQL = {
     "op1_extendible_sharding": SHARDING.format(docs="documents", limit=16 << 20),
     "op3_url_filters": URLS.format(pages="pages"),
@@ -164,5 +194,6 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id
 FROM w LEFT JOIN n USING (doc_id) JOIN component ON component.a = w.doc_id
 """,
     "op9_benchmark_decontamination": DECONTAMINATION.format(docs="documents"),
+    "op11_phrase_collocations": PHRASES.format(docs="documents", least=10, top=2000),
     "op12_lexical_search": SEARCH.format(docs="documents", items="benchmark"),
 }
