@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.contracts import CUSTOMER_SEGMENTS
-from tidemart.operators.checks import QUARANTINE, breaches, flag_rows, run_rules, standard_suite
+from tidemart.operators.checks import (
+    QUARANTINE, SENT_KEYS, breaches, find, flag_rows, results_of, run_rules, standard_suite,
+)
 from tidemart.operators.incremental import (
     delete_insert,
     finish_upsert,
@@ -57,7 +59,11 @@ def quality_gate(
     if not tables:
         raise ValueError("no feeds to check")
     rules = standard_suite(tables, dict(accepted))
-    write_table(run_rules(tables, rules), out, "results")
+    # counts per rule, and the keys that lack their parent: kept, so that each feed is counted once
+    findings = find(tables, rules)
+    write_table(findings, out, "findings")
+    findings = spark.read.schema(findings.schema).parquet(f"{out}/findings")
+    write_table(results_of(findings, tables, rules), out, "results")
     results = read_parquet_entity(spark, out, "results")
     over = breaches(results)
     with_findings = {
@@ -66,18 +72,22 @@ def quality_gate(
             (F.col("severity") == QUARANTINE) & ~F.col("passed")
         ).select("table").distinct().collect()  # at most one row per feed
     }
+    few_keys = findings.where("bad > 0").count() <= SENT_KEYS
     quarantined = 0
     for name in sorted(with_findings):
-        bad, seen = counted(quarantined_rows(tables, name, rules), f"quarantine_{name}")
+        found = quarantined_rows(tables, name, rules, findings, few_keys)
+        bad, seen = counted(found, f"quarantine_{name}")
         write_table(bad, out, f"{name}_quarantine")
         quarantined += rows_seen(seen)
     passed = over.isEmpty() or not fail_fast
     return GateResult(passed, results, over, quarantined)
 
 
-def quarantined_rows(tables: dict[str, DataFrame], name: str, rules) -> DataFrame:
+def quarantined_rows(
+    tables: dict[str, DataFrame], name: str, rules, findings: DataFrame | None = None, few_keys: bool = False
+) -> DataFrame:
     """Rows of a feed that break any quarantine rule, with the rules' names."""
-    flagged = flag_rows(tables, name, rules, "quarantine_reasons")
+    flagged = flag_rows(tables, name, rules, "quarantine_reasons", findings=findings, few_keys=few_keys)
     return flagged.filter(F.size("quarantine_reasons") > 0)
 
 
