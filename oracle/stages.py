@@ -110,7 +110,7 @@ _UPSERTED = """SELECT order_id, order_status,
                            THEN 2002 ELSE order_year END AS order_year, order_month,
                       CASE WHEN order_date >= DATE '1999-01-01' THEN 'second' END AS batch
                FROM clean_orders"""
-for _name in ("s05_upsert", "s05_upsert_after_broken_swap", "s09_upsert_twice"):
+for _name in ("s05_upsert", "s05_upsert_after_broken_swap", "s05_upsert_bucketed", "s09_upsert_twice"):
     check(_name, "order_id:i order_status:s order_year:i order_month:i batch:s", _UPSERTED)
 _NEWEST = """(SELECT max(order_date) - 3 FROM clean_orders WHERE order_date <= DATE '2000-03-01')"""
 check(

@@ -2,9 +2,9 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tidemart.operators.scd2 import as_of, first_versions, read_history, scd2, take_snapshot
+from tidemart.operators.scd2 import _done, _open_keys, as_of, first_versions, read_history, scd2, take_snapshot
 from tidemart.plans.flows import seller_history
-from tidemart.session import scratch_dir
+from tidemart.session import remove_path, scratch_dir
 
 S = "seller_id int, seller_name string, seller_city string, seller_rating double"
 CHECK = ["seller_city", "seller_rating"]
@@ -68,6 +68,66 @@ def test_stored_history_equals_the_pure_one_and_repeats(spark, rows):
     assert key(stored) == key(pure)
 
 
+def states(rows, n):
+    """Runs with changes, deletions, returns, nulls and untracked changes."""
+    import random
+
+    r, held, out = random.Random(5), {k: ("A", "Goa", 4.0) for k in range(12)}, []
+    for i in range(n):
+        for k in r.sample(range(15), 3):
+            if k in held and r.random() < 0.4:
+                del held[k]
+            else:
+                held[k] = (f"name{i}", r.choice(["Goa", "Pune", None]), r.choice([4.0, 4.1, None]))
+        out.append((datetime(2024, 1, 1 + i), rows(S, *[(k, *v) for k, v in sorted(held.items())])))
+    return out
+
+
+def test_ten_runs_of_deltas_equal_the_pure_form_folded_or_not(spark, rows):
+    some = states(rows, 10)
+    pure = first_versions(some[0][1], at(some[0][0]))
+    for t, df in some[1:]:
+        pure = scd2(pure, df, "seller_id", CHECK, at(t))
+    key = lambda df: sorted(map(repr, df.select(*pure.columns).collect()))
+    for fold_after in (3, 100):
+        base = scratch_dir(spark, "h")
+        for t, df in some:
+            take_snapshot(spark, base, df, "seller_id", CHECK, str(t), fold_after=fold_after)
+        take_snapshot(spark, base, some[-1][1], "seller_id", CHECK, str(some[-1][0]), fold_after=fold_after)
+        assert key(read_history(spark, base)) == key(pure), fold_after
+        assert len(_done(spark, f"{base}/opened")) <= fold_after + 1
+    kept, some = scratch_dir(spark, "h"), some[:5]
+    for t, df in some:
+        take_snapshot(spark, kept, df, "seller_id", CHECK, str(t), close_deletes=False, fold_after=3)
+    pure = first_versions(some[0][1], at(some[0][0]))
+    for t, df in some[1:]:
+        pure = scd2(pure, df, "seller_id", CHECK, at(t), close_deletes=False)
+    assert key(read_history(spark, kept)) == key(pure)
+
+
+def test_one_changed_key_writes_one_row(spark, rows, plan):
+    base = scratch_dir(spark, "h")
+    many = [(k, f"n{k}", "Goa", 4.0) for k in range(500)]
+    take_snapshot(spark, base, rows(S, *many), "seller_id", CHECK, str(T1))
+    many[7] = (7, "n7", "Pune", 4.0)
+    many[9] = (9, "renamed", "Goa", 4.0)  # not a checked column
+    take_snapshot(spark, base, rows(S, *many), "seller_id", CHECK, str(T2))
+    written = [spark.read.parquet(f"{base}/{kind}/run=2024-02-01T000000").collect() for kind in ("opened", "closed")]
+    assert [[r.seller_id for r in part] for part in written] == [[7], [7]]
+    scans = plan(_open_keys(spark, base, "2024-02-01T000000", "seller_id"))
+    assert "seller_city" not in scans, "attributes are not read to find what changed"
+
+
+def test_a_run_that_broke_before_its_end_does_not_count(spark, rows):
+    base = scratch_dir(spark, "h")
+    take_snapshot(spark, base, rows(S, (1, "A", "Goa", 4.0)), "seller_id", CHECK, str(T1))
+    take_snapshot(spark, base, rows(S, (1, "A", "Pune", 4.0)), "seller_id", CHECK, str(T2))
+    remove_path(spark, f"{base}/runs/run=2024-02-01T000000")  # as if it had stopped before the mark
+    assert versions(read_history(spark, base)) == [("Goa", 4.0, T1, None)]
+    take_snapshot(spark, base, rows(S, (1, "A", "Delhi", 4.0)), "seller_id", CHECK, str(T3))
+    assert versions(read_history(spark, base)) == [("Goa", 4.0, T1, T3), ("Delhi", 4.0, T3, None)]
+
+
 def test_point_in_time(rows):
     h = first_versions(rows(S, (1, "A", "Goa", 4.0)), at(T2))
     h = scd2(h, rows(S, (1, "A", "Pune", 4.0)), "seller_id", CHECK, at(T3))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemart.operators import incremental as inc
-from tidemart.session import path_exists, scratch_dir
+from tidemart.session import path_exists, remove_path, scratch_dir
 from tidemart.sinks import landing
 from tidemart.sinks.tables import counted, write_by_month, write_jdbc, write_table
 from tidemart.sources.feeds import load_entity, parse_csv_feed, read_csv_feed
@@ -270,3 +270,62 @@ def test_batches_landed_after_a_moment(spark, rows):
     landing.land(spark, rows("order_id string", ("3",)), "orders", "2024-01-02", base)
     assert sorted(r.order_id for r in landing.bronze_reader(spark, base, after=since)("orders").collect()) == ["2", "3"]
     assert landing.bronze_reader(spark, base, after=since)("payments").count() == 0
+
+
+def files_of(spark, path):
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return {r.path: r.modificationTime for r in files.select("path", "modificationTime").collect()}
+
+
+def test_bucketed_upsert_touches_its_buckets_only(spark, rows):
+    path = f"{scratch_dir(spark, 't')}/t"
+    schema = "k int, v string"
+    inc.upsert_bucketed(spark, path, rows(schema, *[(k, "old") for k in range(40)]), ["k"], 8)
+    before = files_of(spark, path)
+    batch = rows("k int, v string, extra int", (3, "new", 1), (77, "new", 2))
+    for _ in range(2):
+        inc.upsert_bucketed(spark, path, batch, ["k"])
+    after = files_of(spark, path)
+    homes = {r[inc.BUCKET] for r in inc.with_bucket(batch, ["k"], 8).collect()}
+    same = {f for f in before if not any(f"{inc.BUCKET}={b}/" in f for b in homes)}
+    assert same and all(after.get(f) == before[f] for f in same)
+    found = sorted((r.k, r.v, r.extra) for r in inc.read_bucketed(spark, path).collect())
+    assert found == sorted([(k, "old", None) for k in range(40) if k != 3] + [(3, "new", 1), (77, "new", 2)])
+
+
+@pytest.mark.parametrize("at", [1, 2, 3])
+def test_bucketed_upsert_after_a_broken_swap(spark, rows, monkeypatch, at):
+    path = f"{scratch_dir(spark, 't')}/t"
+    schema = "k int, v string"
+    inc.upsert_bucketed(spark, path, rows(schema, *[(k, "old") for k in range(20)]), ["k"], 4)
+    batch, move, moves = rows(schema, *[(k, "new") for k in range(10, 30)]), inc.move_folder, []
+
+    def breaks(spark, source, target):
+        moves.append(target)
+        if len(moves) == at:
+            remove_path(spark, target)  # deleted, not yet moved
+            raise OSError("lost")
+        move(spark, source, target)
+
+    monkeypatch.setattr(inc, "move_folder", breaks)
+    with pytest.raises(OSError):
+        inc.upsert_bucketed(spark, path, batch, ["k"])
+    monkeypatch.setattr(inc, "move_folder", move)
+    inc.upsert_bucketed(spark, path, rows(schema, (99, "last")), ["k"])
+    found = sorted((r.k, r.v) for r in inc.read_bucketed(spark, path).collect())
+    assert found == [(k, "old") for k in range(10)] + [(k, "new") for k in range(10, 30)] + [(99, "last")]
+
+
+def test_bucketed_keys_that_leave_and_other_keys(spark, rows):
+    path = f"{scratch_dir(spark, 't')}/t"
+    schema = "k string, v int"
+    inc.upsert_bucketed(spark, path, rows(schema, ("a", 1), ("b", 2), (None, 3)), ["k"], 64)
+    inc.upsert_bucketed(spark, path, rows(schema, ("a", 9)), ["k"], gone=rows("k string", ("b",), ("zz",)))
+    assert sorted((r.k or "", r.v) for r in inc.read_bucketed(spark, path).collect()) == [("", 3), ("a", 9)]
+    assert len(inc.leaf_folders(spark, path, 1)) == 2, "an emptied bucket leaves no folder"
+    with pytest.raises(ValueError, match="bucketed by"):
+        inc.upsert_bucketed(spark, path, rows(schema, ("a", 1)), ["v"])
+    inc.rebucket(spark, path, 2)
+    assert inc.read_layout(spark, path) == (["k"], 2)
+    inc.upsert_bucketed(spark, path, rows(schema, ("a", 10)), ["k"], 64)
+    assert sorted((r.k or "", r.v) for r in inc.read_bucketed(spark, path).collect()) == [("", 3), ("a", 10)]

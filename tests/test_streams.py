@@ -58,6 +58,24 @@ def test_updates_replace_the_row_of_a_day(spark):
     assert days == {0: (1, 5), 1: (2, 5), 2: (1, 7)}
 
 
+def test_a_batch_rewrites_the_buckets_of_its_own_groups(spark):
+    base = scratch_dir(spark, "s")
+    target, cp = f"{base}/mart", f"{base}/cp"
+
+    def update():
+        rollup = st.daily_rollup(stream(spark, base), "ts", "v")
+        st.upsert_updates(spark, rollup, ["day"], target, cp)
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(target)
+        return {r.path: r.modificationTime for r in files.select("path", "modificationTime").collect()}
+
+    arrive(spark, base, *[(i, i % 12, 1) for i in range(24)])
+    before = update()
+    arrive(spark, base, (99, 11, 1))
+    after = update()
+    assert len(before) > 3 and len(set(before) - set(after)) == 1  # one file gone, one new, the rest as they were
+    assert all(before[f] == after[f] for f in set(before) & set(after))
+
+
 def test_days_do_not_depend_on_the_session_zone(spark):
     base = scratch_dir(spark, "s")
     arrive(spark, base, (1, 0, 5))

@@ -133,6 +133,33 @@ def _(w):
         inc._swap = swap
 
 
+@query("s05_upsert_bucketed")
+def _(w):
+    """The same batches into a table bucketed by its key, with a break in the second swap and a rebucketing."""
+    path = scratch_dir(w.spark, "bucketed")
+    orders = w.orders().select("order_id", "order_status", "order_date", "order_year", "order_month")
+    inc.upsert_bucketed(w.spark, path, orders.filter("order_date < '1999-07-01'"), ["order_id"], 8)
+    moved = F.when(F.col("order_status") == "returned", 2002).otherwise(F.col("order_year"))
+    batch = orders.filter("order_date >= '1999-01-01'").withColumns({"order_year": moved, "batch": F.lit("second")})
+    move, moves = inc.move_folder, []
+
+    def breaks(spark, source, target):
+        moves.append(target)
+        if len(moves) == 3:
+            raise OSError("lost while swapping")
+        move(spark, source, target)
+
+    inc.move_folder = breaks
+    try:
+        inc.upsert_bucketed(w.spark, path, batch, ["order_id"])
+    except OSError:
+        inc.upsert_bucketed(w.spark, path, batch.limit(0), ["order_id"])  # finishes what broke
+    finally:
+        inc.move_folder = move
+    inc.rebucket(w.spark, path, 16)
+    return inc.read_bucketed(w.spark, path).select("order_id", "order_status", "order_year", "order_month", "batch")
+
+
 query("s09_upsert_twice")(lambda w: upserted(w, 2))
 
 

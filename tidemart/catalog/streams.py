@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemart.catalog.registry import query
+from tidemart.operators.incremental import read_bucketed
 from tidemart.session import scratch_dir
 from tidemart.streaming import streams as st
 
@@ -48,4 +49,4 @@ def _(w):
     base = scratch_dir(w.spark, "mart")
     rollup = st.daily_rollup(events(w), "ts", "value")
     st.upsert_updates(w.spark, rollup, ["day"], f"{base}/days", f"{base}/checkpoint")
-    return w.spark.read.parquet(f"{base}/days")
+    return read_bucketed(w.spark, f"{base}/days")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.dates import parse_ts
-from tidemart.session import Scratch, path_exists, remove_path
+from tidemart.session import Scratch, leaf_folders, move_folder, path_exists, remove_path
 
 # ------------------------------------------------------------------ watermark
 
@@ -130,24 +130,26 @@ def finish_upsert(spark: SparkSession, path: str) -> bool:
 
 
 def _swap(spark: SparkSession, path: str, stage: str) -> None:
-    """Put the staged content in place. Reads the stage only, so it can be repeated."""
+    """Put the staged content in place, folder by folder. A folder leaves the stage as it arrives, so the
+    swap can be repeated from wherever it broke. Nothing is written again: on stores that rename, moving is free."""
     plan = spark.read.schema(PLAN).json(f"{stage}/plan").first()
-    new, parts = spark.read.parquet(f"{stage}/new"), list(plan["partition_by"])
+    parts = list(plan["partition_by"])
     if not parts:
-        new.write.mode("overwrite").parquet(path)
+        move_folder(spark, f"{stage}/new", path)
         return
-    (
-        # gathers each partition's rows; AQE cuts and merges them to the advisory file size
-        new.hint("rebalance", *[F.col(c) for c in parts])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts)
-        .parquet(path)
-    )
+    for folder in leaf_folders(spark, f"{stage}/new", len(parts)):
+        move_folder(spark, f"{stage}/new/{folder}", f"{path}/{folder}")
     for folder in plan["emptied"]:  # a partition left without rows is not overwritten
         remove_path(spark, f"{path}/{folder}")
 
 
+def _write_stage(df: DataFrame, stage: str, partition_by: Sequence[str]) -> None:
+    if partition_by:
+        # gathers each partition's rows; AQE cuts and merges them to the advisory file size
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(stage)
+
+
 PLAN = "partition_by array<string>, emptied array<string>"
 
 
@@ -212,7 +214,7 @@ def _stage(
     stage = f"{_pending(path)}/new"
     target = _stored(spark, path, new_columns)
     if target is None:
-        batch.write.mode("overwrite").parquet(stage)
+        _write_stage(batch, stage, partition_by)
         return []
     batch = scratch.keep(batch, "batch")
     if not new_columns and set(batch.columns) != set(target.columns):
@@ -222,7 +224,7 @@ def _stage(
         leaving = leaving.unionByName(scratch.keep(gone.select(*keys), "gone"))
     leaving = leaving.distinct()
     if not partition_by:
-        _replaced(target, leaving, batch, keys).write.mode("overwrite").parquet(stage)
+        _write_stage(_replaced(target, leaving, batch, keys), stage, ())
         return []
 
     # only folder names reach the driver: at most one row per partition of the table
@@ -234,14 +236,117 @@ def _stage(
     if not touched:
         return None
     old = target.filter(_in_partitions(partition_by, touched))
-    _replaced(old, leaving, batch, keys).write.mode("overwrite").parquet(stage)
-    filled = {tuple(r) for r in spark.read.parquet(stage).select(*partition_by).distinct().collect()}
-    return [
-        "/".join(f"{c}={_folder_value(row[c])}" for c in partition_by)
-        for row in touched
-        if tuple(row) not in filled
-    ]
+    _write_stage(_replaced(old, leaving, batch, keys), stage, partition_by)
+    filled = set(leaf_folders(spark, stage, len(partition_by)))
+    folders = ["/".join(f"{c}={_folder_value(row[c])}" for c in partition_by) for row in touched]
+    return [f for f in folders if f not in filled]
 
 
 def _replaced(target: DataFrame, leaving: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     return target.join(leaving, keys, "left_anti").unionByName(batch, allowMissingColumns=True)
+
+
+# ------------------------------------------------------------- bucketed upsert
+
+#: names the folder of a row in a bucketed table
+BUCKET = "key_bucket"
+LAYOUT = "keys array<string>, buckets int"
+
+
+def _layout_path(path: str) -> str:
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/_layout_{name}"
+
+
+def read_layout(spark: SparkSession, path: str) -> tuple[list[str], int] | None:
+    """(keys, buckets) a table was made with; None if it is no bucketed table."""
+    if not path_exists(spark, f"{_layout_path(path)}/_SUCCESS"):
+        return None
+    row = spark.read.schema(LAYOUT).json(_layout_path(path)).first()
+    return list(row["keys"]), row["buckets"]
+
+
+def _write_layout(spark: SparkSession, path: str, keys: Sequence[str], buckets: int) -> None:
+    row = spark.createDataFrame([(list(keys), buckets)], LAYOUT)
+    row.coalesce(1).write.mode("overwrite").json(_layout_path(path))
+
+
+def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Keys are hashed as text, so that a key of another whole-number width keeps its bucket."""
+    texts = [F.col(k).cast("string") for k in keys]
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*texts), F.lit(buckets)).cast("int"))
+
+
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("mergeSchema", True).parquet(path).drop(BUCKET)
+
+
+def upsert_bucketed(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    buckets: int = 64,
+    new_columns: bool = True,
+    gone: DataFrame | None = None,
+) -> None:
+    """``upsert`` of a table without natural partitions: a fixed hash of the key names a row's folder.
+
+    A key cannot leave its bucket, so an upsert looks for older copies in the batch's buckets only,
+    and reads and rewrites these alone; files of other buckets stay as they are. The number of buckets
+    is fixed when the table is made (later calls use it); ``rebucket`` changes it.
+    """
+    known = read_layout(spark, path)
+    if known is None:
+        if path_exists(spark, path):
+            raise ValueError(f"{path} is no bucketed table")
+        _write_layout(spark, path, keys, buckets)
+        known = list(keys), buckets
+    if known[0] != list(keys):
+        raise ValueError(f"{path} is bucketed by {known[0]}, not by {list(keys)}")
+    marked = with_bucket(batch, keys, known[1])
+    if gone is not None:
+        gone = with_bucket(gone.select(*keys), keys, known[1])
+    finish_upsert(spark, path)
+    with Scratch(spark, "upsert") as scratch:
+        marked = scratch.keep(marked, "marked")
+        homes = marked.select(BUCKET)
+        if gone is not None:
+            gone = scratch.keep(gone, "gone_keys")
+            homes = homes.union(gone.select(BUCKET))
+        touched = [r[0] for r in homes.distinct().collect()]  # at most as many as there are buckets
+        stored = _stored(spark, path, new_columns)
+        if not touched:
+            return
+        stage = f"{_pending(path)}/new"
+        content = marked
+        if stored is not None:
+            if not new_columns and set(marked.columns) != set(stored.columns):
+                raise ValueError(f"batch and table differ: {marked.columns} / {stored.columns}")
+            leaving = marked.select(BUCKET, *keys)
+            if gone is not None:
+                leaving = leaving.unionByName(gone)
+            # the bucket is part of the join, and a literal filter for the scan
+            old = stored.where(F.col(BUCKET).isin(touched))
+            content = _replaced(old, leaving.distinct(), marked, [BUCKET, *keys])
+        _write_stage(content, stage, [BUCKET])
+        filled = set(leaf_folders(spark, stage, 1))
+        emptied = [f for f in (f"{BUCKET}={b}" for b in touched) if f not in filled]
+        plan = spark.createDataFrame([([BUCKET], emptied)], PLAN)
+        plan.coalesce(1).write.mode("overwrite").json(f"{_pending(path)}/plan")
+    finish_upsert(spark, path)
+
+
+def rebucket(spark: SparkSession, path: str, buckets: int) -> None:
+    """Deal a bucketed table to another number of buckets, by way of a table beside it."""
+    keys, before = read_layout(spark, path)
+    finish_upsert(spark, path)
+    if buckets == before:
+        return
+    fresh = f"{path.rstrip('/')}_rebucketed"
+    remove_path(spark, fresh)
+    _write_stage(with_bucket(read_bucketed(spark, path), keys, buckets), fresh, [BUCKET])
+    # the old layout goes first: a break from here on leaves a table that refuses upserts, and a whole copy
+    remove_path(spark, _layout_path(path))
+    move_folder(spark, fresh, path)
+    _write_layout(spark, path, keys, buckets)

@@ -84,6 +84,32 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another; repeating it after a break is harmless."""
+    fs, src = hadoop_path(spark, source)
+    if not fs.exists(src):
+        return
+    _, dst = hadoop_path(spark, target)
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def leaf_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Names (a=1/b=2) of the partition folders so many levels below ``path``."""
+    names = [""]
+    for _ in range(depth):
+        found = []
+        for name in names:
+            fs, folder = hadoop_path(spark, f"{path}/{name}" if name else path)
+            below = [f.getPath().getName() for f in fs.listStatus(folder) if f.isDirectory()]
+            found += [f"{name}/{n}" if name else n for n in below if "=" in n]
+        names = found
+    return names
+
+
 class Scratch:
     """Intermediate tables of one job, written once, read as often as needed, removed at the end.
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidemart.operators.incremental import upsert
+from tidemart.operators.incremental import upsert_bucketed
 
 LATE_BOUND = "3 days"
 EVENT_TIME = "_event_time"
@@ -84,11 +84,15 @@ def append_closed(rollup: DataFrame, target: str, checkpoint: str) -> None:
 
 
 def upsert_updates(
-    spark: SparkSession, rollup: DataFrame, keys: Sequence[str], target: str, checkpoint: str
+    spark: SparkSession, rollup: DataFrame, keys: Sequence[str], target: str, checkpoint: str, buckets: int = 16
 ) -> None:
-    """Keep a mart current: every changed group replaces its row. Repeating a batch is harmless."""
+    """Keep a mart current: every changed group replaces its row. Repeating a batch is harmless.
+
+    The mart is bucketed by its key (``incremental.read_bucketed`` reads it), so a micro-batch rewrites
+    the buckets of its own groups only.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        upsert(spark, target, batch, keys)
+        upsert_bucketed(spark, target, batch, keys, buckets)
 
     _finish(rollup.writeStream.outputMode("update").foreachBatch(apply), checkpoint)
