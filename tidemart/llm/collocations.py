@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import slices, to_batch
+from tidemart.llm.common import lean, slices, to_batch
 from tidemart.llm.grams import LOWER, runs
 from tidemart.session import Scratch
 
@@ -56,7 +56,7 @@ _COUNTS = pa.schema([("lang", pa.string()), ("pair", pa.int64()), ("n", pa.int64
 class PhraseParams:
     least: int = 10
     top: int = 2000
-    chunk_bytes: int = 16 << 20
+    chunk_bytes: int = 8 << 20
     tile: int = 1024
     sent: int = 1 << 20
 
@@ -125,7 +125,7 @@ def encode(docs: DataFrame, params: PhraseParams) -> DataFrame:
             yield from builder.rows(task << 32 | number, list(codes))
 
     named = docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    return named.mapInArrow(run, "chunk long, lang string, word string, local int, n long, tokens binary")
+    return named.mapInArrow(lean(run), "chunk long, lang string, word string, local int, n long, tokens binary")
 
 
 # -------------------------------------------------------------------- ranking
@@ -220,7 +220,7 @@ def _count_two(chunks: DataFrame, tile: int) -> DataFrame:
                 pair = pair[pair >= 0]
                 yield from _rows(lang, *count_pairs(pair >> 32, pair & 0xFFFFFFFF, tile))
 
-    return chunks.select("lang", "tokens").mapInArrow(run, "lang string, pair long, n long")
+    return chunks.select("lang", "tokens").mapInArrow(lean(run), "lang string, pair long, n long")
 
 
 def _three_of(lang: str, word: np.ndarray, rank: np.ndarray, tile: int):
@@ -252,7 +252,7 @@ def _count_three(chunks: DataFrame, pairs: DataFrame, params: PhraseParams) -> D
                         rank = np.where(pair_of[spot] == pair, id_of[spot], -1)
                         yield from _three_of(lang, word, rank, params.tile)
 
-        return chunks.select("lang", "tokens").mapInArrow(run, made)
+        return chunks.select("lang", "tokens").mapInArrow(lean(run), made)
 
     def own_pairs(batches):
         schema = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("pair", pa.int64()), ("local", pa.int32())])
@@ -275,7 +275,7 @@ def _count_three(chunks: DataFrame, pairs: DataFrame, params: PhraseParams) -> D
             out = list(_three_of(mine.column("lang")[0].as_py(), word, local[at], params.tile))
         return pa.Table.from_batches(out, _COUNTS)
 
-    local = chunks.mapInArrow(own_pairs, "chunk long, lang string, pair long, local int")
+    local = chunks.mapInArrow(lean(own_pairs), "chunk long, lang string, pair long, local int")
     return _met(chunks, local.join(pairs.select("lang", "pair", "id"), ["lang", "pair"]), run_joined, made)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Iterator
 
@@ -72,6 +73,41 @@ def to_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     )
 
 
+_held: dict = {}
+
+
+def held(key, make):
+    """What later tasks of an operator find again in a worker process (an encoder, an automaton): one
+    thing at a time, gone as soon as the process works for another operator (``lean``)."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def lean(run, key=None):
+    """``run`` over a task's batches, for processes that serve many operators in a row: what another one
+    held is let go first, and freed memory goes back to the machine at the end, as a worker that sits idle
+    would otherwise keep the most it ever had."""
+
+    def wrapped(batches):
+        if key not in _held:
+            _held.clear()
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        _trim()
+
+    return wrapped
+
+
+def _trim() -> None:
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it keeps what it keeps
+        pass
+
+
 def release(spark: SparkSession) -> None:
     """Let go of shuffle files that no plan refers to any more.
 
