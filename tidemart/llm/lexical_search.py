@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import slices, to_batch
+from tidemart.llm.common import lean, slices, to_batch
 from tidemart.llm.grams import LOWER, runs
 from tidemart.session import Scratch
 
@@ -55,7 +55,7 @@ _INDEX = pa.schema([("shard", pa.int64()), ("term", pa.string()), ("df", pa.int6
 class SearchParams:
     k: int = 50
     block: int = 128
-    shard_bytes: int = 32 << 20
+    shard_bytes: int = 16 << 20
     items: int = 500
 
 
@@ -195,7 +195,7 @@ def build_index(docs: DataFrame, params: SearchParams = SearchParams()) -> DataF
             yield from builder.rows(task << 32 | number)
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "shard long, term string, df long, n_terms long, blocks binary, impacts binary, postings binary")
+        lean(run), "shard long, term string, df long, n_terms long, blocks binary, impacts binary, postings binary")
 
 
 # ---------------------------------------------------------------------- search
