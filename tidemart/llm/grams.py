@@ -6,6 +6,8 @@ every process. All work is numpy over a slice of some hundred documents.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 SPACE = np.zeros(256, bool)
@@ -14,27 +16,11 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
-_RANDOM = np.random.Generator(np.random.PCG64(20240607))
-BYTE_CODE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-LOWER_CODE = BYTE_CODE[LOWER]
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^i and base^-i for i < n, kept up to four million per process."""
-    if len(_powers[0]) < n:
-        made = []
-        for base in (_BASE, _INVERSE):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            made.append(np.cumprod(steps, dtype=np.uint64))
-        if n > 1 << 22:
-            return made[0], made[1]
-        _powers[:] = made
-    return _powers[0][:n], _powers[1][:n]
+#: the first k bytes of eight
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: spans longer than this are hashed one by one
+_LONG = 1024
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -48,14 +34,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of codes[start:end] for each span; equal contents give equal hashes anywhere."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    up, down = powers(len(codes) + 1)
-    sums = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(codes * up[:-1], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes data[start:end] of each span; equal contents give equal hashes anywhere.
+
+    Eight bytes at a time are taken in, each time with a full mix, so that no pattern of bytes makes
+    different contents meet; a sum of powers would let some (Thue-Morse words) do so.
+    """
+    size = (ends - starts).astype(np.int64)
+    out = mix(size.astype(np.uint64) + _STEP)
+    eights = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8, np.uint8)]), 8)
+    on, at = np.flatnonzero(size <= _LONG), 0
+    on = on[size[on] > 0]
+    while len(on):
+        part = np.ascontiguousarray(eights[starts[on] + at]).view("<u8").ravel()
+        part &= _FIRST[np.minimum(size[on] - at, 8)]
+        out[on] = mix((out[on] ^ part) * _STEP)
+        at += 8
+        on = on[size[on] > at]
+    for i in np.flatnonzero(size > _LONG):
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = np.frombuffer(digest, "<u8")[0]
+    return out
 
 
 def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,10 +74,10 @@ def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
-def words(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray = BYTE_CODE):
+def words(data: np.ndarray, offsets: np.ndarray):
     """(start, end, document, hash) of each word."""
     starts, ends, doc = runs(~SPACE[data], offsets)
-    return starts, ends, doc, span_hashes(codes[data], starts, ends)
+    return starts, ends, doc, span_hashes(data, starts, ends)
 
 
 def windows(hashes: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +100,7 @@ def shingle_sets(
     words has none. A-Z are lower-cased.
     """
     n_docs = len(offsets) - 1
-    _, _, doc, hashes = words(data, offsets, LOWER_CODE)
+    _, _, doc, hashes = words(LOWER[data], offsets)
     found, at = windows(hashes, doc, n)
     owner = doc[at]
     counts = np.bincount(doc, minlength=n_docs)

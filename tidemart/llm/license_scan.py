@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemart.llm.common import slices, to_batch
-from tidemart.llm.grams import LOWER_CODE, runs, span_hashes, windows
+from tidemart.llm.grams import LOWER, runs, span_hashes, windows
 from tidemart.llm.license_templates import TEMPLATES
 
 WORD = np.zeros(256, bool)
@@ -46,7 +46,7 @@ class ScanParams:
 def words_of(data: np.ndarray, offsets: np.ndarray):
     """(start, end, document, hash) of each word."""
     starts, ends, doc = runs(WORD[data], offsets)
-    return starts, ends, doc, span_hashes(LOWER_CODE[data], starts, ends)
+    return starts, ends, doc, span_hashes(LOWER[data], starts, ends)
 
 
 def fingerprints(hashes: np.ndarray, doc: np.ndarray, params: ScanParams) -> tuple[np.ndarray, np.ndarray]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from tidemart.llm.grams import BYTE_CODE, SPACE, runs, span_hashes, windows
+from tidemart.llm.grams import SPACE, runs, span_hashes, windows
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -34,7 +34,7 @@ class TextCounts:
         self.data, self.offsets, self.n_docs = data, offsets, len(offsets) - 1
         starts, ends, self.doc = runs(~SPACE[data], offsets)
         self.starts, self.ends = starts, ends
-        self.hashes = span_hashes(BYTE_CODE[data], starts, ends)
+        self.hashes = span_hashes(data, starts, ends)
         self.n_words = self.per_doc(np.ones(len(starts), np.int64))
 
     def per_doc(self, word_values: np.ndarray) -> np.ndarray:
@@ -57,7 +57,7 @@ class TextCounts:
         opens[self.starts] = 1
         worded = sums(opens, starts, ends) > 0
         starts, ends, doc = starts[worded], ends[worded], doc[worded]
-        before, _ = repeats(doc, span_hashes(BYTE_CODE[self.data], starts, ends))
+        before, _ = repeats(doc, span_hashes(self.data, starts, ends))
         return np.bincount(doc, before, self.n_docs).astype(np.int64)
 
     def repeated_words(self, n: int = 8) -> np.ndarray:
