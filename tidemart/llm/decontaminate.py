@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.llm.common import text_bytes, to_batch
+from tidemart.llm.common import held, lean, text_bytes, to_batch
 
 BLOCK_CHARS = 2_000_000
 
@@ -124,15 +124,6 @@ def char_spans(raw: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]
     return [(int(chars[starts[a]]), int(chars[ends[b]])) for a, b in runs]
 
 
-_built: list = [None, None]  # the automaton that this worker process built last
-
-
-def _automaton(sent) -> Automaton:
-    if _built[0] != sent.id:
-        _built[:] = sent.id, Automaton(sent.value[1])
-    return _built[1]
-
-
 class _Sent:
     """A broadcast list of windows, and what tells it from others in a worker process."""
 
@@ -155,7 +146,7 @@ def _scan(docs: DataFrame, sent: _Sent) -> DataFrame:
                         ("spans", spans), ("items", pa.list_(pa.string()))])
 
     def run(batches):
-        automaton = _automaton(sent)
+        automaton = held(sent.id, lambda: Automaton(sent.value[1]))
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             raw = data.tobytes()
@@ -170,7 +161,7 @@ def _scan(docs: DataFrame, sent: _Sent) -> DataFrame:
             yield to_batch(schema, batch.column("doc_id").cast(pa.int64()), batch.column("hash"),
                            counts, own_hits, own_spans, items)
 
-    return docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(run, _FOUND)
+    return docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(lean(run, sent.id), _FOUND)
 
 
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())])))

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import release, slices, to_batch
+from tidemart.llm.common import lean, release, slices, to_batch
 from tidemart.llm.components import components
 from tidemart.llm.grams import mix, shingle_sets
 from tidemart.session import Scratch, remove_path
@@ -114,7 +114,7 @@ def keyed(docs: DataFrame, params: JoinParams) -> DataFrame:
             sizes = np.diff(at)
             yield to_batch(_KEYED, rows.column("doc_id").cast(pa.int64()), sizes, _binary(a, b, sizes == 0))
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, key binary")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, n_shingles long, key binary")
 
 
 def frequent_shingles(docs: DataFrame, params: JoinParams) -> np.ndarray:
@@ -143,7 +143,7 @@ def frequent_shingles(docs: DataFrame, params: JoinParams) -> np.ndarray:
             yield counted()
 
     top = (
-        docs.select("text").mapInArrow(run, "shingle long, n long")
+        docs.select("text").mapInArrow(lean(run), "shingle long, n long")
         .groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
         .orderBy(F.desc("n"), "shingle").limit(FREQUENT_KEPT)
     )
@@ -222,7 +222,7 @@ def signatures(docs: DataFrame, frequent, params: JoinParams) -> DataFrame:
             sig, own, low = signatures_of(some, ends, frequent.value, params.percent)
             yield to_batch(_SIGNED, sig.view(np.int64), (a[fresh][own] & EVEN).view(np.int64) | low)
 
-    return docs.select("text").mapInArrow(run, "sig long, c long")
+    return docs.select("text").mapInArrow(lean(run), "sig long, c long")
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,7 +381,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, params: JoinParams, scratch: Scrat
     word = lambda c: F.shiftrightunsigned(c, 6).bitwiseAND(F.lit(BITMAP_WORDS - 1))
     bit = lambda c: F.expr("shiftleft(1L, cast(c & 63 as int))")
     marks = wanted.groupBy(word(F.col("c")).alias("word")).agg(F.bit_or(bit("c")).alias("bits"))
-    sets = docs.select("text").mapInArrow(run, "key binary, c long, features binary")
+    sets = docs.select("text").mapInArrow(lean(run), "key binary, c long, features binary")
     likely = (
         sets.withColumn("word", word(F.col("c")))
         .join(F.broadcast(marks), "word")
@@ -468,7 +468,7 @@ def jaccard_join(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFram
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, params))
     found = scratch.keep(
         signatures(docs, frequent, params).repartition("sig").sortWithinPartitions("sig", "c")
-        .mapInArrow(_grouped, "big boolean, x long, y long, shared int"),
+        .mapInArrow(lean(_grouped), "big boolean, x long, y long, shared int"),
         "found",
     )
     pairs = (

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import lowered, remainder, text_bytes, to_batch
+from tidemart.llm.common import lean, lowered, remainder, text_bytes, to_batch
 
 UNKNOWN = "und"
 
@@ -121,7 +121,7 @@ def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], params: Lan
                            unknown | (margins < params.narrow))
 
     return docs.select("doc_id", "text", _lettered().alias("lettered")).mapInArrow(
-        run, "doc_id long, lang_pred string, score double, margin double, rejected boolean")
+        lean(run), "doc_id long, lang_pred string, score double, margin double, rejected boolean")
 
 
 def keep_identified(docs: DataFrame, params: LangParams = LangParams()) -> DataFrame:
@@ -147,4 +147,4 @@ def keep_identified(docs: DataFrame, params: LangParams = LangParams()) -> DataF
     flag = "lettered"
     while flag in docs.columns:
         flag = f"_{flag}"
-    return docs.select("*", _lettered().alias(flag)).mapInArrow(run, docs.schema)
+    return docs.select("*", _lettered().alias(flag)).mapInArrow(lean(run), docs.schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import text_bytes, to_batch
+from tidemart.llm.common import held, lean, text_bytes, to_batch
 from tidemart.session import Scratch
 
 #: pieces of one length that are numbered together, at least; their square root if that is more
@@ -93,27 +93,16 @@ class Encoder:
             return b"".join(map(self.known.__getitem__, words))
 
 
-_encoders: dict[tuple[str, int], Encoder] = {}
-
-
-def _encoder(params: PackParams) -> Encoder:
-    """The process's encoder: later tasks find the words of earlier ones."""
-    key = params.tokenizer, params.remembered
-    if key not in _encoders:
-        _encoders[key] = Encoder(*key)
-    return _encoders[key]
-
-
 def pieces(docs: DataFrame, params: PackParams, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32), and ids (little-endian 32-bit) if asked for."""
     fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
               ("ids_crc32", pa.int64())] + ([("ids", pa.binary())] if with_ids else [])
     schema = pa.schema(fields)
     closing = np.array([params.closing_id], "<u4").tobytes()
-    step = 4 * params.capacity
+    step, key = 4 * params.capacity, ("encoder", params.tokenizer, params.remembered)
 
     def run(batches):
-        encoder = _encoder(params)
+        encoder = held(key, lambda: Encoder(params.tokenizer, params.remembered))
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             ids_of_docs = batch.column("doc_id").cast(pa.int64()).to_pylist()
@@ -128,7 +117,7 @@ def pieces(docs: DataFrame, params: PackParams, with_ids: bool = False) -> DataF
                 yield to_batch(schema, *zip(*rows))
 
     made = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
-    return docs.select("doc_id", "text").mapInArrow(run, made)
+    return docs.select("doc_id", "text").mapInArrow(lean(run, key), made)
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -234,4 +223,4 @@ def pack(docs: DataFrame, params: PackParams, with_ids: bool = False) -> DataFra
 
     made = "doc_id long, piece int, start long, length long, ids_crc32 long, " + "".join(f"{c} binary, " for c in extra)
     return numbered(parts, max(counts.values(), default=0)).select(*names, "number").mapInArrow(
-        place, made + "sequence_id long, offset long")
+        lean(place), made + "sequence_id long, offset long")
