@@ -74,12 +74,20 @@ check(
 _LOOKUP = f"""fact_order_items l LEFT JOIN ({VERSIONS}) h ON l.seller_id = h.seller_id
               AND l.order_date >= h.valid_from
               AND (h.valid_to IS NULL OR l.order_date < h.valid_to)"""
-check(
-    "j13_seller_as_of_order",
-    "order_id:i order_item_id:i seller_id:i order_date:d seller_city:s seller_rating:f"
-    " business_type:s",
-    f"""SELECT l.order_id, l.order_item_id, l.seller_id, l.order_date, h.seller_city,
-               h.seller_rating, h.business_type FROM {_LOOKUP}""",
+for _name in ("j13_seller_as_of_order", "j13_seller_as_of_order_merged"):
+    check(
+        _name,
+        "order_id:i order_item_id:i seller_id:i order_date:d seller_city:s seller_rating:f"
+        " business_type:s",
+        f"""SELECT l.order_id, l.order_item_id, l.seller_id, l.order_date, h.seller_city,
+                   h.seller_rating, h.business_type FROM {_LOOKUP}""",
+    )
+check(
+    "j13_last_purchase_before_event",
+    "event_id:i user_id:i ts:t event_type:s purchase_id:i paid:f",
+    """SELECT e.event_id, e.user_id, e.ts, e.event_type, p.event_id AS purchase_id, p.value AS paid
+       FROM events e ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p
+       ON e.user_id = p.user_id AND e.ts >= p.ts""",
 )
 check(
     "j13_seller_as_of_order_open_start", "business_type:s lines:i",

@@ -1,7 +1,9 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidemart.operators.asof import as_of_merge
 from tidemart.operators.scd2 import _done, _open_keys, as_of, first_versions, read_history, scd2, take_snapshot
 from tidemart.plans.flows import seller_history
 from tidemart.session import remove_path, scratch_dir
@@ -138,6 +140,35 @@ def test_point_in_time(rows):
     assert {r.id: r.seller_city for r in early.collect()} == {1: "Goa", 2: "Goa", 3: "Pune", 4: None}
 
 
+@pytest.mark.parametrize("bucket", [60, 86_400, 10**10])
+def test_merge_in_time_equals_the_join(rows, bucket):
+    h = first_versions(rows(S, (1, "A", "Goa", 4.0), (2, "B", None, 1.0), (None, "N", "Nowhere", 0.0)), at(T1))
+    h = scd2(h, rows(S, (1, "A", "Pune", 4.0)), "seller_id", CHECK, at(T2))  # 2 is closed
+    h = scd2(h, rows(S, (1, "A", "Goa", 4.0), (2, "B", "Agra", 1.0)), "seller_id", CHECK, at(T3))
+    times = [T1 - timedelta(1), T1, T1 + timedelta(seconds=1), T2, T2 + timedelta(3), T3, T3 + timedelta(400), None]
+    facts = rows("id int, seller_id int, ts timestamp_ntz, seller_name string",
+                 *[(i * 10 + (k or 0), k, t, "fact") for i, t in enumerate(times) for k in (1, 2, 9, None)])
+    for open_start in (False, True):
+        key = lambda df: sorted(map(repr, df.collect()))
+        merged = as_of_merge(facts, h, "seller_id", "ts", ["seller_city"], open_start=open_start, bucket_seconds=bucket)
+        joined = as_of(facts, h, "seller_id", "ts", ["seller_city"], open_start=open_start)
+        assert merged.columns == joined.columns and key(merged) == key(joined)
+    assert as_of_merge(facts.limit(0), h, "seller_id", "ts", ["seller_city"]).count() == 0
+    assert as_of_merge(facts, h.limit(0), "seller_id", "ts", ["seller_city"]).where("seller_city is not null").count() == 0
+
+
+def test_merge_of_a_key_with_very_many_versions(spark, plan):
+    """100,000 versions and facts of one key: a join on the key would meet five billion pairs."""
+    start = "timestamp_ntz '2024-01-01'"
+    versions = spark.range(100_000).selectExpr(
+        "1 AS k", f"timestampadd(SECOND, cast(id * 100 AS int), {start}) AS valid_from", "id AS version")
+    facts = spark.range(100_000).selectExpr(
+        "1 AS k", "id", f"timestampadd(SECOND, cast(id * 100 + id % 100 AS int), {start}) AS ts")
+    found = as_of_merge(facts, versions, "k", "ts", ["version"], end=None)
+    assert found.where("version <> id or version is null").count() == 0 and found.count() == 100_000
+    assert "CartesianProduct" not in plan(found) and "BroadcastNestedLoop" not in plan(found)
+
+
 def test_history_dimension(warehouse):
     h = first_versions(warehouse.stg_sellers, at(T1))
     dim = seller_history(h)

@@ -1,6 +1,6 @@
 from datetime import datetime, timedelta
 
-from tidemart.session import scratch_dir
+from tidemart.session import hadoop_path, scratch_dir
 from tidemart.streaming import streams as st
 
 SCHEMA = "id int, ts timestamp_ntz, v decimal(18,2)"
@@ -87,3 +87,36 @@ def test_days_do_not_depend_on_the_session_zone(spark):
         assert spark.read.parquet(f"{base}/mart").first().day == DAY.date()
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_late_first_copies_are_kept_once_and_only_their_day_is_read(spark):
+    base = scratch_dir(spark, "s")
+    target = f"{base}/out"
+
+    def take(*rows):
+        arrive(spark, base, *rows)
+        st.dedup_into(spark, lambda: stream(spark, base), ["id"], "ts", target, f"{base}/cp")
+        return sorted((r.id, (r.ts - DAY).days) for r in spark.read.parquet(target).collect())
+
+    first = [(1, 0, 1), (2, 30, 1), (3, 31, 1), (3, 31, 1)]
+    assert take(*first) == [(1, 0), (2, 30), (3, 31)]
+    assert take((4, 1, 1), (4, 1, 1), (1, 0, 1)) == [(1, 0), (2, 30), (3, 31), (4, 1)]  # 30 days late, and a repeat
+    folders = {r.name: r for r in spark.read.format("binaryFile").load(target).selectExpr("path AS name", "modificationTime").collect()}
+    for name in folders:  # days that later late rows do not belong to may even be unreadable
+        if "event_day=2024-01-02" not in name and "event_day=2024-01-03" not in name:
+            fs, file = hadoop_path(spark, name)
+            fs.create(file, True).close()
+    arrive(spark, base, (4, 1, 1), (5, 2, 1), (5, 2, 1))
+    st.dedup_into(spark, lambda: stream(spark, base), ["id"], "ts", target, f"{base}/cp")
+    schema = "id int, ts timestamp_ntz, v decimal(18,2), event_day date"
+    kept = spark.read.schema(schema).parquet(target).where("event_day between '2024-01-02' and '2024-01-03'")
+    assert sorted(r.id for r in kept.collect()) == [4, 5]
+
+
+def test_a_batch_repeated_after_a_break_adds_nothing(spark):
+    base = scratch_dir(spark, "s")
+    target = f"{base}/out"
+    arrive(spark, base, (1, 0, 1), (2, 9, 1), (None, 0, 1))
+    for cp in ("cp", "lost"):  # progress is lost, the table is not
+        st.dedup_into(spark, lambda: stream(spark, base), ["id"], "ts", target, f"{base}/{cp}")
+    assert sorted((r.id or 0) for r in spark.read.parquet(target).collect()) == [0, 1, 2]

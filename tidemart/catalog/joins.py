@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidemart.catalog.history import two_snapshots
 from tidemart.catalog.registry import query
 from tidemart.operators.incremental import since_watermark
+from tidemart.operators.asof import as_of_merge
 from tidemart.operators.scd2 import as_of
 from tidemart.operators.split import with_parent, without_parent
 from tidemart.plans import marts
@@ -138,6 +139,24 @@ def _(w):
     return found.groupBy("business_type").agg(F.count("*").alias("lines"))
 
 
+@query("j13_seller_as_of_order_merged")
+def _(w):
+    """The first of these as a merge in time, in buckets of 30 days."""
+    lines = w.fact_order_items(False).select("order_id", "order_item_id", "seller_id", "order_date")
+    attributes = ["seller_city", "seller_rating", "business_type"]
+    return as_of_merge(lines, two_snapshots(w), "seller_id", "order_date", attributes, bucket_seconds=30 * 86_400)
+
+
+@query("j13_last_purchase_before_event")
+def _(w):
+    """Each event with its user's purchase before or at it: as many versions as purchases."""
+    events = w.table("events")
+    bought = events.where("event_type = 'purchase'").select(
+        "user_id", F.col("ts").alias("valid_from"), F.col("event_id").alias("purchase_id"), F.col("value").alias("paid"))
+    return as_of_merge(
+        events.select("event_id", "user_id", "ts", "event_type"), bought, "user_id", "ts", ["purchase_id", "paid"], end=None)
+
+
 query("j14_raw_lines_with_category")(
     lambda w: w.raw("order_items")
     .join(w.raw("products").select("product_id", "category"), "product_id", "left")

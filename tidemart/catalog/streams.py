@@ -35,6 +35,20 @@ def _(w):
     return w.spark.read.parquet(f"{base}/events").select("event_id", "ts", "event_type", "value")
 
 
+@query("st02_stream_dedup_however_late")
+def _(w):
+    """Nine of ten events arrive first; then the others, twice, up to months late, with copies of the first."""
+    base = scratch_dir(w.spark, "dedup")
+    rows = w.table("events").withColumn("value", F.col("value").cast("decimal(18,2)"))
+    late = rows.where("event_id % 10 = 0")
+    for arrival in (rows.where("event_id % 10 <> 0"), late.unionAll(late), rows.where("event_id % 7 = 0")):
+        arrival.write.mode("append").parquet(f"{base}/in")
+        st.dedup_into(
+            w.spark, lambda: st.file_stream(w.spark, f"{base}/in", rows.schema), ["event_id"], "ts",
+            f"{base}/events", f"{base}/checkpoint")
+    return w.spark.read.parquet(f"{base}/events").select("event_id", "ts", "event_type", "value")
+
+
 @query("st03_daily_rollup_closed_days")
 def _(w):
     base = scratch_dir(w.spark, "rollup")

@@ -6,13 +6,15 @@ each file once.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidemart.operators.incremental import upsert_bucketed
+from tidemart.operators.incremental import read_watermark, upsert_bucketed, write_watermark
+from tidemart.session import path_exists
 
 LATE_BOUND = "3 days"
 EVENT_TIME = "_event_time"
@@ -67,6 +69,72 @@ def dedup_stream(
     return marked.dropDuplicatesWithinWatermark(list(keys)).drop(EVENT_TIME)
 
 
+DAY = "event_day"
+
+
+def dedup_into(
+    spark: SparkSession,
+    stream: Callable[[], DataFrame],
+    keys: Sequence[str],
+    ts: str,
+    target: str,
+    checkpoint: str,
+    late: str = LATE_BOUND,
+) -> None:
+    """Each key once in a table by day, however late its copies arrive.
+
+    Two tiers. Inside the late bound copies are told by the state store, as in ``dedup_stream``; what that
+    query takes for too late is lost to it. So a second query over the same files looks at rows behind the
+    newest time seen less the bound, and adds those that their day's partition does not hold yet: only
+    the partitions of late rows are read, keys alone. Copies of one key are taken to carry one time.
+
+    A batch that is repeated after a break adds nothing: the first one after each start is compared
+    with its days' partitions as late rows are. Rows without a time are kept in a partition of their own.
+    """
+    started: list[int] = []
+
+    def on_time(batch: DataFrame, batch_id: int) -> None:
+        batch = _by_day(batch, ts)
+        _append_days(batch if started else _not_stored(spark, batch, keys, target), target)
+        started.append(batch_id)
+
+    def behind(batch: DataFrame, batch_id: int) -> None:
+        newest = batch.agg(F.max(ts)).first()[0]
+        mark = max((m for m in (newest, read_watermark(spark, f"{checkpoint}/seen", "rows")) if m), default=None)
+        if mark is not None:
+            bound = F.lit(str(mark)).cast("timestamp_ntz") - F.expr(f"interval {late}")
+            first = Window.partitionBy(*keys).orderBy(ts)
+            old = (
+                batch.where((F.col(ts) < bound) | F.col(ts).isNull())
+                .withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy")
+            )
+            _append_days(_not_stored(spark, _by_day(old, ts), keys, target), target)
+            write_watermark(spark, f"{checkpoint}/seen", "rows", mark)
+
+    timed = stream().where(F.col(ts).isNotNull())
+    _finish(dedup_stream(timed, keys, ts, late).writeStream.foreachBatch(on_time), f"{checkpoint}/on_time")
+    _finish(stream().writeStream.foreachBatch(behind), f"{checkpoint}/behind")
+
+
+def _by_day(df: DataFrame, ts: str) -> DataFrame:
+    return df.withColumn(DAY, F.col(ts).cast("date"))
+
+
+def _append_days(df: DataFrame, target: str) -> None:
+    df.hint("rebalance", F.col(DAY)).write.mode("append").partitionBy(DAY).parquet(target)
+
+
+def _not_stored(spark: SparkSession, batch: DataFrame, keys: Sequence[str], target: str) -> DataFrame:
+    """Rows whose key their day's partition does not hold."""
+    if not path_exists(spark, target):
+        return batch
+    days = [r[0] for r in batch.select(DAY).distinct().collect()]  # a row per day
+    stored = spark.read.schema(batch.schema).parquet(target).where(
+        F.col(DAY).isin([d for d in days if d is not None]) | (F.col(DAY).isNull() & F.lit(None in days)))
+    same = [batch[c].eqNullSafe(stored[c]) for c in (*keys, DAY)]
+    return batch.join(stored.select(*keys, DAY), reduce(lambda a, b: a & b, same), "left_anti")
+
+
 def daily_rollup(stream: DataFrame, ts: str, value: str, late: str = LATE_BOUND) -> DataFrame:
     """Count and total per day."""
     return (
