@@ -97,7 +97,9 @@ def raw_order_totals(lines: DataFrame) -> DataFrame:
 def k07_head(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """Headline figures; cancelled orders are left out of GMV and AOV."""
     status = normal_key(F.col("order_status"))
-    valued = dedup_latest(orders, ["order_id"], ["order_purchase_ts"]).join(
+    # only what is used: ties are broken by a hash of all columns there are
+    narrow = orders.select("order_id", "order_purchase_ts", "order_status")
+    valued = dedup_latest(narrow, ["order_id"], ["order_purchase_ts"]).join(
         raw_order_totals(raw_lines(items, products)), "order_id", "left"
     )
     live = ~status.eqNullSafe("cancelled")  # an unknown status is not cancelled
@@ -119,7 +121,8 @@ def k07_head(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFr
 def k07_trend(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """Monthly trend; orders without a readable time belong to no month."""
     month = month_start(parse_ts(F.col("order_purchase_ts"))).alias("month")
-    dated = dedup_latest(orders, ["order_id"], ["order_purchase_ts"]).select("order_id", month)
+    narrow = orders.select("order_id", "order_purchase_ts")
+    dated = dedup_latest(narrow, ["order_id"], ["order_purchase_ts"]).select("order_id", month)
     return (
         dated.filter("month is not null")
         .join(raw_order_totals(raw_lines(items, products)), "order_id", "left")
