@@ -135,6 +135,14 @@ check(
     """SELECT order_date, units, sum(units) OVER w AS units_7d, count(*) OVER w AS days
        FROM daily_sales WINDOW w AS (ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
 )
+check(
+    "w04_moving_over_rows", "ts:t event_id:i value:f previous:f moving_sum:f running_total:f",
+    """SELECT ts, event_id, value, lag(value) OVER w AS previous,
+              sum(value) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS moving_sum,
+              sum(value) OVER (w ROWS UNBOUNDED PRECEDING) AS running_total
+       FROM (SELECT ts, event_id, CAST(value AS DECIMAL(18, 2)) AS value FROM events)
+       WINDOW w AS (ORDER BY ts, event_id)""",
+)
 check(
     "w05_rank_top", "product_id:i units_sold:i unit_rank:i",
     """SELECT product_id, units_sold, rank() OVER (ORDER BY units_sold DESC) AS unit_rank

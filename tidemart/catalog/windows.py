@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidemart.catalog.registry import query
 from tidemart.functions.ratio import percent
 from tidemart.operators.dedup import dedup_latest, top_per_group
+from tidemart.operators.range_windows import over_order
 from tidemart.operators.ranking import moving_average, rank_in_group, top_k, top_k_ranked
 from tidemart.plans.marts import with_calendar
 from tidemart.plans.silver import with_repeat_flag
@@ -47,6 +48,17 @@ def _(w):
     return daily.withColumns({"units_7d": total, "days": days})
 
 
+@query("w04_moving_over_rows")
+def _(w):
+    """Over all events in order of time, however many: the value before, seven-row sums, running total."""
+    events = w.table("events").select("ts", "event_id", F.col("value").cast("decimal(18,2)").alias("value"))
+    return over_order(
+        events, ["ts", "event_id"],
+        {"previous": lambda o: F.lag("value").over(o), "moving_sum": lambda o: F.sum("value").over(o.rowsBetween(-6, 0))},
+        back=6, totals={"running_total": "value"}, rows_per_part=1000,  # so that small tables are cut as well
+    )
+
+
 query("w05_rank_top")(
     lambda w: top_k_ranked(
         w.product_performance.select("product_id", "units_sold"), "units_sold", ["product_id"],
