@@ -1,11 +1,11 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemart.operators import incremental as inc
 from tidemart.session import path_exists, remove_path, scratch_dir
-from tidemart.sinks import landing
+from tidemart.sinks import landing, runlog
 from tidemart.sinks.tables import counted, write_by_month, write_jdbc, write_table
 from tidemart.sources.feeds import load_entity, parse_csv_feed, read_csv_feed
 
@@ -329,3 +329,31 @@ def test_bucketed_keys_that_leave_and_other_keys(spark, rows):
     assert inc.read_layout(spark, path) == (["k"], 2)
     inc.upsert_bucketed(spark, path, rows(schema, ("a", 10)), ["k"], 64)
     assert sorted((r.k or "", r.v) for r in inc.read_bucketed(spark, path).collect()) == [("", 3), ("a", 10)]
+
+
+def test_a_thousand_marks_leave_a_bounded_number_of_files(spark):
+    path = f"{scratch_dir(spark, 's')}/marks"
+    start = datetime(2024, 1, 1)
+    for i in range(1000):
+        inc.write_watermark(spark, path, "orders", start + timedelta(seconds=i * 37 % 1000))
+    assert inc.read_watermark(spark, path, "orders") == start + timedelta(seconds=999)
+    assert len(runlog.entries(spark, f"{path}/orders")) <= runlog.FOLD_AT + 1
+    inc.write_watermark(spark, path, "orders", start, restart=True)
+    assert inc.read_watermark(spark, path, "orders") == start
+
+
+def test_two_landers_of_one_batch_leave_one_entry_and_logs_fold(spark, rows, monkeypatch):
+    base = scratch_dir(spark, "l")
+    df, none = rows("order_id string", ("1",)), spark.createDataFrame([], landing.MANIFEST)
+    seen = landing.manifest
+    monkeypatch.setattr(landing, "manifest", lambda *a: none)  # neither sees the other
+    for _ in range(2):
+        assert landing.land(spark, df, "orders", "2024-01-01", base)[0]
+    monkeypatch.setattr(landing, "manifest", seen)
+    assert landing.manifest(spark, base).count() == len(runlog.entries(spark, f"{base}/_manifest")) == 1
+    monkeypatch.setattr(landing, "FOLD_AT", 3)
+    for day in range(2, 9):
+        landing.land(spark, df, "orders", f"2024-01-0{day}", base)
+    assert landing.manifest(spark, base).count() == 8
+    assert len(runlog.entries(spark, f"{base}/_manifest")) <= 4
+    assert not landing.land(spark, df, "orders", "2024-01-05", base)[0], "an entry in a fold counts"

@@ -13,24 +13,43 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.dates import parse_ts
 from tidemart.session import Scratch, leaf_folders, move_folder, path_exists, remove_path
+from tidemart.sinks.runlog import FOLD_AT, create_if_absent, drop_entries, entries
 
 # ------------------------------------------------------------------ watermark
 
 
+MARK = "%Y-%m-%dT%H-%M-%S.%f"
+
+
+def _marks(spark: SparkSession, folder: str) -> dict[str, datetime]:
+    """File names of a log of marks; a name says its mark, so reading a log is listing it."""
+    return {n: datetime.strptime(n.removeprefix("mark="), MARK) for n in entries(spark, folder) if n.startswith("mark=")}
+
+
 def read_watermark(spark: SparkSession, path: str, name: str):
     """Highest value recorded under ``name``, or None before the first run."""
-    if not path_exists(spark, f"{path}/{name}"):
-        return None
-    return spark.read.schema("mark timestamp_ntz").json(f"{path}/{name}").agg(F.max("mark")).first()[0]
+    return max(_marks(spark, f"{path}/{name}").values(), default=None)
 
 
 def write_watermark(
     spark: SparkSession, path: str, name: str, mark, restart: bool = False
 ) -> None:
-    """Record a mark. The log only grows, so a crash never loses the previous mark;
-    ``restart`` begins a new log after a full reload."""
-    row = spark.createDataFrame([(mark,)], "mark timestamp_ntz").coalesce(1)
-    row.write.mode("overwrite" if restart else "append").json(f"{path}/{name}")
+    """Record a mark. A crash never loses the previous mark, and marks that a later one covers
+    go once there are many; ``restart`` begins a new log after a full reload."""
+    folder = f"{path}/{name}"
+    if mark is not None:
+        if isinstance(mark, str):
+            mark = datetime.fromisoformat(mark)
+        fresh = f"mark={mark.strftime(MARK)}"
+        create_if_absent(spark, f"{folder}/{fresh}")
+    elif not restart:
+        return
+    marks = _marks(spark, folder)
+    if restart:
+        drop_entries(spark, folder, [n for n in marks if mark is None or n != fresh])
+    elif len(marks) > FOLD_AT:
+        last = max(marks, key=marks.get)
+        drop_entries(spark, folder, [n for n in marks if n != last])
 
 
 def since_watermark(df: DataFrame, ts: str, mark, lookback_days: int = 0) -> DataFrame:
