@@ -91,3 +91,34 @@ def test_plan_uses_every_piece_once():
     assert sum(times for _, times in made) <= 1.02 * total / 256 + 1
     assert all((np.diff(rows[:, 0]) > 0).all() for rows in segments(made).values())
     assert len(made) < 4000
+
+
+def test_words_are_split_only_for_tokenizers_that_drop_white_space(tmp_path):
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tidemart.llm.packing import splits_at_spaces
+
+    read = lambda name: json.load(open(public_tokenizers.path(name), encoding="utf-8"))
+    assert splits_at_spaces(read("word_bpe_49k.json"))
+    assert not splits_at_spaces(read("byte_bpe_50k.json"))
+    other = Encoder(public_tokenizers.path("byte_bpe_50k.json"), 50)
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["two  spaces and\na line", "Words word words,", "", " x"]
+    for got, t in zip(other.encode_all([t.encode() for t in texts]), texts):
+        assert np.frombuffer(got, "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
+
+
+def test_many_texts_at_once_and_a_small_memory():
+    encoder = Encoder(word_tokenizer(), 20)
+    texts = [text(i, i) + (" <|endoftext|>" if i % 5 == 0 else ",") for i in range(40)] * 2
+    for got, t in zip(encoder.encode_all([t.encode() for t in texts]), texts):
+        assert np.frombuffer(got, "<u4").tolist() == ids_of(t)[:-1]
+    assert len(encoder.known) <= 20
+
+
+def test_the_very_long_word_is_packed_too(docs):
+    rows = [(906, "x" * 200_000), (1, "a b c")]
+    check(rows, pack(docs(*rows), PackParams(word_tokenizer())).collect(), 2048)

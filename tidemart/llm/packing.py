@@ -15,8 +15,10 @@ pieces; rows that agree in id, piece and content are interchangeable.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
+from array import array
 from dataclasses import dataclass
 from math import isqrt
 
@@ -37,15 +39,34 @@ class PackParams:
     tokenizer: str  # path of a tokenizer file, the same on every machine
     capacity: int = 2048
     closing_id: int = 0
-    #: words whose ids a process remembers, twice that for a while
-    remembered: int = 150_000
+    #: words whose ids a process remembers
+    remembered: int = 400_000
+
+
+#: What makes the ids of a text those of its words in a row. A tokenizer of this make lower-cases,
+#: drops white space, and splits words and marks apart before it merges; others encode whole texts.
+_NORMALIZERS = {"NFC", "Lowercase", "Replace"}
+
+
+def splits_at_spaces(described: dict) -> bool:
+    """Does a tokenizer (its file, read as JSON) never look across white space, and drop it?"""
+    normal = described.get("normalizer") or {}
+    steps = normal.get("normalizers", [normal])
+    split = described.get("pre_tokenizer") or {}
+    first = (split.get("pretokenizers") or [split])[0]
+    return (
+        {s.get("type") for s in steps} <= _NORMALIZERS and any(s.get("type") == "Lowercase" for s in steps)
+        and all(s.get("pattern", {}).get("Regex") == r"\s+" and s.get("content") == " " for s in steps if s.get("type") == "Replace")
+        and first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True
+    )
 
 
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit numbers.
 
-    The tokenizer drops white space and never looks across it, and it lower-cases, so a text's ids
-    are those of its words in a row; the ids of words seen before are remembered.
+    Where the tokenizer drops white space and never looks across it, and lower-cases, a text's ids are those
+    of its words in a row; the ids of words seen before are remembered, up to a bound. That is read off the
+    tokenizer's file; with any other, each text is encoded as a whole.
     """
 
     SPACES = bytes.maketrans(b"\t\n\r", b"   ")
@@ -55,42 +76,65 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            self.by_words = splits_at_spaces(json.load(file))
+        #: words with such a string in them are ids of their own there
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.remembered, self.known, self.before = remembered, {b"": b""}, {}
+        self.remembered, self.known, self.new = remembered, {b"": b""}, 0
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in got]
-
-    def _knows(self, word: bytes) -> bool:
-        """Is the word known; one known before the last change of memory is taken over."""
-        if word not in self.known:
-            if word not in self.before:
-                return False
-            self.known[word] = self.before[word]
-        return True
+        return [array("I", e.ids).tobytes() for e in got]
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words not remembered; as many are as there is room for."""
         # a word that ends in one point or comma: the ids of the rest, then those of the mark
         marked = {w for w in words if len(w) > 1 and w[-1:] in b".," and 97 <= w[-2] <= 122}
-        plain = (words - marked) | {w[:-1] for w in marked} | {w[-1:] for w in marked}
-        plain = [w for w in plain if not self._knows(w)]
-        self.known.update(zip(plain, self._encode(plain)))
+        need = (words - marked) | {w[:-1] for w in marked} | ({w[-1:] for w in marked})
+        plain = [w for w in need if w not in self.known]
+        learnt = dict(zip(plain, self._encode(plain)))
+        found = {**learnt, **{w: self.known[w] for w in need if w in self.known}}
         for w in marked:
-            self.known[w] = self.known[w[:-1]] + self.known[w[-1:]]
+            learnt[w] = found[w[:-1]] + found[w[-1:]]
+        self.new += len(words)
+        if self.new > 16 * self.remembered:  # texts have become others
+            self.known, self.new = {b"": b""}, 0
+        for w, ids in learnt.items():
+            if len(self.known) >= self.remembered:
+                break
+            self.known[w] = ids
+        return {**found, **learnt}
 
     def encode(self, text: bytes) -> bytes:
-        if any(s in text for s in self.special):
-            return self._encode([text])[0]
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text; words that are new to several are learnt once."""
+        if not self.by_words:
+            return self._encode(texts)
+        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
+        out: list = [None] * len(texts)
+        for i, ids in zip(whole, self._encode([texts[i] for i in whole]) if whole else ()):
+            out[i] = ids
         # lower-casing ASCII before the tokenizer does changes nothing but the number of words
-        words = text.lower().translate(self.SPACES).split(b" ")
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            if len(self.known) > self.remembered:
-                self.known, self.before = {b"": b""}, self.known
-            self._learn({w for w in words if not self._knows(w)})
-            return b"".join(map(self.known.__getitem__, words))
+        parts = {i: t.lower().translate(self.SPACES).split(b" ") for i, t in enumerate(texts) if i not in whole}
+        found = {i: list(map(self.known.get, words)) for i, words in parts.items()}
+        missing: dict[int, list[int]] = {}
+        for i, ids in found.items():
+            at, places = -1, []
+            try:
+                while True:
+                    at = ids.index(None, at + 1)
+                    places.append(at)
+            except ValueError:
+                pass
+            missing[i] = places
+        learnt = self._learn({parts[i][k] for i, places in missing.items() for k in places})
+        for i, places in missing.items():
+            for k in places:
+                found[i][k] = learnt[parts[i][k]]
+            out[i] = b"".join(found[i])
+        return out
 
 
 def pieces(docs: DataFrame, params: PackParams, with_ids: bool = False) -> DataFrame:
@@ -107,10 +151,11 @@ def pieces(docs: DataFrame, params: PackParams, with_ids: bool = False) -> DataF
             data, offsets = text_bytes(batch.column("text"))
             ids_of_docs = batch.column("doc_id").cast(pa.int64()).to_pylist()
             raw = data.tobytes()
-            for first in range(0, len(ids_of_docs), 500):
-                rows = []
-                for i in range(first, min(first + 500, len(ids_of_docs))):
-                    ids = encoder.encode(raw[offsets[i] : offsets[i + 1]]) + closing
+            for first in range(0, len(ids_of_docs), 250):
+                rows, last = [], min(first + 250, len(ids_of_docs))
+                encoded = encoder.encode_all([raw[offsets[i] : offsets[i + 1]] for i in range(first, last)])
+                for i, own in zip(range(first, last), encoded):
+                    ids = own + closing
                     for n, at in enumerate(range(0, len(ids), step)):
                         part = ids[at : at + step]
                         rows.append((ids_of_docs[i], n, at // 4, len(part) // 4, zlib.crc32(part), part)[: len(fields)])
