@@ -7,7 +7,7 @@ numbers and to character offsets of the original text. Every word inside an occu
 
 The automaton is built in the tasks from a broadcast list of windows of at most BLOCK_CHARS
 characters. A larger benchmark is cut into that many more blocks by a hash of the window; each block
-is one pass over the documents and a document's findings are merged.
+is one pass over the documents, done before the next block is sent, and a document's findings are merged.
 
 Defined cases: null or empty text has no words, is not contaminated. Null or wordless items have no
 windows; a null item_id is listed as `null`; items that repeat an id count as one. Repeated rows:
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.llm.common import held, lean, text_bytes, to_batch
+from tidemart.session import Scratch
 
 BLOCK_CHARS = 2_000_000
 
@@ -169,18 +170,33 @@ def _merged(hits: pd.Series) -> pd.Series:
     return hits.map(lambda rows: [{"first": a, "last": b} for a, b in merge([(r["first"], r["last"]) for r in rows])])
 
 
+def _blocks(benchmark: DataFrame, params: DecontaminationParams) -> tuple[DataFrame, int]:
+    """The windows, and in how many blocks of BLOCK_CHARS they are looked for."""
+    windows = item_windows(benchmark, params)
+    total = windows.agg(F.sum(F.length("window") + F.length(F.array_join("items", ",")))).first()[0] or 0
+    return windows, max(1, -(-total // BLOCK_CHARS))
+
+
+def _content(windows: DataFrame) -> list[tuple[str, list[str]]]:
+    """A block's windows on the driver, on their way to the tasks: bounded by BLOCK_CHARS."""
+    return [(r["window"], list(r["items"])) for r in windows.collect()]
+
+
 def find(docs: DataFrame, benchmark: DataFrame, params: DecontaminationParams = DecontaminationParams()) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_hash, n_words, hits (word runs), spans (character runs of the
     original text), items (ids, sorted as strings), n_hit, n_items, contaminated."""
     spark = docs.sparkSession
-    windows = item_windows(benchmark, params)
-    total = windows.agg(F.sum(F.length("window") + F.length(F.array_join("items", ",")))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK_CHARS))
+    windows, blocks = _blocks(benchmark, params)
     passes = []
     for k in range(blocks):
         own = windows if blocks == 1 else windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k)
-        content = [(r["window"], list(r["items"])) for r in own.collect()]
-        passes.append(_scan(docs, _Sent(spark, content)))
+        sent = _Sent(spark, _content(own))
+        one = _scan(docs, sent)
+        if blocks > 1:
+            # a block is done before the next one's windows come to the driver, which holds one block at a time
+            one = Scratch(spark, f"decontamination-{k}").keep(one if k == 0 else one.where(F.size("hits") > 0), "found")
+            sent.broadcast.destroy()
+        passes.append(one)
     found = passes[0]
     if blocks > 1:
         # rows with equal id and text find the same: their findings are merged as sets
@@ -216,7 +232,28 @@ def is_contaminated(params: DecontaminationParams) -> Column:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, params: DecontaminationParams = DecontaminationParams()) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with all their columns."""
+    """The rows of ``docs`` that are not contaminated, with all their columns.
+
+    With one block of windows, rows pass through as Arrow batches and no text is shuffled; with more, a row's
+    findings come from several passes, and contaminated rows are taken out by id and text.
+    """
+    spark = docs.sparkSession
+    windows, blocks = _blocks(benchmark, params)
+    if blocks == 1:
+        sent, at = _Sent(spark, _content(windows)), docs.columns.index("text")
+
+        def run(batches):
+            automaton = held(sent.id, lambda: Automaton(sent.value[1]))
+            for batch in batches:
+                data, offsets = text_bytes(batch.column(at))
+                raw, kept = data.tobytes(), []
+                for a, b in pairwise(offsets.tolist()):
+                    words = normal_words(raw[a:b])
+                    n_hit = sum(y - x + 1 for x, y in automaton.occurrences(words)[0])
+                    kept.append(not (n_hit > 0 and n_hit * 100 >= len(words) * params.percent))
+                yield batch.filter(pa.array(kept, pa.bool_()))
+
+        return docs.mapInArrow(lean(run, sent.id), docs.schema)
     found = find(docs, benchmark, params).where("contaminated")
     found = found.select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_text")).distinct()
     same = docs["doc_id"].eqNullSafe(found["bad_id"]) & (F.xxhash64(docs["text"]) == found["bad_text"])
