@@ -47,6 +47,10 @@ IN_WORD[[0x20, 0x09]] = False
 DENSE = 16
 #: words of one frequency that are numbered together, on average
 NUMBERED = 100_000
+#: pairs that are counted at a time: what a task holds beside its chunk
+COUNTED = 1 << 19
+#: shares of a language that are ranked by themselves first
+SHARES = 64
 _CHUNK = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("local", pa.int32()),
                     ("n", pa.int64()), ("tokens", pa.binary())])
 _COUNTS = pa.schema([("lang", pa.string()), ("pair", pa.int64()), ("n", pa.int64())])
@@ -218,7 +222,9 @@ def _count_two(chunks: DataFrame, tile: int) -> DataFrame:
             for lang, tokens in zip(batch.column("lang").to_pylist(), batch.column("tokens")):
                 _, pair = _pairs_of(tokens.as_py())
                 pair = pair[pair >= 0]
-                yield from _rows(lang, *count_pairs(pair >> 32, pair & 0xFFFFFFFF, tile))
+                for at in range(0, len(pair), COUNTED):
+                    part = pair[at : at + COUNTED]
+                    yield from _rows(lang, *count_pairs(part >> 32, part & 0xFFFFFFFF, tile))
 
     return chunks.select("lang", "tokens").mapInArrow(lean(run), "lang string, pair long, n long")
 
@@ -338,7 +344,13 @@ def _best(words: DataFrame, pairs: DataFrame, three: DataFrame, totals: DataFram
                 F.expr("if(early <= late, n_i, n_ij)").alias("l"), F.expr("if(early <= late, n_jk, n_k)").alias("r"),
                 F.least("early", "late").alias("score"))
     )
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    best = named_two.unionByName(named_three).withColumn("rank", rank).where(F.col("rank") <= top)
+    # the best of each share first: the last step sees SHARES * top rows of a language, whatever its size
+    best_first = F.desc("score"), F.desc("a"), F.col("phrase")
+    share = Window.partitionBy("lang", "share").orderBy(*best_first)
+    best = (
+        named_two.unionByName(named_three).withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+        .withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= top)
+        .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best_first))).where(F.col("rank") <= top)
+    )
     return best.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
