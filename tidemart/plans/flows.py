@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemart.contracts import CUSTOMER_SEGMENTS
 from tidemart.operators.checks import (
-    QUARANTINE, SENT_KEYS, breaches, find, flag_rows, results_of, run_rules, standard_suite,
+    QUARANTINE, SENT_KEYS, breaches, confirmed, find, flag_rows, results_of, run_rules, standard_suite,
 )
 from tidemart.operators.incremental import (
     delete_insert,
@@ -59,11 +59,12 @@ def quality_gate(
     if not tables:
         raise ValueError("no feeds to check")
     rules = standard_suite(tables, dict(accepted))
-    # counts per rule, and the keys that lack their parent: kept, so that each feed is counted once
-    findings = find(tables, rules)
+    # counts per rule, and the keys that lack their parent: kept, so that each feed is counted once.
+    # Long keys were compared as hashes; feeds are read again only where hashes repeat
+    findings = find(tables, rules, hashed=True)
     write_table(findings, out, "findings")
     findings = spark.read.schema(findings.schema).parquet(f"{out}/findings")
-    write_table(results_of(findings, tables, rules), out, "results")
+    write_table(results_of(confirmed(findings, tables, rules), tables, rules), out, "results")
     results = read_parquet_entity(spark, out, "results")
     over = breaches(results)
     with_findings = {
