@@ -80,6 +80,11 @@ check(
     """SELECT count(*) AS rows_n, 32 AS length, true AS same, false AS moved, false AS renamed
     FROM orders""",
 )
+check(
+    "f20_content_tree_digest", "rows_n:i length:i same:b moved:b renamed:b twice:b",
+    """SELECT count(*) AS rows_n, 64 AS length, true AS same, false AS moved, false AS renamed, false AS twice
+    FROM orders""",
+)
 check(
     "src06_date_spine", "full_date:d",
     """SELECT unnest(generate_series(

@@ -118,3 +118,19 @@ def test_region_ignores_casing_and_weight_band_of_null_is_heavy(rows):
     assert one(states, star.region_of(F.col("x"))) == ["North", "South", "Other", "Other"]
     grams = rows("x int", (499,), (500,), (4999,), (5000,), (None,))
     assert one(grams, star.weight_band(F.col("x"))) == ["Light", "Medium", "Medium", "Heavy", "Heavy"]
+
+
+def test_tree_digest_is_blind_to_order_only(rows, monkeypatch):
+    df = rows("a string, b int", *[(None if i % 3 else f"v{i}", i % 40) for i in range(200)])
+    digests = set()
+    for leaf in (1, 20, 4096):
+        monkeypatch.setattr(keys, "LEAF_ROWS", leaf)
+        forms = [df, df.repartition(5), df.orderBy("b").select("b", "a"), df.coalesce(1)]
+        same = {keys.tree_digest(f) for f in forms}
+        assert len(same) == 1 and same.copy().pop()[0] == 200
+        others = [df.limit(199), df.unionAll(df.limit(1)), df.withColumnRenamed("a", "c"),
+                  df.selectExpr("cast(b AS string) AS a", "b"), df.selectExpr("coalesce(a, '') AS a", "b")]
+        digests = {keys.tree_digest(f)[1] for f in others}
+        assert len(digests) == 5 and same.pop()[1] not in digests
+    none = df.limit(0)
+    assert keys.tree_digest(none)[0] == 0 and keys.tree_digest(none)[1] != keys.tree_digest(none.withColumnRenamed("a", "c"))[1]

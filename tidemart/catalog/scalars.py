@@ -131,6 +131,23 @@ def _(w):
     return out.drop("digest")
 
 
+@query("f20_content_tree_digest")
+def _(w):
+    """As above by the tree that landing uses, and beside one row less and one row twice."""
+    t = w.table("orders").withColumn("spare", F.lit(None).cast("string"))
+    one = t.where(F.col("o_orderkey") == t.agg(F.min("o_orderkey")).scalar())
+    forms = {
+        "same": t.repartition(7, "o_custkey").select(*reversed(t.columns)),
+        "moved": t.withColumn("spare", F.col("o_orderstatus")).withColumn("o_orderstatus", F.lit(None).cast("string")),
+        "renamed": t.withColumnRenamed("spare", "other"),
+        "twice": t.unionAll(one),
+    }
+    rows, digest = keys.tree_digest(t)
+    return w.spark.range(1).select(
+        F.lit(rows).cast("long").alias("rows_n"), F.lit(len(digest)).alias("length"),
+        *[F.lit(keys.tree_digest(df)[1] == digest).alias(name) for name, df in forms.items()])
+
+
 query("src06_date_spine")(
     lambda w: spine_over(w.table("lineitem").select(F.to_date("l_shipdate").alias("d")), "d")
 )
