@@ -94,14 +94,15 @@ def lean(run, key=None):
         if key not in _held:
             _held.clear()
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        _trim()
+        give_back()
 
     return wrapped
 
 
-def _trim() -> None:
+def give_back() -> None:
+    """Return freed memory to the machine; allocators keep it otherwise."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # another C library: it keeps what it keeps
