@@ -40,7 +40,7 @@ class PackParams:
     capacity: int = 2048
     closing_id: int = 0
     #: words whose ids a process remembers
-    remembered: int = 400_000
+    remembered: int = 700_000
 
 
 #: What makes the ids of a text those of its words in a row. A tokenizer of this make lower-cases,
