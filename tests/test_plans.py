@@ -62,7 +62,10 @@ def test_no_python_in_the_plans(warehouse, plan):
 
 
 def test_distinct_parents_meet_counted_children(warehouse, plan, no_broadcast):
-    """A foreign key most rows share is one row by the time it is joined."""
+    """A foreign key most rows share is one row per task by the time it meets its parent: children and parents
+    are counted before the one shuffle that brings them together, and no rows are joined."""
     text = plan(ask("dq03_referential_integrity", warehouse))
-    join = text.index("SortMergeJoin")
-    assert "HashAggregate" in text[join:]
+    assert "Join" not in text
+    meeting = [i for i, line in enumerate(text.splitlines()) if "Exchange hashpartitioning(r#" in line][-1]
+    below = text.splitlines()[meeting + 1]
+    assert "HashAggregate" in below and "partial_sum(n#" in below and "partial_sum(parents#" in below
