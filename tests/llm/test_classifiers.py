@@ -59,6 +59,24 @@ def test_toxicity_edge_cases(docs, spark):
     assert T.keep_civil(df, empty).count() == 150 + len(EDGES)
 
 
+def test_toxicity_with_more_grams_than_a_task_holds(docs, spark):
+    """Grams beyond the limit are looked up by a join: no score changes, and no row goes."""
+    rows, labels = toxic_sample(300)
+    df, own = docs(*rows, *EDGES).repartition(3), labelled(spark, labels)
+    whole = sorted(T.score(df, T.fit(df, own)).collect(), key=str)
+    for limit in (0, 300):
+        params = T.ToxicityParams(model_grams=limit)
+        model = T.fit(df, own, params)
+        assert len(model.ratios.common.grams) <= limit < model.ratios.grams.count()
+        got = sorted(T.score(df, model).collect(), key=str)
+        assert [(r.doc_id, r.predicted) for r in got] == [(r.doc_id, r.predicted) for r in whole]
+        for name in ("score", "mean_ratio"):
+            assert np.allclose([r[name] for r in got], [r[name] for r in whole], rtol=0, atol=1e-4)
+    kept = T.keep_civil(df, own, params)
+    assert kept.columns == df.columns
+    assert sorted(kept.collect(), key=str) == sorted(T.keep_civil(df, own).collect(), key=str)
+
+
 def test_toxicity_prior_does_not_depend_on_the_number_of_labels(spark):
     """Scores of the curve's rows average to their toxic share, also where one class has very many labels."""
     n = 130_000  # some 98,000 of them ordinary labels outside the held-out fold

@@ -10,6 +10,10 @@ mean over all its words (length-normalised), turned into a probability by a logi
 fitted on labelled rows kept out of the counts. All labelled rows outside the held-out fold take part,
 in the shares the classes have, so that the prior behind a score does not depend on the table's size.
 
+All grams take part. Up to `model_grams` of them are a model that every task holds. Beyond, the model is
+a pair of tables worked out by Spark; tasks hold its commonest grams, and each slice of texts gets the
+others it needs by a join.
+
 Defined cases: null and empty texts score as texts without evidence. Repeated label
 rows: toxic if any says so; null labels and rows without text teach nothing. Without both labels
 the score is the share of toxic rows (0 if there are none). An empty table gives no rows. Only
@@ -18,14 +22,17 @@ doc_id, text and the label columns are read.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemart.llm.common import give_back, lean, remainder, slices, to_batch
+from tidemart.llm.common import give_back, lean, lowered, remainder, slices, text_bytes, to_batch
 from tidemart.llm.grams import SPACE, runs
 from tidemart.session import Scratch
 
@@ -39,7 +46,7 @@ _COUNTS = pa.schema([("toxic", pa.int32()), ("gram", pa.int64()), ("n", pa.int64
 
 @dataclass(frozen=True)
 class ToxicityParams:
-    #: grams of the model; if there are more, those rarest in all counts together are left out
+    #: grams that every task holds; if there are more, the rarest are looked up by a join
     model_grams: int = 1 << 21
     #: share of the labelled rows kept out of the counts to fit the curve
     curve_share: float = 0.25
@@ -132,7 +139,34 @@ class RatioModel:
         return out
 
 
-def evidence(model: RatioModel, data: np.ndarray, offsets: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:
+class KnownRatios:
+    """Ratios of some grams, ascending; the others have to be looked up elsewhere."""
+
+    def __init__(self, grams: np.ndarray, ratio: np.ndarray):
+        self.grams, self.ratio = grams, ratio
+
+    def find(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ratio, is it known) of each gram."""
+        if not len(self.grams):
+            return np.zeros(len(gram), np.float32), np.zeros(len(gram), bool)
+        spot = np.minimum(np.searchsorted(self.grams, gram), len(self.grams) - 1)
+        known = self.grams[spot] == gram
+        return np.where(known, self.ratio[spot], np.float32(0)), known
+
+    def gram_ratios(self, gram: np.ndarray) -> np.ndarray:
+        return self.find(gram)[0]
+
+
+@dataclass
+class SpreadRatios:
+    """The model as tables: ratios of all seen grams and of unseen bytes after all seen contexts."""
+
+    common: KnownRatios  # held by every task
+    grams: DataFrame  # gram, ratio
+    contexts: DataFrame  # context, unseen
+
+
+def evidence(model: RatioModel | KnownRatios, data: np.ndarray, offsets: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:
     """(square root of the mean excess ratio over words, mean ratio over words) of each text."""
     n_docs = len(offsets) - 1
     _, _, doc = runs(~SPACE[data], offsets)
@@ -173,7 +207,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray, rows: np.ndarray) -> tuple[float, fl
 
 @dataclass
 class ToxicityModel:
-    ratios: RatioModel
+    ratios: RatioModel | SpreadRatios
     slope: float
     offset: float
     margin: float
@@ -208,6 +242,106 @@ def _commonest(counts: DataFrame, limit: int) -> DataFrame:
     return counts
 
 
+def _lower(gram: Column) -> Column:
+    """``_split(gram)[1]`` as a column."""
+    out = F.lit(0).cast("long")
+    for k in range(1, ORDER):
+        out = F.when(F.shiftright(gram, 8 * k) > 0, gram.bitwiseAND(F.lit((1 << 8 * k) - 1).cast("long"))).otherwise(out)
+    return out
+
+
+def _spread(counts: DataFrame, params: ToxicityParams, scratch: Scratch) -> SpreadRatios:
+    """``RatioModel`` over any number of grams, by aggregates and joins.
+
+    A context has at most 257 grams and a lower-order gram at most 256 above it, so no key is hot.
+    """
+    gram, off = F.col("gram"), params.discount
+    context = F.shiftright(gram, 8).alias("context")
+    chain = [counts.select("gram")]
+    while chain[-1].agg(F.max("gram")).first()[0] > 0xFF:
+        below = chain[-1].groupBy(_lower(gram).alias("gram")).agg(F.count("*").alias("kinds"))
+        chain.append(scratch.keep(below, f"order-{ORDER - len(chain)}"))
+    shares = None
+    for own in reversed(chain[1:]):
+        after = own.groupBy(context).agg(F.sum("kinds").alias("total"), F.count("*").alias("different"))
+        own = own.select("gram", "kinds", context, _lower(gram).alias("lower")).join(after, "context")
+        own = own.withColumn("share", F.lit(1 / 257)) if shares is None else own.join(shares, "lower")
+        share = F.greatest(F.col("kinds") - off, F.lit(0.0)) / F.col("total") + (
+            off * F.col("different") / F.col("total") * F.col("share"))
+        shares = own.select(gram.alias("lower"), share.alias("share"))
+    totals = [F.sum(k).alias(f"{k}_n") for k in ("ordinary", "toxic")]
+    kinds = [F.count_if(F.col(k) > 0).alias(f"{k}_kinds") for k in ("ordinary", "toxic")]
+    spare = {
+        k: F.when(F.col(f"{k}_n") > 0, off * F.col(f"{k}_kinds") / F.col(f"{k}_n")).otherwise(1.0) for k in ("ordinary", "toxic")}
+    contexts = scratch.keep(
+        counts.groupBy(context).agg(*totals, *kinds)
+        .withColumn("unseen", (F.log(spare["toxic"]) - F.log(spare["ordinary"])).cast("float")), "contexts")
+
+    def log_share(k: str) -> Column:
+        own = F.when(F.col(f"{k}_n") > 0, F.greatest(F.col(k) - off, F.lit(0.0)) / F.col(f"{k}_n")).otherwise(0.0)
+        return F.log(own + spare[k] * F.col("share"))
+
+    grams = scratch.keep(
+        counts.select("gram", "ordinary", "toxic", context, _lower(gram).alias("lower"))
+        .join(contexts, "context").join(shares, "lower")
+        .select("gram", "ordinary", "toxic", (log_share("toxic") - log_share("ordinary")).cast("float").alias("ratio")),
+        "ratios")
+    some = _commonest(grams, params.model_grams).select("gram", "ratio").toArrow().sort_by("gram")
+    common = KnownRatios(some.column("gram").to_numpy().astype(np.int64), some.column("ratio").to_numpy().astype(np.float32))
+    return SpreadRatios(common, grams.select("gram", "ratio"), contexts.select("context", "unseen"))
+
+
+def _by_slices(
+    rows: DataFrame, ratios: SpreadRatios, margin: float, schema: str, scratch: Scratch,
+    give: Callable[[pa.Table, np.ndarray, np.ndarray], pa.Table],
+) -> DataFrame:
+    """``give``(rows, evidence, mean ratio) for slices of ``rows``, each with the ratios of its own grams.
+
+    Slices are numbered and kept, as texts and their grams have to meet again.
+    """
+    spark = rows.sparkSession
+    sent = spark.sparkContext.broadcast(ratios.common)
+
+    def number(batches):
+        for part, _, _ in slices(batches):
+            own = np.full(part.num_rows, uuid.uuid4().int >> 65)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(own)], [*part.schema.names, "slice"])
+
+    def rare(batches):
+        made = pa.schema([("slice", pa.int64()), ("gram", pa.int64())])
+        for batch in batches:
+            own = batch.column("slice").to_numpy()
+            for k in np.unique(own):
+                for _, data, offsets in slices([batch.filter(pa.array(own == k))], lower=True):
+                    gram = np.unique(byte_grams(data, offsets)[0])
+                    gram = gram[~sent.value.find(gram)[1]]
+                    yield to_batch(made, np.full(len(gram), k), gram)
+
+    def judge(left: pa.Table, right: pa.Table) -> pa.Table:
+        grams, first = np.unique(right.column("gram").to_numpy(), return_index=True)
+        own = KnownRatios(grams, right.column("value").to_numpy()[first])
+
+        class Both:
+            @staticmethod
+            def gram_ratios(gram):
+                value, known = sent.value.find(gram)
+                return np.where(known, value, own.gram_ratios(gram))
+
+        left = left.drop_columns(["slice"])
+        data, offsets = text_bytes(lowered(left.column("text")))
+        return give(left, *evidence(Both, data, offsets, margin))
+
+    kept = scratch.keep(
+        rows.mapInArrow(lean(number), T.StructType([*rows.schema.fields, T.StructField("slice", T.LongType())])), "slices")
+    wanted = kept.select("slice", "text").mapInArrow(lean(rare), "slice long, gram long")
+    values = (
+        wanted.join(ratios.grams, "gram", "left")
+        .join(ratios.contexts, F.shiftright("gram", 8) == F.col("context"), "left")
+        .select("slice", "gram", F.coalesce("ratio", "unseen", F.lit(0).cast("float")).alias("value"))
+    )
+    return kept.groupBy("slice").cogroup(values.groupBy("slice")).applyInArrow(judge, schema)
+
+
 def _count(batches, size=1 << 20):
     """Gram counts of each class, summed within a task before they are shuffled."""
     held = {0: (np.zeros(0, np.int64), np.zeros(0, np.int64)), 1: (np.zeros(0, np.int64), np.zeros(0, np.int64))}
@@ -233,33 +367,47 @@ def _count(batches, size=1 << 20):
 
 def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams()) -> ToxicityModel:
     """Counts are gathered by Spark over all labelled rows; the driver gets one row per distinct gram (at
-    most params.model_grams) and, for the curve, the number of rows at each step of evidence."""
+    most params.model_grams, the commonest) and, for the curve, the number of rows at each step of evidence."""
+    spark = docs.sparkSession
     counted, kept = _taught(docs, labels, params)
-    with Scratch(docs.sparkSession, "toxicity") as scratch:
+    with Scratch(spark, "toxicity") as scratch:
         every = scratch.keep(
             counted.mapInArrow(lean(_count), "toxic int, gram long, n long")
             .groupBy("gram").agg(
                 F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("ordinary"),
                 F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"),
             ), "grams")
-        # as Arrow: rows as Python objects would take many times as much of the driver's memory
-        counts = _commonest(every, params.model_grams).select("gram", "ordinary", "toxic").toArrow().sort_by("gram")
-    both = np.stack([counts.column(c).to_numpy().astype(float) for c in ("ordinary", "toxic")], axis=1)
-    model = RatioModel(counts.column("gram").to_numpy().astype(np.int64), both, params.discount)
-    del counts, both
-    give_back()
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        schema = pa.schema([("toxic", pa.int32()), ("step", pa.int64())])
-        for rows, data, offsets in slices(batches, lower=True):
-            x = evidence(sent.value, data, offsets, params.margin)[0]
-            yield to_batch(schema, rows.column("toxic"), np.rint(x * STEPS).astype(np.int64))
-
-    seen = (
-        kept.mapInArrow(lean(run), "toxic int, step long").groupBy("step", "toxic").agg(F.count("*").alias("n"))
-        .toArrow().sort_by([("step", "ascending"), ("toxic", "ascending")])
-    )
+        if every.count() <= params.model_grams:
+            # as Arrow: rows as Python objects would take many times as much of the driver's memory
+            counts = every.select("gram", "ordinary", "toxic").toArrow().sort_by("gram")
+            both = np.stack([counts.column(c).to_numpy().astype(float) for c in ("ordinary", "toxic")], axis=1)
+            model = RatioModel(counts.column("gram").to_numpy().astype(np.int64), both, params.discount)
+            del counts, both
+        else:
+            model = _spread(every, params, Scratch(spark, "toxicity-model"))
+        give_back()
+
+        def points_of(toxic, x):
+            schema = pa.schema([("toxic", pa.int32()), ("step", pa.int64())])
+            return to_batch(schema, toxic, np.rint(x * STEPS).astype(np.int64))
+
+        if isinstance(model, SpreadRatios):
+            points = _by_slices(
+                kept, model, params.margin, "toxic int, step long", scratch,
+                lambda rows, x, _: pa.Table.from_batches([points_of(rows.column("toxic").combine_chunks(), x)]))
+        else:
+            sent = spark.sparkContext.broadcast(model)
+
+            def run(batches):
+                for rows, data, offsets in slices(batches, lower=True):
+                    x = evidence(sent.value, data, offsets, params.margin)[0]
+                    yield points_of(rows.column("toxic"), x)
+
+            points = kept.mapInArrow(lean(run), "toxic int, step long")
+        seen = (
+            points.groupBy("step", "toxic").agg(F.count("*").alias("n"))
+            .toArrow().sort_by([("step", "ascending"), ("toxic", "ascending")])
+        )
     steps, toxic, n = (seen.column(c).to_numpy().astype(float) for c in ("step", "toxic", "n"))
     slope, offset = fit_curve(steps / STEPS, toxic, n)
     return ToxicityModel(model, slope, offset, params.margin)
@@ -267,18 +415,28 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """(doc_id, score, predicted, mean_ratio) for every row of ``docs``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    spark, slope, offset, margin = docs.sparkSession, model.slope, model.offset, model.margin
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("predicted", pa.int32()), ("mean_ratio", pa.float64())])
+    ddl = "doc_id long, score double, predicted int, mean_ratio double"
+    docs = docs.select("doc_id", "text")
+
+    def scored(ids, x, mean):
+        p = 1 / (1 + np.exp(-np.clip(slope * x + offset, -30, 30)))
+        return ids.cast(pa.int64()), p, (p >= 0.5).astype(np.int32), mean
+
+    if isinstance(model.ratios, SpreadRatios):
+        with Scratch(spark, "toxicity-slices") as scratch:
+            found = _by_slices(
+                docs, model.ratios, margin, ddl, scratch, lambda rows, x, mean: pa.Table.from_batches(
+                    [to_batch(schema, *scored(rows.column("doc_id").combine_chunks(), x, mean))]))
+            return Scratch(spark, "toxicity-found").keep(found, "found")
+    sent = spark.sparkContext.broadcast(model.ratios)
 
     def run(batches):
-        m = sent.value
         for rows, data, offsets in slices(batches, lower=True):
-            x, mean = evidence(m.ratios, data, offsets, m.margin)
-            p = 1 / (1 + np.exp(-np.clip(m.slope * x + m.offset, -30, 30)))
-            yield to_batch(schema, rows.column("doc_id").cast(pa.int64()), p, (p >= 0.5).astype(np.int32), mean)
+            yield to_batch(schema, *scored(rows.column("doc_id"), *evidence(sent.value, data, offsets, margin)))
 
-    return docs.select("doc_id", "text").mapInArrow(
-        lean(run), "doc_id long, score double, predicted int, mean_ratio double")
+    return docs.mapInArrow(lean(run), ddl)
 
 
 def keep_civil(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams()) -> DataFrame:
@@ -286,15 +444,21 @@ def keep_civil(docs: DataFrame, labels: DataFrame, params: ToxicityParams = Toxi
 
     Rows pass through as Arrow batches: a task holds one batch and one slice of work.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, params))
+    spark, model = docs.sparkSession, fit(docs, labels, params)
+    slope, offset, margin = model.slope, model.offset, model.margin
+    if isinstance(model.ratios, SpreadRatios):
+        with Scratch(spark, "toxicity-slices") as scratch:
+            found = _by_slices(
+                docs, model.ratios, margin, docs.schema, scratch, lambda rows, x, _: rows.filter(pa.array(slope * x + offset < 0)))
+            return Scratch(spark, "toxicity-found").keep(found, "found")
+    sent = spark.sparkContext.broadcast(model.ratios)
     at = docs.columns.index("text")
 
     def run(batches):
-        m = sent.value
         for batch in batches:
             texts = pa.RecordBatch.from_arrays([batch.column(at)], ["text"])
             for_all = [
-                m.slope * evidence(m.ratios, data, offsets, m.margin)[0] + m.offset < 0
+                slope * evidence(sent.value, data, offsets, margin)[0] + offset < 0
                 for _, data, offsets in slices([texts], lower=True)
             ]
             if for_all:
