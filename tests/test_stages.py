@@ -4,11 +4,13 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from tidemart.catalog.io import write_csv
 from tidemart.contracts import FEEDS
 from tidemart.plans import flows
 from tidemart.plans.warehouse import Marts
 from tidemart.session import scratch_dir
 from tidemart.sinks import landing
+from tidemart.sinks.tables import write_table
 
 TEXT = {
     "customers": [("c1", "Asha", None, None, "bombay", "maharashtra", "4", "2023-01-05", "New"),
@@ -126,3 +128,16 @@ def test_late_unreadable_and_misdated_orders_are_kept_and_sides_swap(spark):
         one, two = (spark.read.parquet(f"{base}/{x}/{name}") for x in ("one", "two"))
         columns = sorted(one.columns)
         assert sorted(map(repr, one.select(columns).collect())) == sorted(map(repr, two.select(columns).collect())), name
+
+
+def test_written_files_are_compressed(rows, spark, tmp_path):
+    """CSV feeds and tables are written small and read back as they were."""
+    df = rows("a string, b int", *[(f"value {i % 5}", i) for i in range(500)])
+    write_csv(df, f"{tmp_path}/feed.csv")
+    write_table(df, str(tmp_path), "table")
+    csv, table = list(tmp_path.glob("feed.csv/part-*")), list(tmp_path.glob("table/part-*"))
+    assert csv and all(f.name.endswith(".csv.gz") for f in csv)
+    assert table and all(".zst" in f.name for f in table)
+    back = spark.read.option("header", True).schema(df.schema).csv(f"{tmp_path}/feed.csv")
+    for again in (back, spark.read.parquet(f"{tmp_path}/table")):
+        assert sorted(again.collect()) == sorted(df.collect())
