@@ -1,3 +1,5 @@
+import hashlib
+from collections import Counter
 from datetime import date, datetime
 from decimal import Decimal as D
 from fractions import Fraction
@@ -134,3 +136,21 @@ def test_tree_digest_is_blind_to_order_only(rows, monkeypatch):
         assert len(digests) == 5 and same.pop()[1] not in digests
     none = df.limit(0)
     assert keys.tree_digest(none)[0] == 0 and keys.tree_digest(none)[1] != keys.tree_digest(none.withColumnRenamed("a", "c"))[1]
+
+
+def test_tree_digest_shuffles_bytes_and_keeps_its_value(rows, monkeypatch):
+    """Row digests travel as 32 bytes; the digest is the one that their hexadecimal text gives."""
+    data = [(f"v{i}", i % 7) for i in range(60)] + [("v0", 0)] * 3
+    df = rows("a string, b int", *data)
+    row_digests = keys.row_digests(df)
+    assert dict(row_digests.dtypes) == {"d": "binary", "n": "bigint"}
+    assert {len(r.d) for r in row_digests.collect()} == {32} and row_digests.count() == 60
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    copies = Counter(sha('{"a":"%s","b":%d}' % r) for r in data)
+    monkeypatch.setattr(keys, "LEAF_ROWS", 20)  # one level of ranges below the root
+    leaves = {}
+    for d, n in sorted(copies.items()):
+        leaves.setdefault(d[0], []).append(f"{d}:{n}")
+    nodes = sorted(f"{p}:{sha(','.join(e))}" for p, e in leaves.items())
+    root = ":" + sha(",".join(nodes))
+    assert keys.tree_digest(df) == (63, sha("\x1f".join(["a", "b", "63", root])))
