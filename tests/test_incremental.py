@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemart.operators import incremental as inc
-from tidemart.session import path_exists, remove_path, scratch_dir
+from tidemart.session import Scratch, path_exists, remove_path, scratch_dir
 from tidemart.sinks import landing, runlog
 from tidemart.sinks.tables import counted, write_by_month, write_jdbc, write_table
 from tidemart.sources.feeds import load_entity, parse_csv_feed, read_csv_feed
@@ -357,3 +357,27 @@ def test_two_landers_of_one_batch_leave_one_entry_and_logs_fold(spark, rows, mon
     assert landing.manifest(spark, base).count() == 8
     assert len(runlog.entries(spark, f"{base}/_manifest")) <= 4
     assert not landing.land(spark, df, "orders", "2024-01-05", base)[0], "an entry in a fold counts"
+
+
+def test_rows_that_stay_beside_a_large_batch(spark, rows, plan, monkeypatch):
+    """Found on the keys alone: whole rows are not shuffled for it, and a null key stays."""
+    monkeypatch.setattr(inc, "SENT_BATCH", 0)
+    old = rows("k int, v string", (1, "a"), (2, "b"), (2, "c"), (3, "d"), (None, "e"))
+    with Scratch(spark, "staying") as scratch:
+        leaving = rows("k int", (1,), (3,), (4,), (5,), (None,)).distinct()
+        left = inc._staying(scratch, old, leaving, ["k"])
+        assert "Exchange hashpartitioning" not in plan(left)
+        assert sorted(r.v for r in left.collect()) == ["b", "c", "e"]
+
+
+def test_upsert_of_a_large_batch_equals_one_of_a_small(spark, rows, monkeypatch):
+    table = rows("k int, v string, m int", (1, "a", 1), (2, "b", 1), (3, "c", 2), (None, "d", 2), (4, "e", 3))
+    batch = rows("k int, v string, m int", (1, "A", 2), (3, "C", 2), (9, "I", 4))
+    found = []
+    for limit in (1 << 17, 0):
+        monkeypatch.setattr(inc, "SENT_BATCH", limit)
+        path = f"{scratch_dir(spark, 'large')}/t"
+        for df in (table, batch):
+            inc.upsert(spark, path, df, ["k"], ["m"])
+        found.append(sorted(map(repr, spark.read.parquet(path).collect())))
+    assert found[0] == found[1] and len(found[0]) == 6

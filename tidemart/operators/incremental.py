@@ -195,7 +195,7 @@ def upsert(
     completes it before anything else; a break before the plan leaves the table as it was.
     """
     finish_upsert(spark, path)
-    with Scratch(spark, "upsert") as scratch:
+    with Scratch(spark, "upsert", PACKED) as scratch:
         emptied = _stage(
             spark, scratch, path, batch, list(keys), list(partition_by), keys_move, new_columns, gone
         )
@@ -243,26 +243,47 @@ def _stage(
         leaving = leaving.unionByName(scratch.keep(gone.select(*keys), "gone"))
     leaving = leaving.distinct()
     if not partition_by:
-        _write_stage(_replaced(target, leaving, batch, keys), stage, ())
+        _write_stage(_replaced(_staying(scratch, target, leaving, keys), batch), stage, ())
         return []
 
     # only folder names reach the driver: at most one row per partition of the table
-    homes = batch.select(*partition_by)
-    if keys_move or gone is not None:
-        older = target.select(*keys, *partition_by).join(leaving, keys, "left_semi")
-        homes = homes.union(older.select(*partition_by))
-    touched = homes.distinct().collect()
+    touched = batch.select(*partition_by).distinct().collect()
+    if keys_move or gone is not None:  # partitions of the batch are rewritten whatever else they hold
+        others = target.select(*keys, *partition_by).filter(~_in_partitions(partition_by, touched))
+        touched += others.join(leaving, keys, "left_semi").select(*partition_by).distinct().collect()
     if not touched:
         return None
     old = target.filter(_in_partitions(partition_by, touched))
-    _write_stage(_replaced(old, leaving, batch, keys), stage, partition_by)
+    _write_stage(_replaced(_staying(scratch, old, leaving, keys), batch), stage, partition_by)
     filled = set(leaf_folders(spark, stage, len(partition_by)))
     folders = ["/".join(f"{c}={_folder_value(row[c])}" for c in partition_by) for row in touched]
     return [f for f in folders if f not in filled]
 
 
-def _replaced(target: DataFrame, leaving: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    return target.join(leaving, keys, "left_anti").unionByName(batch, allowMissingColumns=True)
+#: keys of a batch that is small enough to be sent to all tasks
+SENT_BATCH = 1 << 17
+
+
+def _staying(scratch: Scratch, old: DataFrame, leaving: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``old`` whose keys do not leave.
+
+    Beside a large batch they are found on the keys alone. A batch that names nearly all of them
+    leaves few, whose keys go to the tasks, and no whole row is shuffled for it.
+    """
+    leaving = scratch.keep(leaving, "leaving")
+    going = leaving.count()
+    if going > SENT_BATCH:
+        named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+        left = scratch.keep(old.select(*keys).join(leaving, keys, "left_anti").select(*named).distinct(), "staying")
+        if left.count() < going:
+            # a key with a null is equal to no other: the join on keys leaves its rows in place
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+            return old.join(left, same, "left_semi")
+    return old.join(leaving, keys, "left_anti")
+
+
+def _replaced(staying: DataFrame, batch: DataFrame) -> DataFrame:
+    return staying.unionByName(batch, allowMissingColumns=True)
 
 
 # ------------------------------------------------------------- bucketed upsert
@@ -327,7 +348,7 @@ def upsert_bucketed(
     if gone is not None:
         gone = with_bucket(gone.select(*keys), keys, known[1])
     finish_upsert(spark, path)
-    with Scratch(spark, "upsert") as scratch:
+    with Scratch(spark, "upsert", PACKED) as scratch:
         marked = scratch.keep(marked, "marked")
         homes = marked.select(BUCKET)
         if gone is not None:
@@ -347,7 +368,7 @@ def upsert_bucketed(
                 leaving = leaving.unionByName(gone)
             # the bucket is part of the join, and a literal filter for the scan
             old = stored.where(F.col(BUCKET).isin(touched))
-            content = _replaced(old, leaving.distinct(), marked, [BUCKET, *keys])
+            content = _replaced(old.join(leaving.distinct(), [BUCKET, *keys], "left_anti"), marked)
         _write_stage(content, stage, [BUCKET])
         filled = set(leaf_folders(spark, stage, 1))
         emptied = [f for f in (f"{BUCKET}={b}" for b in touched) if f not in filled]
