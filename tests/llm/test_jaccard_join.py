@@ -8,6 +8,7 @@ import pytest
 from tests.llm.samples import EDGES, edited, text
 from tidemart.llm import jaccard_join as J
 from tidemart.llm.grams import shingle_sets
+from tidemart.session import path_exists
 
 
 def shingles(t):
@@ -161,3 +162,17 @@ def test_block_links_connect_what_links():
     expected = brute(list(enumerate(texts)))
     groups = {d: x for d, _, x in expected}
     assert all((label[i] == label[j]) == (groups[i] == groups[j]) for i in range(30) for j in range(30))
+
+
+def test_pairs_of_signatures_are_gone_before_sets_come(spark, docs, monkeypatch):
+    """The table of all signature pairs and that of the sets are never on disk together."""
+    seen, sets = [], J._sets
+
+    def spied(documents, wanted, params, scratch):
+        seen.extend(path_exists(spark, f"{scratch.base}/{name}") for name in ("found", "pairs", "groups"))
+        return sets(documents, wanted, params, scratch)
+
+    monkeypatch.setattr(J, "_sets", spied)
+    rows = [(k, edited(text(5, 80), k, 1)) for k in range(20)]
+    assert joined(J.jaccard_join(docs(*rows))) == brute(rows)
+    assert seen == [False, True, True]

@@ -483,7 +483,9 @@ def jaccard_join(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFram
         pairs = pairs.join(sizes.select(F.col("c").alias(side), F.col("lo").alias(f"lo_{side}"), F.col("hi").alias(f"hi_{side}")), side)
     able = (F.col("hi_x") * 100 >= F.col("lo_y") * params.percent) & (F.col("hi_y") * 100 >= F.col("lo_x") * params.percent)
     pairs = scratch.keep(pairs.where(able).select("x", "y"), "pairs")
-    groups = found.where("big").select(F.col("x").alias("sig"), F.col("y").alias("c"))
+    groups = scratch.keep(found.where("big").select(F.col("x").alias("sig"), F.col("y").alias("c")), "groups")
+    # what is left of it by now is these two; it goes before the sets, the largest table, come
+    remove_path(spark, f"{scratch.base}/found")
     wanted = pairs.select(F.col("x").alias("c")).unionAll(pairs.select(F.col("y").alias("c")))
     wanted = wanted.unionAll(groups.select("c")).distinct()
     sets = _sets(docs, wanted, params, scratch)
@@ -524,7 +526,7 @@ def jaccard_join(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFram
     )
     smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     named = scratch.keep(classes.join(smallest, "component").select("key", "component_id", "n_links"), "named")
-    for spent in ("found", "pairs", "sets", "links", "compared", "large", "homes", "met"):
+    for spent in ("groups", "pairs", "sets", "links", "compared", "large", "homes", "met"):
         remove_path(spark, f"{scratch.base}/{spent}")
     frequent.unpersist()
     with_set, without = rows.where(F.col("key").isNotNull()), rows.where(F.col("key").isNull())
