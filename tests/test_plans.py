@@ -69,3 +69,32 @@ def test_distinct_parents_meet_counted_children(warehouse, plan, no_broadcast):
     meeting = [i for i, line in enumerate(text.splitlines()) if "Exchange hashpartitioning(r#" in line][-1]
     below = text.splitlines()[meeting + 1]
     assert "HashAggregate" in below and "partial_sum(n#" in below and "partial_sum(parents#" in below
+
+
+def exchanges(text):
+    return [l for l in text.splitlines() if "Exchange hashpartitioning(" in l]
+
+
+def test_orders_meet_their_customers_while_narrow(warehouse, plan, no_broadcast):
+    """The shuffle by customer is below those by order: measures are never shuffled again."""
+    text = plan(ask("a10_fact_orders", warehouse))
+    assert "hashpartitioning(order_id#" in exchanges(text)[0]
+    assert not [l for l in exchanges(text) if "order_item_id" in l or "payment_sequential" in l]
+
+
+def test_one_shuffle_by_order_serves_copies_sums_and_joins(warehouse, plan, no_broadcast):
+    for df in (warehouse.fact_order_items(False), warehouse.fact_payments, ask("dq16_model_unique", warehouse)):
+        assert not [l for l in exchanges(plan(df)) if "order_item_id" in l or "payment_sequential" in l]
+    # one distinct count per product in place, then products
+    assert not [l for l in exchanges(plan(ask("a17_product_performance", warehouse))) if "order_id#" in l and "product_id#" in l]
+    # lines meet products last: the topmost shuffle is by product
+    assert "hashpartitioning(product_id#" in exchanges(plan(warehouse.fact_order_items()))[0]
+
+
+def test_lines_of_other_orders_are_left_out_before_the_shuffle(spark, warehouse, plan, no_broadcast):
+    recent = warehouse.table("orders").selectExpr("o_orderkey AS order_id").limit(20)
+    kept = spark.createDataFrame(recent.collect(), recent.schema)
+    text = plan(warehouse.lines_of(kept))
+    assert text.index("REPARTITION_BY_COL") < text.index("BroadcastHashJoin") and "LeftSemi" in text
+    want = warehouse.order_items(False).join(kept, "order_id", "left_semi")
+    assert sorted(map(str, warehouse.lines_of(kept).collect())) == sorted(map(str, want.collect()))
