@@ -25,9 +25,9 @@ def _(w):
     """Load up to a day, then refresh with everything: the look-back picks up what is new."""
     base = scratch_dir(w.spark, "a11")
     before = w.stg_orders().filter("order_date < '2001-01-01'")
-    first = star.fact_order_items(w.stg_order_items(), before)
+    first = w.fact_order_items(orders=before)
     path = write_by_month(flows.by_month(first), base, "fact_order_items")
-    flows.refresh_order_items(w.spark, path, w.order_items(), w.orders())
+    flows.refresh_order_items(w.spark, path, w.lines_of, w.orders(), products=w.stg_products)
     return w.spark.read.parquet(path)
 
 

@@ -361,23 +361,32 @@ def by_month(df: DataFrame, key: str = "order_date_key") -> DataFrame:
 def refresh_order_items(
     spark: SparkSession,
     path: str,
-    items: DataFrame,
+    items: DataFrame | Callable[[DataFrame], DataFrame],
     orders: DataFrame,
     days: int = 3,
     as_of: date | None = None,
+    products: DataFrame | None = None,
 ) -> None:
     """Incremental line fact: lines of recent orders replace their older copies.
 
     ``items`` and ``orders`` are the clean entities; where they are partitioned by the month
-    of the order, only the recent months of both are read.
+    of the order, only the recent months of both are read. Lines that have to be cleaned first
+    come from a function of the recent orders, and meet ``products`` afterwards, so that older
+    ones are neither cleaned nor shuffled.
     """
     finish_upsert(spark, path)
     start = lookback_start(spark.read.parquet(path), "order_date", days, as_of)
-    if set(MONTH) <= set(items.columns):
-        items = items.filter(months_since(start))
     recent = orders.filter(months_since(start)).filter(F.col("order_date") >= F.lit(start))
-    batch = star.fact_order_items(staging.stg_order_items(items), staging.stg_orders(recent))
-    upsert(spark, path, by_month(batch), ("order_id", "order_item_id"), MONTH, new_columns=False)
+    with Scratch(spark, "refresh", PACKED) as scratch:
+        if callable(items):
+            recent = scratch.keep(recent, "recent")
+            items = items(recent)
+        elif set(MONTH) <= set(items.columns):
+            items = items.filter(months_since(start))
+        batch = star.fact_order_items(staging.stg_order_items(items), staging.stg_orders(recent))
+        if products is not None:
+            batch = star.with_attributes(batch, products)
+        upsert(spark, path, by_month(batch), ("order_id", "order_item_id"), MONTH, new_columns=False)
 
 
 def refresh_daily_sales(
