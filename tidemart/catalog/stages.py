@@ -178,11 +178,7 @@ def _(w):
 @query("s08_window_load")
 def _(w):
     base = scratch_dir(w.spark, "window")
-    for name, df in silver_entities(w).items():
-        if name in flows.WINDOW_LOAD:
-            write_by_month(df, f"{base}/silver", name)
-        else:
-            write_table(df, f"{base}/silver", name)
+    write_silver(w, f"{base}/silver")
     flows.load_staging(w.spark, f"{base}/silver", f"{base}/staging")
     flows.load_staging(w.spark, f"{base}/silver", f"{base}/staging", since=date(2001, 1, 1))
     return row_counts(w.spark, f"{base}/staging", (*flows.FULL_LOAD, *flows.WINDOW_LOAD))
@@ -192,15 +188,10 @@ def _(w):
 def _(w):
     """Clean orders change everywhere; a window load brings only the window's changes."""
     base = scratch_dir(w.spark, "window")
-    entities = silver_entities(w)
-    for name, df in entities.items():
-        if name in flows.WINDOW_LOAD:
-            write_by_month(df, f"{base}/silver", name)
-        else:
-            write_table(df, f"{base}/silver", name)
+    write_silver(w, f"{base}/silver")
     flows.load_staging(w.spark, f"{base}/silver", f"{base}/staging")
-    changed = entities["orders"].withColumn("payment_type", F.lit("changed"))
-    write_by_month(changed, f"{base}/silver", "orders")
+    loaded = w.spark.read.parquet(f"{base}/staging/orders")  # the clean orders, by month as they were
+    write_table(loaded.withColumn("payment_type", F.lit("changed")), f"{base}/silver", "orders", MONTH)
     flows.load_staging(w.spark, f"{base}/silver", f"{base}/staging", since=date(2001, 1, 10))
     orders = w.spark.read.parquet(f"{base}/staging/orders")
     return orders.groupBy(
@@ -209,13 +200,14 @@ def _(w):
     ).agg(F.count("*").alias("orders_n"))
 
 
-def silver_entities(w) -> dict[str, DataFrame]:
-    parents = w.orders().select("order_id", *MONTH)
-    return {
-        "customers": w.customers, "sellers": w.sellers, "products": w.products,
-        "payments": w.payments, "shipments": w.shipments, "returns": w.returns,
-        "orders": w.orders(), "order_items": w.order_items().join(parents, "order_id"),
-    }
+def write_silver(w, base: str) -> None:
+    """Clean entities. Orders come first and are read back as the parents of the lines, which meet them in the
+    shuffle that drops copies, and their products after that."""
+    orders = w.spark.read.parquet(write_by_month(w.orders(), base, "orders"))
+    lines = w.order_items(enriched=False).join(orders.select("order_id", *MONTH), "order_id")
+    write_by_month(silver.enrich_items(lines, w.products), base, "order_items")
+    for name in flows.FULL_LOAD:
+        write_table(getattr(w, name), base, name)
 
 
 def row_counts(spark, base: str, names) -> DataFrame:
