@@ -65,3 +65,17 @@ def test_rank_of_prefix_is_rank_of_whole(spark, plan):
     assert "TakeOrderedAndProject" in plan(top)
     dense = top_k_ranked(df, "v", ["id"], 7, "r", "dense_rank")
     assert [r.r for r in dense.orderBy("r", "id").collect()] == [1, 1, 2, 2, 2, 3, 4]
+
+
+def test_rows_are_dealt_once_for_their_number_in_a_group(rows, plan):
+    """Also with nulls, whose rows form a group and a bucket of their own."""
+    data = [(1, 1, 5), (1, 1, 3), (1, 2, 1), (None, 1, 2), (None, None, 4), (None, None, 1), (2, None, 7), (2, 1, 9)]
+    df = rows("g int, b int, v int", *data)
+    out = bucketed_row_number(df, "g", "b", ["v"], "n")
+    got = sorted(((r.g, r.b, r.v, r.n) for r in out.collect()), key=str)
+    seen = lambda g, b, v: sum(
+        1 for x, y, z in data if x == g and ((y is not None, y or 0, z) <= (b is not None, b or 0, v)))
+    assert got == sorted(((g, b, v, seen(g, b, v)) for g, b, v in data), key=str)
+    assert out.columns == ["g", "b", "v", "n"]
+    whole = plan(out).split("== Initial Plan ==")[-1]
+    assert whole.count("Exchange hashpartitioning") <= 4, whole  # rows; totals by place, by group, by place again

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from tidemart.catalog.io import write_csv
 from tidemart.contracts import FEEDS
 from tidemart.operators.dedup import dedup_latest
+from tidemart.operators.incremental import _stored
 from tidemart.plans import flows, silver
 from tidemart.plans.warehouse import Marts
-from tidemart.session import scratch_dir
+from tidemart.session import Scratch, scratch_dir
 from tidemart.sinks import landing
 from tidemart.sinks.tables import write_table
 
@@ -167,3 +168,50 @@ def test_what_a_job_carries_settles_no_ties(rows):
     plain = {(r.k, r.v) for r in dedup_latest(df, ["k"], []).collect()}
     carried = dedup_latest(df.withColumn("__order", F.hash("v")), ["k"], []).collect()
     assert {(r.k, r.v) for r in carried} == plain
+
+
+def kept_names(monkeypatch):
+    """Names of the tables that stages and upserts store on their way."""
+    names, keep = [], Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, name: names.append(name) or keep(self, df, name))
+    return names
+
+
+def test_a_large_batch_is_stored_once_and_leaves_what_a_small_one_does(spark, monkeypatch):
+    """Neither the keys of whole feeds nor copies of stored batches are written; a key whose new row is
+    dropped still leaves, as do copies of returns that have moved to an unknown order."""
+    late = {**SECOND,
+            "order_items": [*SECOND["order_items"], ("o1", 1, None, "s1", 3, 5.0, None, None, None),
+                            ("o2", 1, "p2", "s1", 0, 10.0, None, None, None), ("o9", 2, "p1", "s1", 0, 1.0, None, None, None)],
+            "payments": [*SECOND["payments"], ("o7", 1, "UPI", 1, 1.0, "PAID"), (None, 1, "UPI", 1, 1.0, "PAID")],
+            "shipments": [("o1", "Ekart", "2023-03-06 08:00:00", "2023-03-04", "2023-03-05 09:00:00", "delivered"),
+                          (None, "Ekart", None, None, None, None)],
+            "returns": [("r1", "o7", 1, "p1", "Defective", "completed", 1, 50.0, "2023-03-09 10:00:00", None)]}
+    found = []
+    for share in (1 / 8, 100):
+        monkeypatch.setattr(flows, "LARGE_BATCH", share)
+        base = scratch_dir(spark, "large")
+        flows.bronze_to_silver(spark, reader(spark, FIRST), base)
+        names = kept_names(monkeypatch)
+        flows.bronze_to_silver(spark, reader(spark, late), base, incremental=True)
+        monkeypatch.undo()
+        assert not [n for n in names if n.startswith("named")] and names.count("batch") == 2, names
+        assert ("parents" in names) == (share == 100)
+        tables = (*flows.FACT_KEYS, "orders", "_quarantine/order_items_orphan", "_quarantine/shipments_bad_dates")
+        stored = {n: _stored(spark, f"{base}/{n}", False) for n in tables}  # None for one without any month
+        rows = {n: sorted(map(str, df.collect())) if df else [] for n, df in stored.items()}
+        found.append(rows)
+        keys = {(r.order_id, r.order_item_id) for r in spark.read.parquet(f"{base}/order_items").collect()}
+        assert keys == {("o0", 1), ("o1", 2), ("o9", 1)}
+        assert [r.order_id for r in spark.read.parquet(f"{base}/_quarantine/shipments_bad_dates").collect()] == ["o1", "o2"]
+        assert rows["returns"] == rows["shipments"] == rows["_quarantine/order_items_orphan"] == []
+    assert found[0] == found[1]
+
+
+def test_lines_are_sorted_once_for_copies_and_orders(rows, plan):
+    lines = rows("order_id long, order_item_id int, product_id long, quantity int, unit_price_inr double,"
+                 " discount_inr double, freight_inr double", (1, 1, 1, 1, 1.0, None, None))
+    orders = rows("order_id long, order_year int, order_month int", (1, 2023, 1)).repartition("order_id").hint("merge")
+    met = flows._of_orders(silver.usable_items(flows._at_orders(lines)), orders, "left")
+    left = plan(met).split("SortMergeJoin")[1].split("hashpartitioning")[0]
+    assert left.count("Sort [") == 1, plan(met)

@@ -181,6 +181,7 @@ def upsert(
     keys_move: bool = True,
     new_columns: bool = True,
     gone: DataFrame | None = None,
+    kept: bool = False,
 ) -> None:
     """Delete+insert a batch into a Parquet table, rewriting only the partitions it touches.
 
@@ -188,7 +189,8 @@ def upsert(
     finding the latter reads the key columns of the whole table. Where a key can never
     change its partition, ``keys_move=False`` leaves that scan out. A batch may bring new
     columns; ``new_columns=False`` promises it does not and spares the look into every file.
-    ``gone`` names keys that leave the table without a new row.
+    ``gone`` names keys that leave the table without a new row. The batch and these keys are stored
+    once before they are looked at, unless they are ``kept``: read from files already, without a shuffle.
 
     The new content is written beside the table first, with a plan once it is complete. The
     swap reads these only. If it breaks, the next upsert of the table (or ``finish_upsert``)
@@ -197,7 +199,7 @@ def upsert(
     finish_upsert(spark, path)
     with Scratch(spark, "upsert", PACKED) as scratch:
         emptied = _stage(
-            spark, scratch, path, batch, list(keys), list(partition_by), keys_move, new_columns, gone
+            spark, scratch, path, batch, list(keys), list(partition_by), keys_move, new_columns, gone, kept
         )
     if emptied is not None:
         plan = spark.createDataFrame([(list(partition_by), emptied)], PLAN)
@@ -227,6 +229,7 @@ def _stage(
     keys_move: bool,
     new_columns: bool,
     gone: DataFrame | None,
+    kept: bool,
 ) -> list[str] | None:
     """Write the new content of the touched partitions; folders that end up empty, or None if
     there is nothing to swap."""
@@ -235,13 +238,14 @@ def _stage(
     if target is None:
         _write_stage(batch, stage, partition_by)
         return []
-    batch = scratch.keep(batch, "batch")
+    batch = batch if kept else scratch.keep(batch, "batch")
     if not new_columns and set(batch.columns) != set(target.columns):
         raise ValueError(f"batch and table differ: {batch.columns} / {target.columns}")
+    # keys may repeat here: they are only looked for, and the batch is read from files each time
     leaving = batch.select(*keys)
     if gone is not None:
-        leaving = leaving.unionByName(scratch.keep(gone.select(*keys), "gone"))
-    leaving = leaving.distinct()
+        gone = gone.select(*keys)
+        leaving = leaving.unionByName(gone if kept else scratch.keep(gone.distinct(), "gone"))
     if not partition_by:
         _write_stage(_replaced(_staying(scratch, target, leaving, keys), batch), stage, ())
         return []
@@ -270,7 +274,6 @@ def _staying(scratch: Scratch, old: DataFrame, leaving: DataFrame, keys: list[st
     Beside a large batch they are found on the keys alone. A batch that names nearly all of them
     leaves few, whose keys go to the tasks, and no whole row is shuffled for it.
     """
-    leaving = scratch.keep(leaving, "leaving")
     going = leaving.count()
     if going > SENT_BATCH:
         named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]

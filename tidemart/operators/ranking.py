@@ -45,16 +45,16 @@ def bucketed_row_number(
     ``bucket`` must be a monotonic function of the order. A group of any size then spreads
     over its buckets; only the bucket totals of a group meet in one task.
     """
-    inner = Window.partitionBy(group, bucket).orderBy(*order)
+    # a struct equals another with nulls in the same places: the rows are dealt by it once, for their
+    # local number and for meeting the totals, where a null-safe join would deal whole rows again
+    place = lambda g, b: F.struct(F.col(g).alias("g"), F.col(b).alias("b")).alias("_at")
+    inner = Window.partitionBy("_at").orderBy(*order)
     before = _before(df, group, bucket, F.count("*"), descending=False)
-    numbered = df.withColumn("_local", F.row_number().over(inner))
+    numbered = df.select("*", place(group, bucket)).withColumn("_local", F.row_number().over(inner))
     return (
-        numbered.join(
-            before,
-            numbered[group].eqNullSafe(before["_g"]) & numbered[bucket].eqNullSafe(before["_b"]),
-        )
+        numbered.join(before.select(place("_g", "_b"), "_before"), "_at")
         .withColumn(out, (F.col("_before") + F.col("_local")).cast("int"))
-        .drop("_g", "_b", "_before", "_local")
+        .drop("_at", "_before", "_local")
     )
 
 

@@ -123,31 +123,43 @@ def _store(
     keys: tuple[str, ...],
     fresh: bool,
     gone: DataFrame | None = None,
+    kept: bool = False,
 ) -> None:
     """Fact write: a fresh table, or an upsert of the months the batch touches.
 
-    ``gone`` holds every key the batch names, so a row that its batch no longer supports leaves.
+    ``gone`` holds the keys the batch names beside its own, so a row that its batch no longer supports leaves.
     """
     if fresh:
         write_by_month(df, out, name)
     else:
-        upsert(spark, f"{out}/{name}", df, keys, MONTH, new_columns=False, gone=gone)
+        upsert(spark, f"{out}/{name}", df, keys, MONTH, new_columns=False, gone=gone, kept=kept)
 
 
-def _resequenced(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame:
+#: a batch of at least this share of the stored orders is taken to touch most of them
+LARGE_BATCH = 1 / 8
+
+
+def _is_large(batch: DataFrame, stored: DataFrame) -> bool:
+    """Of kept orders: file footers tell. Finding which stored ones such a batch touches would cost more
+    than it spares; results are the same."""
+    return batch.count() >= stored.count() * LARGE_BATCH
+
+
+def _resequenced(spark: SparkSession, path: str, batch: DataFrame, large: bool = False) -> DataFrame:
     """Batch orders, and the earlier orders of the same customers whose position they shift.
 
     An order that moved to another customer also shifts the orders of the customer it left.
     Positions are worked out on the few columns they depend on; whole rows are fetched only
-    for orders that have to be written.
+    for orders that have to be written. Beside a ``large`` batch the stored orders of all
+    customers are looked at; those of untouched ones keep their positions.
     """
     stored = spark.read.parquet(path)
     place = ["order_id", "customer_id", "order_date", "order_purchase_ts"]
-    left = stored.select("order_id", "customer_id").join(batch.select("order_id"), "order_id", "left_semi")
-    customers = batch.select("customer_id").unionByName(left.select("customer_id")).distinct()
-    earlier = stored.select(*place, F.col("customer_order_seq").alias("_was")).join(
-        customers, "customer_id", "left_semi"
-    )
+    earlier = stored.select(*place, F.col("customer_order_seq").alias("_was"))
+    if not large:
+        left = stored.select("order_id", "customer_id").join(batch.select("order_id"), "order_id", "left_semi")
+        customers = batch.select("customer_id").unionByName(left.select("customer_id")).distinct()
+        earlier = earlier.join(customers, "customer_id", "left_semi")
     merged = delete_insert(earlier, batch.select(*place), ["order_id"])
     placed = silver.with_order_sequence(merged).filter(
         ~F.col("_was").eqNullSafe(F.col("customer_order_seq"))
@@ -178,16 +190,24 @@ def _by_order_month(df: DataFrame) -> DataFrame:
 
 
 def _with_waiting(
-    spark: SparkSession, path: str, items: DataFrame, parents: DataFrame, named: DataFrame, fresh: bool
+    spark: SparkSession, path: str, items: DataFrame, parents: DataFrame, feed: DataFrame, fresh: bool
 ) -> DataFrame:
-    """Lines of this run, and earlier orphans it does not name, whose orders may have arrived since."""
+    """Lines of this run, and earlier orphans its feed does not name, whose orders may have arrived since."""
     if fresh or not path_exists(spark, path):
         return items
     keys = ["order_id", "order_item_id"]
-    waiting = spark.read.parquet(path).join(named.select(*keys).distinct(), keys, "left_anti")
+    waiting = spark.read.parquet(path)
+    named = feed.select(*keys).join(waiting.select(*keys), keys, "left_semi")
+    waiting = waiting.join(named, keys, "left_anti")
     return _of_orders(waiting, parents, "left").select(*items.columns).unionByName(items)
 
 
+def _at_orders(feed: DataFrame) -> DataFrame:
+    """A feed whose copies share their order, dealt by it: one shuffle, and one sort by the key that starts
+    with the order, serve the copies and the meeting with the orders. Rows without an order belong to none."""
+    return feed.filter(F.col("order_id").isNotNull()).repartition("order_id")
+
+
 FACT_KEYS = {
     "order_items": ("order_id", "order_item_id"),
     "payments": ("order_id", "payment_sequential"),
@@ -248,10 +268,11 @@ def _clean_feeds(
 
     fresh = not incremental or not path_exists(spark, f"{out}/orders")
     orders = scratch.keep(settle("orders", silver.clean_orders), "orders")
+    large = not fresh and _is_large(orders, spark.read.parquet(f"{out}/orders"))
     if fresh:
         orders = silver.with_order_sequence(orders)
     else:
-        orders = _resequenced(spark, f"{out}/orders", orders)
+        orders = _resequenced(spark, f"{out}/orders", orders, large)
     store(LOADED, orders, "orders",
           lambda df: _store(spark, df, out, "orders", ("order_id",), fresh))
 
@@ -263,45 +284,53 @@ def _clean_feeds(
         write_table(settle(name, transform), out, name)
 
     products = spark.read.parquet(f"{out}/products")
-    # keys each feed of this run names, whether or not their rows survive cleaning
-    named = {
-        n: scratch.keep(raw(n).select(*keys).dropna().distinct(), f"named_{n}")
-        for n, keys in FACT_KEYS.items() if not fresh
-    }
     returns = settle("returns", silver.clean_returns)
     parents = spark.read.parquet(f"{out}/orders").select("order_id", *MONTH)
-    if not fresh:  # the stored orders that this run's rows belong to, looked up once
+    if not fresh:
         returns = scratch.keep(returns, "returns")
-        ids = [named["order_items"], named["payments"], named["shipments"], returns]
-        if path_exists(spark, waiting):
-            ids.append(spark.read.parquet(waiting))
-        wanted = reduce(DataFrame.unionAll, [df.select("order_id") for df in ids]).distinct()
-        parents = scratch.keep(parents.join(wanted, "order_id", "left_semi"), "parents")
-    # Copies of these keys share their order. Rows meet it before copies are dropped, so that the
-    # shuffle by order serves both, also where the orders are too many to be sent to all tasks.
-    items = settle("order_items", silver.usable_items, _of_orders(raw("order_items"), parents, "left"))
-    items = _with_waiting(spark, waiting, items, parents, named.get("order_items"), fresh)
-    items = scratch.keep(items, "order_items")
-    shipments = settle("shipments", silver.parse_shipments, _of_orders(raw("shipments"), parents))
-    shipments, bad_dates = silver.split_shipments(scratch.keep(shipments, "shipments"))
-    payments = settle("payments", silver.clean_payments, _of_orders(raw("payments"), parents))
+        if not large:  # the stored orders that this run's rows belong to, looked up once
+            ids = [raw("order_items"), raw("payments"), raw("shipments"), returns]
+            if path_exists(spark, waiting):
+                ids.append(spark.read.parquet(waiting))
+            wanted = reduce(DataFrame.unionAll, [df.select("order_id") for df in ids]).distinct()
+            parents = scratch.keep(parents.join(wanted, "order_id", "left_semi"), "parents")
+    lines = settle("order_items", silver.usable_items, _at_orders(raw("order_items")))
+    lines = _with_waiting(spark, waiting, _of_orders(lines, parents, "left"), parents, raw("order_items"), fresh)
+    items = scratch.keep(silver.enrich_items(lines, products), "order_items")
+    shipments = settle("shipments", silver.parse_shipments, _at_orders(raw("shipments")))
+    shipments = scratch.keep(_of_orders(shipments, parents), "shipments")
+    on_time, bad_dates = silver.split_shipments(shipments)
+    payments = settle("payments", silver.clean_payments, _at_orders(raw("payments")))
     known = F.col(ORDER).isNotNull()
     facts = {
-        "order_items": silver.enrich_items(items.filter(known), products),
-        "payments": payments,
-        "shipments": shipments,
+        "order_items": items.filter(known),
+        "payments": _of_orders(payments, parents),
+        "shipments": on_time,
         "returns": _of_orders(returns, parents),
     }
+    # Keys this run names whose rows do not survive cleaning. Of a stored row the order is known for good, so a
+    # named line, payment or shipment that finds no order has no older copy; payments lose no other rows.
+    gone = {}
+    if not fresh:
+        dropped = raw("order_items").filter(silver.unusable_item()).select(*FACT_KEYS["order_items"])
+        gone["order_items"] = scratch.keep(dropped.dropna().distinct(), "dropped_items")
+        gone["shipments"] = shipments.select("order_id")
+        gone["returns"] = returns.select("return_id").dropna()
+        facts["returns"] = scratch.keep(facts["returns"], "returns_of_orders")
     for name, df in facts.items():
-        new_table = fresh or not path_exists(spark, f"{out}/{name}")
-        store(LOADED, _by_order_month(df), name,
-              lambda d, n=name, f=new_table: _store(spark, d, out, n, FACT_KEYS[n], f, named.get(n)))
+        df, new_table = _by_order_month(df), fresh or not path_exists(spark, f"{out}/{name}")
+        if name != "payments" and not new_table:  # what was kept above is not stored again
+            _store(spark, df, out, name, FACT_KEYS[name], False, gone[name], kept=True)
+            log.add(name, LOADED, df.count())
+            continue
+        store(LOADED, df, name,
+              lambda d, n=name, f=new_table: _store(spark, d, out, n, FACT_KEYS[n], f))
 
-    store(SET_ASIDE, items.filter(~known).drop(ORDER), "order_items",
+    store(SET_ASIDE, items.filter(~known).select(*[c for c in lines.columns if c != ORDER]), "order_items",
           lambda df: write_table(df, aside, "order_items_orphan"))
     store(SET_ASIDE, bad_dates.drop(ORDER), "shipments",
           lambda df: write_table(df, aside, "shipments_bad_dates") if fresh
-          else upsert(spark, bad_path, df, ("order_id",), new_columns=False, gone=named["shipments"]))
+          else upsert(spark, bad_path, df, ("order_id",), new_columns=False, gone=gone["shipments"], kept=True))
 
 
 # ----------------------------------------------------------- clean to staging

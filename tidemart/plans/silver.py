@@ -123,6 +123,12 @@ def usable_items(df: DataFrame, latest=(), tiebreak=None) -> DataFrame:
     )
 
 
+def unusable_item() -> Column:
+    """Rows of the line feed that ``usable_items`` drops, alone or as the latest of their key. Every key of the
+    feed has a usable line or such a row."""
+    return F.col("product_id").isNull() | ~F.coalesce(F.col("quantity") > 0, F.lit(False))
+
+
 def enrich_items(items: DataFrame, products: DataFrame) -> DataFrame:
     """Product attributes on each line; Spark broadcasts the four columns while they are small."""
     attributes = products.select("product_id", "category", "subcategory", "brand")
