@@ -154,3 +154,13 @@ def test_tree_digest_shuffles_bytes_and_keeps_its_value(rows, monkeypatch):
     nodes = sorted(f"{p}:{sha(','.join(e))}" for p, e in leaves.items())
     root = ":" + sha(",".join(nodes))
     assert keys.tree_digest(df) == (63, sha("\x1f".join(["a", "b", "63", root])))
+
+
+def test_tree_digest_counts_rows_in_the_tree(rows, monkeypatch):
+    """Whatever number is expected, the digest is the one of rows counted beforehand."""
+    monkeypatch.setattr(keys, "LEAF_ROWS", 4)
+    df = rows("a string, b int", *[(f"v{i % 50}", i % 7) for i in range(90)], ("v1", 1), ("v1", 1))
+    counted = keys.tree_digest(df)
+    assert counted[0] == 92
+    monkeypatch.setattr(type(df), "count", lambda self: 1 / 0)
+    assert {keys.tree_digest(df, expected) for expected in (0, 3, 60, 92, 5000)} == {counted}

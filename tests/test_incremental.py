@@ -1,4 +1,5 @@
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -381,3 +382,25 @@ def test_upsert_of_a_large_batch_equals_one_of_a_small(spark, rows, monkeypatch)
             inc.upsert(spark, path, df, ["k"], ["m"])
         found.append(sorted(map(repr, spark.read.parquet(path).collect())))
     assert found[0] == found[1] and len(found[0]) == 6
+
+
+def test_first_batch_of_a_date_is_parsed_once(spark, rows, monkeypatch):
+    """Its digest is taken from what was written; nothing is left beside it, also where a landing breaks."""
+    base, read = scratch_dir(spark, "l"), []
+    digest = landing.tree_digest
+    monkeypatch.setattr(landing, "tree_digest", lambda df, *a: read.append((df.inputFiles(), a)) or digest(df, *a))
+    df = rows("order_id string, n int", *[(str(i % 5), i) for i in range(9)])
+    for again, order in ((True, "n"), (False, "order_id"), (False, "n")):
+        assert landing.land(spark, df.orderBy(F.desc(order)), "orders", "2024-01-01", base) == (again, 9)
+    assert [bool(files) for files, _ in read] == [True, False, False] and {a for _, a in read} == {(9,)}
+    assert landing.land(spark, df.limit(0), "orders", "2024-01-01", base) == (True, 0)
+    assert landing.land(spark, df.limit(0), "returns", "2024-01-01", base) == (True, 0)
+    assert not landing.land(spark, df.limit(0), "returns", "2024-01-01", base)[0]
+    monkeypatch.setattr(landing, "tree_digest", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        landing.land(spark, df, "orders", "2024-01-02", base)
+    for source in ("orders", "returns"):
+        assert [str(p) for p in Path(base, source, "_landing").iterdir()] == []
+    monkeypatch.undo()
+    assert landing.land(spark, df, "orders", "2024-01-02", base) == (True, 9)
+    assert sorted(map(tuple, landing.read_latest(spark, base, "orders").select(*df.columns).collect())) == sorted(map(tuple, df.collect()))
